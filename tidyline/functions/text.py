@@ -277,7 +277,7 @@ def remove_trend_marks(c) -> Column:
 
 def collapse_ws(c) -> Column:
     """Python ``" ".join(t.split())``: strip and one space per run."""
-    return F.trim(F.regexp_replace(col(c), f"[{P.WS}]+", " "), " ")
+    return F.trim(F.regexp_replace(col(c), f"[{P.WS}]+", " "))
 
 
 def py_strip(c) -> Column:

@@ -50,3 +50,10 @@ def lang_label() -> F.Column:
     """documents.lang as an integer label 0..4."""
     return (F.when(F.col("lang") == "en", 0).when(F.col("lang") == "fr", 1)
              .when(F.col("lang") == "de", 2).when(F.col("lang") == "es", 3).otherwise(4))
+
+
+def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Round every double column (oracle hashes compare values exactly)."""
+    return df.select(*[F.round(F.col(f.name), digits).alias(f.name)
+                       if f.dataType.typeName() in ("double", "float") else F.col(f.name)
+                       for f in df.schema.fields])

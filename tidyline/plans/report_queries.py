@@ -1 +1,130 @@
-"""Registered queries."""
+"""Registered queries: reports."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidyline.functions import profiles as P
+from tidyline.operators import report as R
+from tidyline.plans import common as C
+from tidyline.plans import sqlfrag as S
+from tidyline.plans.registry import register
+
+_BUCKETED = f"""
+WITH b AS (SELECT lang, {S.bucket(S.count('text', 'special_ko'), S.length('text'))} AS bucket FROM documents)
+"""
+
+
+@register("noise_buckets_by_lang", _BUCKETED + """
+SELECT lang, count(*) FILTER (WHERE bucket = 'low') AS low, count(*) FILTER (WHERE bucket = 'norm') AS norm,
+  count(*) FILTER (WHERE bucket = 'high') AS high FROM b GROUP BY lang
+""")
+def noise_buckets_by_lang(spark, sf_dir):
+    """E3b (minimum slice): special-character buckets per language."""
+    d = C.table(spark, sf_dir, "documents")
+    return R.noise_buckets(d, "text", "special_ko", by="lang")
+
+
+@register("noise_bucket_totals", _BUCKETED + """
+SELECT count(*) FILTER (WHERE bucket = 'low') AS low, count(*) FILTER (WHERE bucket = 'norm') AS norm,
+  count(*) FILTER (WHERE bucket = 'high') AS high FROM b
+""")
+def noise_bucket_totals(spark, sf_dir):
+    """E3a."""
+    return R.noise_buckets(C.table(spark, sf_dir, "documents"), "text", "special_ko")
+
+
+@register("noise_buckets_legacy_by_lang", f"""
+WITH b AS (SELECT lang, {S.bucket(S.count('text', 'special_latin'), S.length('text'), P.BUCKET_HIGH_LEGACY)} AS bucket
+           FROM documents)
+SELECT lang, count(*) FILTER (WHERE bucket = 'low') AS low, count(*) FILTER (WHERE bucket = 'norm') AS norm,
+  count(*) FILTER (WHERE bucket = 'high') AS high FROM b GROUP BY lang
+""")
+def noise_buckets_legacy_by_lang(spark, sf_dir):
+    """E3b with the legacy "high above .3" edge, Latin profile."""
+    d = C.table(spark, sf_dir, "documents")
+    return R.noise_buckets(d, "text", "special_latin", by="lang", high_from=P.BUCKET_HIGH_LEGACY)
+
+
+@register("bucket_rows_high_titles", f"""
+WITH d AS ({C.HANGUL_TITLES_SQL})
+SELECT page_id, text FROM d
+WHERE {S.bucket(S.count('text', 'special_ko'), S.length('text'), P.BUCKET_HIGH_LEGACY)} = 'high'
+""")
+def bucket_rows_high_titles(spark, sf_dir):
+    """D3: rows of the "high" bucket (legacy edge), sorted by ratio."""
+    d = C.hangul_titles(spark, sf_dir)
+    return R.bucket_rows(d, "text", "high", key="page_id").select("page_id", "text")
+
+
+@register("class_counts_lang", """
+SELECT lang, count(*) AS n, sum(count(*)) OVER () :: BIGINT AS total FROM documents GROUP BY lang
+""")
+def class_counts_lang(spark, sf_dir):
+    """E1."""
+    return R.class_counts(C.table(spark, sf_dir, "documents"), "lang")
+
+
+@register("distribution_report_lang", f"""
+WITH g AS (SELECT {C.LANG_LABEL} AS target, count(*) AS n FROM documents GROUP BY 1)
+SELECT target, n, sum(n) OVER () :: BIGINT AS total, count(*) OVER () AS n_classes,
+  CAST(round(n / sum(n) OVER (), 4) AS DECIMAL(10,4)) AS share,
+  CASE WHEN target BETWEEN 0 AND 6 THEN 2142 END AS ref_n,
+  CASE WHEN target BETWEEN 0 AND 6 THEN CAST(0.1428 AS DECIMAL(10,4)) END AS ref_share
+FROM g
+""")
+def distribution_report_lang(spark, sf_dir):
+    """E2 (label = language as 0..4)."""
+    d = C.table(spark, sf_dir, "documents").withColumn("target", C.lang_label())
+    return R.distribution_report(d, "target")
+
+
+@register("char_frequency_docs", f"""
+SELECT ch, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, {S.q('(' + P.PROFILES['special_ko'] + ')')}, 1))
+  AS ch FROM documents) GROUP BY ch
+""")
+def char_frequency_docs(spark, sf_dir):
+    """E5 on raw documents (every special character and its count)."""
+    from tidyline.operators.detect import char_frequency
+    return char_frequency(C.table(spark, sf_dir, "documents"), "text", "special_ko")
+
+
+@register("describe_length_by_lang", """
+SELECT lang, count(n_chars) AS count, count(*) FILTER (WHERE n_chars IS NULL) AS nulls,
+  round(avg(n_chars), 6) AS mean, round(stddev_samp(n_chars), 6) AS std, CAST(min(n_chars) AS DOUBLE) AS min,
+  round(quantile_cont(n_chars, 0.25), 6) AS q25, round(quantile_cont(n_chars, 0.5), 6) AS q50,
+  round(quantile_cont(n_chars, 0.75), 6) AS q75, CAST(max(n_chars) AS DOUBLE) AS max
+FROM documents GROUP BY lang
+""")
+def describe_length_by_lang(spark, sf_dir):
+    """E8."""
+    d = C.table(spark, sf_dir, "documents")
+    return C.round_doubles(R.describe(d, "n_chars", by="lang"))
+
+
+@register("histogram_text_length", """
+WITH x AS (SELECT length(text) AS v FROM documents),
+mm AS (SELECT min(v) AS lo, max(v) AS hi FROM x),
+b AS (SELECT CAST(least(CASE WHEN hi > lo THEN floor((v - lo) * 30 / (hi - lo)) ELSE 0 END, 29) AS INTEGER) AS bin,
+             lo, hi FROM x, mm)
+SELECT bin, count(*) AS n, round(lo + bin * (hi - lo) / 30, 6) AS lo, round(lo + (bin + 1) * (hi - lo) / 30, 6) AS hi
+FROM b GROUP BY bin, lo, hi
+""")
+def histogram_text_length(spark, sf_dir):
+    """30 bins of text length."""
+    d = C.table(spark, sf_dir, "documents").select(F.length("text").alias("v"))
+    return C.round_doubles(R.histogram(d, "v", 30))
+
+
+@register("distinct_langs", "SELECT DISTINCT lang FROM documents")
+def distinct_langs(spark, sf_dir):
+    """E11."""
+    return R.distinct_labels(C.table(spark, sf_dir, "documents"), "lang")
+
+
+@register("labels_report_quality", """
+SELECT quality, count(*) AS n, sum(count(*)) OVER () :: BIGINT AS total FROM labels GROUP BY quality
+""")
+def labels_report_quality(spark, sf_dir):
+    """E1 on the labels table."""
+    return R.class_counts(C.table(spark, sf_dir, "labels"), "quality")

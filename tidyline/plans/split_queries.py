@@ -1 +1,74 @@
-"""Registered queries."""
+"""Registered queries: splits, samples and orders (I*)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidyline.functions.draws import sql_hash32, sql_key
+from tidyline.operators import split as SP
+from tidyline.plans import common as C
+from tidyline.plans.registry import register
+
+_H = sql_hash32(sql_key("doc_id", "456"))
+_RANKED = f"""
+WITH r AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY {_H}, doc_id) - 1 AS rk,
+                  count(*) OVER (PARTITION BY lang) AS n FROM documents)
+"""
+
+
+@register("stratified_split_docs", _RANKED + """
+SELECT doc_id, lang, CAST(CASE WHEN rk < floor((n * 6000 + 10000) / 20000) THEN 1 ELSE 0 END AS INTEGER) AS is_valid
+FROM r
+""")
+def stratified_split_docs(spark, sf_dir):
+    """30 % validation per language, seed 456."""
+    d = C.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return SP.split_flag(d, "doc_id", 0.3, 456, by="lang")
+
+
+@register("running_number_docs", _RANKED + "SELECT doc_id, lang, rk AS rn FROM r")
+def running_number_docs(spark, sf_dir):
+    """Exact running number within the label."""
+    d = C.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return SP.number_within(d, "doc_id", "lang", 456)
+
+
+@register("kfold_embeddings", f"""
+SELECT vec_id, label, CAST((row_number() OVER (PARTITION BY label ORDER BY {sql_hash32(sql_key('vec_id', '42'))}, vec_id) - 1) % 3
+  AS INTEGER) AS fold FROM embeddings
+""")
+def kfold_embeddings(spark, sf_dir):
+    """Stratified 3-fold, seed 42."""
+    e = C.table(spark, sf_dir, "embeddings").select("vec_id", "label")
+    return SP.kfold(e, "vec_id", 3, 42, by="label")
+
+
+@register("halves_docs", f"SELECT doc_id, CAST({sql_hash32(sql_key('doc_id', '7'))} % 2 AS INTEGER) AS half FROM documents")
+def halves_docs(spark, sf_dir):
+    """I3."""
+    return SP.halves(C.table(spark, sf_dir, "documents").select("doc_id"), "doc_id", 7)
+
+
+@register("sample_per_class_docs", f"""
+SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY
+  {sql_hash32(sql_key('doc_id', '11'))}, doc_id) AS rn FROM documents) WHERE rn <= 10
+""")
+def sample_per_class_docs(spark, sf_dir):
+    """10 rows per language."""
+    d = C.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    return SP.sample_per_class(d, "doc_id", "lang", 10, 11)
+
+
+@register("top_k_longest_docs", """
+SELECT doc_id, length(text) AS n_chars FROM documents ORDER BY length(text) DESC, doc_id LIMIT 600
+""")
+def top_k_longest_docs(spark, sf_dir):
+    """The 600 longest texts (a top-k report)."""
+    d = C.table(spark, sf_dir, "documents")
+    return SP.top_k_longest(d, "text", "doc_id", 600).select("doc_id", F.length("text").alias("n_chars"))
+
+
+@register("head_n_docs", "SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 1602")
+def head_n_docs(spark, sf_dir):
+    """The first 1,602 rows by key."""
+    return SP.head_n(C.table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id", 1602)
