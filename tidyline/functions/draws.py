@@ -47,3 +47,33 @@ def sql_hash32(expr: str, slot: int = 0) -> str:
 
 def sql_key(*parts: str) -> str:
     return "concat_ws(':', " + ", ".join(f"CAST({p} AS VARCHAR)" for p in parts) + ")"
+
+
+# Integer mixing for per-position draws: one md5 per row gives a 32-bit row
+# seed; position i then draws mix32((seed + i * GOLDEN) mod 2**32).  Every
+# product stays below 2**63, so ANSI overflow checks never fire, and the same
+# arithmetic runs in DuckDB for the oracle.
+GOLDEN = 2654435761
+MIX = 73244475
+M32 = 4294967296
+
+
+def mix32(x: Column) -> Column:
+    x = (x.bitwiseXOR(F.shiftright(x, 16)) * MIX) % M32
+    x = (x.bitwiseXOR(F.shiftright(x, 16)) * MIX) % M32
+    return x.bitwiseXOR(F.shiftright(x, 16))
+
+
+def position_draw(row_seed: Column, i: Column) -> Column:
+    """A 32-bit draw for position ``i`` of a row."""
+    return mix32((row_seed + i.cast("bigint") * GOLDEN) % M32)
+
+
+def sql_mix32(x: str) -> str:
+    x = f"((xor({x}, ({x}) >> 16) * {MIX}) % {M32})"
+    x = f"((xor({x}, ({x}) >> 16) * {MIX}) % {M32})"
+    return f"xor({x}, ({x}) >> 16)"
+
+
+def sql_position_draw(row_seed: str, i: str) -> str:
+    return sql_mix32(f"(({row_seed}) + CAST({i} AS BIGINT) * {GOLDEN}) % {M32}")

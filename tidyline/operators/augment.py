@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tidyline.functions import profiles as P
 from tidyline.functions import text as T
-from tidyline.functions.draws import hash32, hash32_of, key_string
+from tidyline.functions.draws import hash32, hash32_of, key_string, position_draw
 from tidyline.operators.split import label_rank
 
 HANJA_LO, HANJA_HI = 0x4E00, 0x9FFF
@@ -37,24 +37,28 @@ def code_point_char(cp: Column) -> Column:
     return F.decode(F.unhex(F.lpad(F.hex(cp), 4, "0")), "UTF-16BE")
 
 
+def row_seed(key, seed: int, slot: int = 0) -> Column:
+    """32-bit seed of a row: slot ``slot`` of md5("key:seed")."""
+    k = T.col(key) if isinstance(key, str) else key
+    return hash32_of(F.concat_ws(":", k.cast("string"), F.lit(str(seed))), slot)
+
+
 def inject_noise(text, key, seed: int, level: float = 0.5, ascii_ratio: float = 0.93) -> Column:
     """Each character replaced with probability ``level``; a replacement is
     printable ASCII 33–126 with probability ``ascii_ratio``, else a Hanja
-    U+4E00–9FFF.  One md5 per character gives all three draws."""
-    t, k = T.col(text), T.col(key) if isinstance(key, str) else key
-    chars = F.split(t, "")
-    with_h = F.transform(chars, lambda c, i: F.struct(
-        c.alias("c"), F.md5(F.concat_ws(":", k.cast("string"), i.cast("string"), F.lit(str(seed)))).alias("m")))
+    U+4E00–9FFF.  Three row seeds (one md5 per row) and an integer mix per
+    character give the three draws."""
+    t = T.col(text)
+    seeds = F.struct(*[row_seed(key, seed, s).alias(f"s{s}") for s in range(3)])
 
-    def pick(s):
-        h0 = F.conv(F.substring(s["m"], 1, 8), 16, 10).cast("bigint")
-        h1 = F.conv(F.substring(s["m"], 9, 8), 16, 10).cast("bigint")
-        h2 = F.conv(F.substring(s["m"], 17, 8), 16, 10).cast("bigint")
-        asc = code_point_char(F.lit(ASCII_LO) + h2 % (ASCII_HI - ASCII_LO + 1))
-        han = code_point_char(F.lit(HANJA_LO) + h2 % (HANJA_HI - HANJA_LO + 1))
-        return F.when(h0 < threshold(level), F.when(h1 < threshold(ascii_ratio), asc).otherwise(han)).otherwise(s["c"])
-    out = F.array_join(F.transform(with_h, pick), "")
-    return F.when(F.length(t) == 0, t).otherwise(out)
+    def body(sd):
+        def pick(c, i):
+            h0, h1, h2 = (position_draw(sd[f"s{s}"], i) for s in range(3))
+            asc = code_point_char(F.lit(ASCII_LO) + h2 % (ASCII_HI - ASCII_LO + 1))
+            han = code_point_char(F.lit(HANJA_LO) + h2 % (HANJA_HI - HANJA_LO + 1))
+            return F.when(h0 < threshold(level), F.when(h1 < threshold(ascii_ratio), asc).otherwise(han)).otherwise(c)
+        return F.array_join(F.transform(F.split(t, ""), pick), "")
+    return F.when(F.length(t) == 0, t).otherwise(let(seeds, body))
 
 
 def replacement_chars() -> list[str]:
@@ -68,12 +72,11 @@ def drop_class(text, key, seed: int, cls: str = "hangul", frac: tuple[int, int]
     """Of the n characters of a class, max(1, floor(n*frac)) chosen by draw
     are deleted (``mode='drop'``) or replaced by a drawn character
     (``mode='replace'``); text without such characters is unchanged."""
-    t, k = T.col(text), T.col(key) if isinstance(key, str) else key
+    t = T.col(text)
     cls_re = "^" + P.profile(cls) + "$"
     chars = F.split(t, "")
-    tagged = F.transform(chars, lambda c, i: F.struct(
-        hash32_of(F.concat_ws(":", k.cast("string"), i.cast("string"), F.lit(str(seed)))).alias("h"),
-        i.alias("i"), c.alias("c")))
+    tagged = let(row_seed(key, seed), lambda sd: F.transform(chars, lambda c, i: F.struct(
+        position_draw(sd, i).alias("h"), i.alias("i"), c.alias("c"))))
     if mode == "drop":
         repl = lambda s: F.lit("")
     else:
@@ -183,11 +186,12 @@ def replace_synonyms(df: DataFrame, key: str, text: str, synonyms: DataFrame, se
     Only the drawn words are exploded and looked up; the replacements come
     back as a per-row position map."""
     w = df.select(key, T.words(text).alias("_w"))
-    cand = (w.select(key, F.posexplode("_w").alias("_pos", "_word"))
-             .filter(hash32(key, "_pos", seed) < threshold(ratio)))
+    cand = (w.select(key, row_seed(key, seed, 0).alias("_s0"), row_seed(key, seed, 1).alias("_s1"),
+                     F.posexplode("_w").alias("_pos", "_word"))
+             .filter(position_draw(F.col("_s0"), F.col("_pos")) < threshold(ratio)))
     syn = synonyms.select(F.col("word").alias("_word"), F.col("synonyms").alias("_syn"))
     rep = (cand.join(syn, "_word")
-               .withColumn("_new", F.element_at("_syn", (hash32(key, "_pos", seed, F.lit("pick"))
+               .withColumn("_new", F.element_at("_syn", (position_draw(F.col("_s1"), F.col("_pos"))
                                                           % F.size("_syn") + 1).cast("int"))))
     maps = rep.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_pos", "_new"))).alias("_m"))
     out = w.join(maps, key, "left").withColumn(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidyline.functions import profiles as P
 from tidyline.functions import text as T
-from tidyline.functions.draws import sql_hash32, sql_key
+from tidyline.functions.draws import sql_hash32, sql_key, sql_position_draw
 from tidyline.operators import augment as A
 from tidyline.operators import report as R
 from tidyline.plans import common as C
@@ -16,9 +16,12 @@ from tidyline.plans.registry import register
 NOISE_SEED, DROP_SEED, MIX_SEED, SHOT_SEED, SYN_SEED = 2024, 7, 5, 17, 13
 
 
+def _sql_seed(key: str, seed: int, slot: int = 0) -> str:
+    return sql_hash32(f"concat_ws(':', CAST({key} AS VARCHAR), '{seed}')", slot)
+
+
 def _sql_noise(text: str, key: str, seed: int, level=0.5, ascii_ratio=0.93) -> str:
-    m = f"md5(concat_ws(':', CAST({key} AS VARCHAR), CAST(i - 1 AS VARCHAR), '{seed}'))"
-    h = [f"('0x' || substr({m}, {1 + 8 * s}, 8))::BIGINT" for s in range(3)]
+    h = [sql_position_draw(_sql_seed(key, seed, s), "i - 1") for s in range(3)]
     pick = (f"CASE WHEN {h[0]} < {A.threshold(level)} THEN CASE WHEN {h[1]} < {A.threshold(ascii_ratio)} "
             f"THEN chr(CAST(33 + {h[2]} % 94 AS INTEGER)) ELSE chr(CAST(19968 + {h[2]} % 20992 AS INTEGER)) END ELSE c END")
     return (f"CASE WHEN length({text}) = 0 THEN {text} ELSE "
@@ -44,7 +47,7 @@ def inject_noise_docs(spark, sf_dir):
 
 
 def _sql_drop(text: str, key: str, seed: int, replace: bool = False) -> str:
-    h = f"('0x' || substr(md5(concat_ws(':', CAST({key} AS VARCHAR), CAST(i - 1 AS VARCHAR), '{seed}')), 1, 8))::BIGINT"
+    h = sql_position_draw(_sql_seed(key, seed), "i - 1")
     tg = f"list_transform(string_split({text}, ''), lambda c, i: {{'h': {h}, 'i': i - 1, 'c': c}})"
     hits = f"list_filter(tg, lambda s: regexp_matches(s.c, {S.q('^' + P.PROFILES['hangul'] + '$')}))"
     pool = A.replacement_chars()
@@ -198,8 +201,8 @@ def synonym_table_conversations(spark, sf_dir):
 WITH {_SYN_SQL},
 w AS (SELECT doc_id, text, {_sql_words('text')} AS ws FROM documents),
 cand AS (SELECT doc_id, unnest(range(len(ws))) AS pos, unnest(ws) AS word FROM w),
-c2 AS (SELECT * FROM cand WHERE {sql_hash32(sql_key('doc_id', 'pos', str(SYN_SEED)))} < {A.threshold(0.3)}),
-rep AS (SELECT c2.doc_id, c2.pos, syn.syns[{sql_hash32("concat_ws(':', CAST(c2.doc_id AS VARCHAR), CAST(c2.pos AS VARCHAR), '" + str(SYN_SEED) + "', 'pick')")} % len(syn.syns) + 1] AS new
+c2 AS (SELECT * FROM cand WHERE {sql_position_draw(_sql_seed('doc_id', SYN_SEED, 0), 'pos')} < {A.threshold(0.3)}),
+rep AS (SELECT c2.doc_id, c2.pos, syn.syns[{sql_position_draw(_sql_seed('c2.doc_id', SYN_SEED, 1), 'c2.pos')} % len(syn.syns) + 1] AS new
         FROM c2 JOIN syn USING (word)),
 mp AS (SELECT doc_id, map_from_entries(list({{'k': pos, 'v': new}})) AS m FROM rep GROUP BY doc_id),
 aug AS (SELECT CAST(w.doc_id AS VARCHAR) || '_aug' AS doc_id, w.ws, mp.m, text FROM w LEFT JOIN mp USING (doc_id))

@@ -13,8 +13,24 @@ from tidyline.plans import sqlfrag as S
 TITLE_RE = "(?s)<title>(.*?)</title>"
 
 
+KEYS = {"documents": "doc_id", "pages": "page_id", "embeddings": "vec_id", "conversations": "conv_id",
+        "labels": "doc_id", "benchmark": "item_id", "events": "event_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    return spread(df, KEYS.get(name))
+
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Hash-partition a scan by its key when it has fewer splits than the
+    cluster has cores (one-row-group files); at scale the scan already has
+    enough splits and this is a no-op, so no extra shuffle is planned."""
+    spark = df.sparkSession
+    par = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= par:
+        return df
+    return df.repartition(par, key) if key else df.repartition(par)
 
 
 def hangul_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
