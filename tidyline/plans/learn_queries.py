@@ -1 +1,151 @@
-"""Registered queries."""
+"""Registered queries: prompts, the batch hook, the resumable run and the
+``pyspark.ml`` steps (J8–J12, L1, F3, H1, H4, H6, H7)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidyline.functions import text as T
+from tidyline.operators import detect as D
+from tidyline.operators import infer as I
+from tidyline.operators import learn as L
+from tidyline.operators import prompts as PR
+from tidyline.plans import common as C
+from tidyline.plans import sqlfrag as S
+from tidyline.plans.registry import register
+from tidyline.session import scratch_path
+from tidyline.streaming.resume import resumable_generate
+
+
+def normalise_model():
+    """A deterministic stand-in model: whitespace-normalised input."""
+    return lambda texts: [" ".join(t.split()) for t in texts]
+
+
+def echo_answer_model():
+    """A deterministic stand-in model answering in the reference's format."""
+    def fn(prompts):
+        out = []
+        for p in prompts:
+            line = p.split("노이즈 있는 제목:")[-1].split("\n")[0]
+            out.append("복원된 제목: 답변: " + "".join(ch for ch in line if ch.isalnum() or ch.isspace()))
+        return out
+    return fn
+
+
+@register("render_prompt_titles", f"""
+SELECT page_id, replace({S.q(PR.DENOISE_V1)}, '{{text}}', title) AS prompt, {S.q(PR.SYSTEM_DENOISE_V1)} AS prompt_system
+FROM ({C.TITLES_SQL})
+""")
+def render_prompt_titles(spark, sf_dir):
+    """The denoise v1 prompt per title."""
+    t = C.titles(spark, sf_dir)
+    return PR.render_prompt(t, PR.templates(spark), "denoise", 1, "title").select("page_id", "prompt", "prompt_system")
+
+
+@register("unknown_template_titles", f"SELECT page_id, NULL::VARCHAR AS prompt FROM ({C.TITLES_SQL})")
+def unknown_template_titles(spark, sf_dir):
+    """An unknown version renders NULL."""
+    t = C.titles(spark, sf_dir)
+    return PR.render_prompt(t, PR.templates(spark), "denoise", 9, "title").select("page_id", "prompt")
+
+
+@register("chat_messages_titles", f"""
+SELECT page_id, 'system' AS role_0, {S.q(PR.SYSTEM_DENOISE_V1)} AS content_0, 'user' AS role_1,
+  replace({S.q(PR.DENOISE_V1)}, '{{text}}', title) AS content_1 FROM ({C.TITLES_SQL})
+""")
+def chat_messages_titles(spark, sf_dir):
+    """System + user messages."""
+    t = PR.render_prompt(C.titles(spark, sf_dir), PR.templates(spark), "denoise", 1, "title")
+    m = t.select("page_id", PR.chat_messages("prompt_system", "prompt").alias("m"))
+    return m.select("page_id", F.col("m")[0]["role"].alias("role_0"), F.col("m")[0]["content"].alias("content_0"),
+                    F.col("m")[1]["role"].alias("role_1"), F.col("m")[1]["content"].alias("content_1"))
+
+
+@register("batch_generate_docs", f"""
+SELECT doc_id, {S.collapse_ws('text')} AS generated, NULL::VARCHAR AS error FROM documents
+""")
+def batch_generate_docs(spark, sf_dir):
+    """The hook over whole documents (Arrow batches, model built once per partition)."""
+    d = C.table(spark, sf_dir, "documents")
+    return I.batch_generate(d, "doc_id", "text", normalise_model, "generated", 32)
+
+
+@register("two_step_titles", f"""
+SELECT page_id, title, {S.collapse_ws('title')} AS back_translation FROM ({C.TITLES_SQL})
+""")
+def two_step_titles(spark, sf_dir):
+    """F then g through the hook."""
+    return I.two_step(C.titles(spark, sf_dir), "page_id", "title", normalise_model, normalise_model)
+
+
+@register("denoise_job_titles")
+def denoise_job_titles(spark, sf_dir):
+    """Flagged titles through prompt, model and answer extraction; the
+    rest pass; recombined."""
+    t = D.detect_noise(C.hangul_titles(spark, sf_dir), "text").withColumn("target", F.lit(0))
+    return I.denoise_job(t, "page_id", "text", "target", "is_noise", echo_answer_model, PR.templates(spark))
+
+
+@register("resumable_generate_docs", f"""
+SELECT doc_id, {S.collapse_ws('text')} AS generated, NULL::VARCHAR AS error FROM documents
+""")
+def resumable_generate_docs(spark, sf_dir):
+    """L1: a resumable streaming run of the hook over the documents files."""
+    out = scratch_path(spark, "resume-out")
+    return resumable_generate(spark, sf_dir, out, "doc_id", "text", normalise_model, glob="documents.parquet")
+
+
+def _flagged_docs(spark, sf_dir):
+    d = C.hangul_docs(spark, sf_dir)
+    return D.detect_noise(d, "text").withColumn("target", C.lang_label())
+
+
+@register("crossfit_noise_titles")
+def crossfit_noise_titles(spark, sf_dir):
+    """F3 + F4: the cross-fitted classifier over the rows the rules left."""
+    t = D.detect_noise(C.hangul_titles(spark, sf_dir), "text")
+    return L.crossfit_noise(t, "page_id", "text", "is_noise", 3).select("page_id", "stage", "model_hit", "is_noise")
+
+
+@register("oof_probs_ml_docs")
+def oof_probs_ml_docs(spark, sf_dir):
+    """H1: out-of-fold probabilities from a fresh classifier per fold."""
+    d = C.table(spark, sf_dir, "documents").select("doc_id", "text", C.lang_label().alias("target"))
+    p = L.oof_probs(d, "doc_id", "text", "target", 3, 42)
+    return p.select("doc_id", "target", "fold", "pred", F.round(F.array_max("prob"), 6).alias("p_max"))
+
+
+@register("noise_split_relabel_docs")
+def noise_split_relabel_docs(spark, sf_dir):
+    """H4: fit on noisy rows, relabel clean rows by confident learning."""
+    r = L.noise_split_relabel(_flagged_docs(spark, sf_dir), "doc_id", "text", "target", "is_noise")
+    return r.select("doc_id", "target", "new_label")
+
+
+@register("classify_overwrite_docs")
+def classify_overwrite_docs(spark, sf_dir):
+    """H6: predict the clean rows' labels and count the changes."""
+    flags, _ = L.classify_overwrite(_flagged_docs(spark, sf_dir), "doc_id", "text", "target", "is_noise")
+    return flags.select("doc_id", "target", "prev_target", "is_changed")
+
+
+@register("train_evaluate_docs")
+def train_evaluate_docs(spark, sf_dir):
+    """H7: validation metrics of the language classifier."""
+    d = C.table(spark, sf_dir, "documents").select("doc_id", "text", C.lang_label().alias("target"))
+    test = C.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    overall, per_class, _ = L.train_evaluate_predict(d, test, "doc_id", "text", "target")
+    return C.round_doubles(per_class.crossJoin(overall))
+
+
+@register("predict_benchmark")
+def predict_benchmark(spark, sf_dir):
+    """H7 + G8: predictions for a test table, attached by key."""
+    d = C.table(spark, sf_dir, "documents").select("doc_id", "text", C.lang_label().alias("target"))
+    test = C.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("doc_id"), "text")
+    _, _, out = L.train_evaluate_predict(d, test, "doc_id", "text", "target")
+    return out.select("doc_id", "target")
+
+
+del T

@@ -212,3 +212,27 @@ def vector_text_roundtrip(spark, sf_dir):
     p = T.parse_vector(s)
     return e.select("vec_id", F.size(p).alias("n"),
                     F.aggregate(p, F.lit(0.0), lambda a, x: a + x).cast("bigint").alias("total"))
+
+
+_LOW = f"{S.bucket(S.count('text', 'special_ko'), S.length('text'))} = 'low'"
+
+
+@register("rare_char_denoise_docs", f"""
+WITH d AS ({C.HANGUL_DOCS_SQL}),
+cnt AS (SELECT ch, count(*) AS n FROM (SELECT unnest(string_split(text, '')) AS ch FROM d WHERE {_LOW}) WHERE ch <> ''
+        GROUP BY ch),
+cov AS (SELECT ch, n, coalesce(sum(n) OVER (ORDER BY n DESC, ch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+          * 10000 < sum(n) OVER () * 9995 AS keep FROM cnt),
+cls AS (SELECT '[^' || coalesce(string_agg(CASE WHEN ch IN ('\\', '[', ']', '^', '-', '&') THEN '\\' || ch ELSE ch END,
+          '' ORDER BY CASE WHEN ch IN ('\\', '[', ']', '^', '-', '&') THEN '\\' || ch ELSE ch END), '') || ']' AS c
+        FROM cov WHERE keep)
+SELECT doc_id, {S.collapse_ws("CASE WHEN cls.c = '[^]' THEN text ELSE regexp_replace(text, cls.c, ' ⁇ ', 'g') END")} AS text
+FROM d, cls WHERE NOT ({_LOW})
+""")
+def rare_char_denoise_docs(spark, sf_dir):
+    """C15 + I11: coverage set from low-noise documents, applied to the rest."""
+    from tidyline.operators.clean import rare_char_denoise
+    d = R.with_bucket(C.hangul_docs(spark, sf_dir), "text", "special_ko")
+    clean = d.filter(F.col("bucket") == "low")
+    noisy = d.filter(F.col("bucket") != "low").select("doc_id", "text")
+    return rare_char_denoise(noisy, "text", clean)
