@@ -130,3 +130,26 @@ def recombine_denoised_titles(spark, sf_dir):
     noisy = d.filter(F.col("is_noise") == 1).withColumn("text", T.keep_only("text"))
     clean = d.filter(~F.col("is_noise").eqNullSafe(1))
     return J.recombine(clean, noisy, "page_id", "text", "target")
+
+
+@register("replace_or_add_append", f"""
+SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, target FROM ({_BASE_SQL})
+UNION ALL SELECT CAST(doc_id AS VARCHAR) || '_new' AS doc_id, NULL::VARCHAR AS text, quality AS target FROM labels
+""")
+def replace_or_add_append(spark, sf_dir):
+    """K3 (append mode): extra rows added with missing columns NULL."""
+    base = _base(spark, sf_dir).withColumn("doc_id", F.col("doc_id").cast("string"))
+    new = C.table(spark, sf_dir, "labels").select(F.concat(F.col("doc_id").cast("string"), F.lit("_new")).alias("doc_id"),
+                                                  F.col("quality").alias("target"))
+    return J.replace_or_add(base, new, "doc_id", "target", replace=False)
+
+
+@register("replace_or_add_replace", f"""
+WITH b AS ({_BASE_SQL}), u AS (SELECT doc_id, quality AS target FROM labels)
+SELECT b.doc_id, CASE WHEN u.doc_id IS NOT NULL THEN u.target ELSE b.target END AS target
+FROM b LEFT JOIN u ON b.doc_id = u.doc_id
+""")
+def replace_or_add_replace(spark, sf_dir):
+    """K3 (replace mode): values replaced by key."""
+    new = C.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("target"))
+    return J.replace_or_add(_base(spark, sf_dir), new, "doc_id", "target", replace=True).select("doc_id", "target")

@@ -148,4 +148,35 @@ def predict_benchmark(spark, sf_dir):
     return out.select("doc_id", "target")
 
 
-del T
+
+
+
+def _title_article_model():
+    """Deterministic stand-in generator: echoes the prompt with an answer."""
+    def fn(prompts):
+        out = []
+        for p in prompts:
+            if p.rstrip().endswith(PR.TITLE_TO_ARTICLE_END):
+                out.append(p + " 기사 본문 " + p.split(": ", 1)[-1].split("\n")[0])
+            else:
+                out.append(p + " \"생성 제목 " + str(len(p)) + "\" 이 제목은 예시입니다")
+        return out
+    return fn
+
+
+@register("title_article_title")
+def title_article_title(spark, sf_dir):
+    """The 600 longest titles -> article prompt -> model -> article
+    -> title prompt -> model -> title (C12, C13) with new ids (B17)."""
+    from pyspark.sql import Window
+    from tidyline.operators.split import top_k_longest
+    t = top_k_longest(C.titles(spark, sf_dir), "title", "page_id", 600)
+    tm = PR.templates(spark)
+    a = PR.render_prompt(t, tm, "title_to_article", 1, "title", out="p1")
+    g1 = I.batch_generate(a, "page_id", "p1", _title_article_model, "gen1")
+    art = g1.select("page_id", T.extract_article("gen1", PR.TITLE_TO_ARTICLE_END).alias("article"))
+    b = PR.render_prompt(art, tm, "article_to_title", 1, "article", out="p2")
+    g2 = I.batch_generate(b, "page_id", "p2", _title_article_model, "gen2")
+    titles = g2.select("page_id", T.clean_title(T.extract_title("gen2")).alias("text"))
+    w = Window.orderBy("page_id")  # over at most 600 rows (the top-k result)
+    return titles.withColumn("ID", F.format_string("ynat-v1_train_%05d", F.row_number().over(w) - 1))

@@ -128,3 +128,68 @@ SELECT quality, count(*) AS n, sum(count(*)) OVER () :: BIGINT AS total FROM lab
 def labels_report_quality(spark, sf_dir):
     """E1 on the labels table."""
     return R.class_counts(C.table(spark, sf_dir, "labels"), "quality")
+
+
+@register("ratio_threshold_titles", f"""
+WITH d AS ({C.HANGUL_TITLES_SQL})
+SELECT page_id, text FROM d WHERE {S.ratio_at_least(S.count('text', 'upper_ko'), 'length(text)', *P.RATIO_THRESHOLD)}
+""")
+def ratio_threshold_titles(spark, sf_dir):
+    """Titles whose rounded upper-case-profile ratio is at least .09."""
+    from tidyline.operators.filters import ratio_threshold
+    d = C.hangul_titles(spark, sf_dir)
+    return d.filter(ratio_threshold("text"))
+
+
+def _sql_strip_tags_legacy(e: str) -> str:
+    e = f"regexp_replace({e}, {S.q('^(' + '|'.join(P.TAG_PREFIX_1) + ')')}, '')"
+    e = f"regexp_replace({e}, {S.q('^(' + '|'.join(P.TAG_PREFIX_2) + ')')}, '')"
+    return f"regexp_replace({e}, {S.q('(' + '|'.join(P.TAG_SUFFIX_LEGACY) + ')(' + chr(92) + 'n?)' + chr(92) + 'z')}, '\\2')"
+
+
+@register("special_or_any_lower_titles", f"""
+WITH d AS ({C.HANGUL_TITLES_SQL}), s AS (SELECT page_id, {_sql_strip_tags_legacy('text')} AS t FROM d)
+SELECT page_id, CAST(CASE WHEN {S.length('t')} - {S.length(S.remove_special('t', True))} <> 0
+  OR {S.count(S.remove_special('t', True), 'lower')} > 0 THEN 1 ELSE 0 END AS INTEGER) AS is_noise FROM s
+""")
+def special_or_any_lower_titles(spark, sf_dir):
+    """The special-or-any-lower rule writing ``is_noise``."""
+    from tidyline.operators.filters import special_or_any_lower
+    d = C.hangul_titles(spark, sf_dir)
+    return d.select("page_id", special_or_any_lower("text").cast("int").alias("is_noise"))
+
+
+@register("bad_output_split_conversations", """
+SELECT conv_id, turn, CASE WHEN length(text) <= 8 OR coalesce(role = 'missing title', false) THEN 'bad' ELSE 'kept' END AS part
+FROM conversations
+""")
+def bad_output_split_conversations(spark, sf_dir):
+    """Model-output rows split into kept and bad parts."""
+    from tidyline.operators.filters import split_bad_output
+    c = C.table(spark, sf_dir, "conversations")
+    kept, bad = split_bad_output(c, "text", "role")
+    return (kept.select("conv_id", "turn", F.lit("kept").alias("part"))
+            .unionByName(bad.select("conv_id", "turn", F.lit("bad").alias("part"))))
+
+
+@register("buckets_changed_labels", f"""
+WITH b AS (SELECT doc_id, text, {C.LANG_LABEL} AS target FROM documents),
+u AS (SELECT doc_id, quality AS new_label FROM labels),
+c AS (SELECT b.text FROM b JOIN u USING (doc_id) WHERE b.target <> u.new_label),
+k AS (SELECT {S.bucket(S.count('text', 'special_ko'), S.length('text'))} AS bucket FROM c)
+SELECT count(*) FILTER (WHERE bucket = 'low') AS low, count(*) FILTER (WHERE bucket = 'norm') AS norm,
+  count(*) FILTER (WHERE bucket = 'high') AS high FROM k
+""")
+def buckets_changed_labels(spark, sf_dir):
+    """Noise buckets among rows whose label changes."""
+    d = C.table(spark, sf_dir, "documents").select("doc_id", "text", C.lang_label().alias("target"))
+    u = C.table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("new_label"))
+    ch = d.join(u, "doc_id").filter(F.col("target") != F.col("new_label"))
+    return R.noise_buckets(ch, "text", "special_ko")
+
+
+@register("json_report_lang")
+def json_report_lang(spark, sf_dir):
+    """E2 + A7: the distribution report as one JSON document."""
+    d = C.table(spark, sf_dir, "documents").withColumn("target", C.lang_label())
+    return R.json_report(d, "target")
