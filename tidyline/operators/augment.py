@@ -114,22 +114,28 @@ def mix_halves(df: DataFrame, key: str, text: str, label: str, n: int, seed: int
     draws are a small generated table, and the two lookups are equi-joins on
     (label, number): no row of the pool meets another."""
     prefix = prefix or ("augr" if reverse else "aug")
-    pool = label_rank(df.select(key, text, label), key, label, seed).select(
-        label, F.col("_rank").alias("_rn"), "_n", text)
-    sizes = pool.groupBy(label).agg(F.max("_n").alias("_n"))
+    # rank keys only (no text moves through the ranking shuffles)
+    ranked = label_rank(df.select(key, label), key, label, seed).select(
+        label, F.col("_rank").alias("_rn"), "_n", F.col(key).alias("_k"))
+    sizes = ranked.groupBy(label).agg(F.max("_n").alias("_n"))
     draws = (sizes.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-                  .withColumn("_a", hash32(label, "i", seed, F.lit("a")) % F.col("_n"))
-                  .withColumn("_b", hash32(label, "i", seed, F.lit("b")) % F.col("_n")))
-    pa = pool.select(label, F.col("_rn").alias("_a"), F.col(text).alias("_ta"))
-    pb = pool.select(label, F.col("_rn").alias("_b"), F.col(text).alias("_tb"))
-    j = draws.join(pa, [label, "_a"]).join(pb, [label, "_b"])
+                  .withColumn("_side", F.explode(F.array(F.lit("a"), F.lit("b"))))
+                  .withColumn("_rn", hash32(label, "i", seed, F.col("_side")) % F.col("_n"))
+                  .select(label, "i", "_side", "_rn"))
+    # the draw table has 2 * n * labels rows: broadcast it and stream the pool
+    picked = ranked.join(F.broadcast(draws), [label, "_rn"]).select(label, "i", "_side", "_k")
+    texts = df.select(F.col(key).alias("_k"), F.col(text).alias("_t")).join(
+        F.broadcast(picked.select("_k").distinct()), "_k")
+    pairs = (picked.join(texts, "_k").groupBy(label, "i")
+                   .agg(F.max(F.when(F.col("_side") == "a", F.col("_t"))).alias("_ta"),
+                        F.max(F.when(F.col("_side") == "b", F.col("_t"))).alias("_tb")))
     wa, wb = T.words("_ta"), T.words("_tb")
     first = F.array_join(F.slice(wa, 1, F.floor(F.size(wa) / 2).cast("int")), " ")
     half_b = F.floor(F.size(wb) / 2).cast("int")
     second = F.array_join(F.slice(wb, half_b + 1, F.size(wb) - half_b), " ")
     body = F.concat_ws(" ", second, first) if reverse else F.concat_ws(" ", first, second)
-    return j.select(F.format_string(f"{prefix}_%s_%d", F.col(label).cast("string"), F.col("i")).alias(key),
-                    body.alias(text), F.col(label))
+    return pairs.select(F.format_string(f"{prefix}_%s_%d", F.col(label).cast("string"), F.col("i")).alias(key),
+                        body.alias(text), F.col(label))
 
 
 def distinct_picks(h: list[Column], size: Column) -> list[Column]:
@@ -150,7 +156,7 @@ def few_shot(targets: DataFrame, pool: DataFrame, key: str, text: str, label: st
              k: int = 3, level: float = 0.5, ascii_ratio: float = 0.93) -> DataFrame:
     """For each target row, k distinct random pool rows of its label, each
     noised by J1 and rendered as an input / restored pair.  Adds ``examples``."""
-    numbered = label_rank(pool.select(key, text, label), key, label, seed)
+    numbered = label_rank(pool.select(key, label), key, label, seed)
     sizes = numbered.groupBy(label).agg(F.max("_n").alias("_n"))
     t = targets.select(key, label).join(F.broadcast(sizes), label, "left")
     h = [hash32(key, j, seed, F.lit("shot")) for j in range(k)]
@@ -158,8 +164,9 @@ def few_shot(targets: DataFrame, pool: DataFrame, key: str, text: str, label: st
     t = t.withColumn("_p", F.array(*[F.struct(F.lit(j).alias("j"), p.alias("rn")) for j, p in enumerate(picks)]))
     ex = t.select(key, label, F.explode("_p").alias("_s")).filter(F.col("_s.rn").isNotNull()) \
           .select(key, label, F.col("_s.j").alias("_j"), F.col("_s.rn").alias("_rank"))
-    pj = numbered.select(label, "_rank", F.col(text).alias("_orig"))
+    pj = numbered.select(label, "_rank", F.col(key).alias("_pk"))
     ex = ex.join(pj, [label, "_rank"])
+    ex = ex.join(pool.select(F.col(key).alias("_pk"), F.col(text).alias("_orig")), "_pk")
     ex = ex.withColumn("_noisy", inject_noise("_orig", key_string(key, "_j"), seed, level, ascii_ratio))
     ex = ex.withColumn("_pair", F.concat(F.lit("입력된 제목: "), F.col("_noisy"), F.lit("\n복원된 제목: "),
                                          F.col("_orig"), F.lit("\n\n")))
