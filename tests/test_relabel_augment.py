@@ -114,3 +114,15 @@ def test_replace_synonyms(spark):
     assert set(words) <= {"apple", "pie", "and", "tart", "pear", "plum"}
     assert any(w in ("pear", "plum") for w in words) and len(words) == 200
     assert A.with_augmented(df, "id", "t", syn, 13).count() == 80
+
+
+def test_vectorized_kernels_equal_native(spark):
+    from tidyline.operators.charnoise import drop_class_vectorized, inject_noise_vectorized
+    rows = [(i, ("가나 다라 abc 마바사아 " * (i % 4 + 1)) if i % 7 else "") for i in range(60)] + [(99, None)]
+    df = spark.createDataFrame(rows, "id long, t string")
+    out = df.select(
+        (A.inject_noise("t", "id", 3).eqNullSafe(inject_noise_vectorized("t", "id", 3))).alias("j1"),
+        (A.drop_class("t", "id", 4).eqNullSafe(drop_class_vectorized("t", "id", 4))).alias("j2"),
+        (A.drop_class("t", "id", 4, mode="replace").eqNullSafe(
+            drop_class_vectorized("t", "id", 4, mode="replace"))).alias("j2r"))
+    assert out.filter(~(F.col("j1") & F.col("j2") & F.col("j2r"))).count() == 0

@@ -8,6 +8,7 @@ from tidyline.functions import profiles as P
 from tidyline.functions import text as T
 from tidyline.functions.draws import sql_hash32, sql_key, sql_position_draw
 from tidyline.operators import augment as A
+from tidyline.operators.charnoise import drop_class_vectorized, inject_noise_vectorized
 from tidyline.operators import report as R
 from tidyline.plans import common as C
 from tidyline.plans import sqlfrag as S
@@ -43,7 +44,7 @@ SELECT doc_id, {_sql_noise('text', 'doc_id', NOISE_SEED)} AS noisy FROM document
 def inject_noise_docs(spark, sf_dir):
     """J1 on whole documents."""
     d = C.table(spark, sf_dir, "documents")
-    return d.select("doc_id", A.inject_noise("text", "doc_id", NOISE_SEED).alias("noisy"))
+    return d.select("doc_id", inject_noise_vectorized("text", "doc_id", NOISE_SEED).alias("noisy"))
 
 
 def _sql_drop(text: str, key: str, seed: int, replace: bool = False) -> str:
@@ -66,7 +67,7 @@ SELECT doc_id, {_sql_drop('text', 'doc_id', DROP_SEED)} AS noised_text FROM d
 def drop_hangul_docs(spark, sf_dir):
     """J2 (drop mode) on whole hangulised documents."""
     d = C.hangul_docs(spark, sf_dir)
-    return d.select("doc_id", A.drop_class("text", "doc_id", DROP_SEED).alias("noised_text"))
+    return d.select("doc_id", drop_class_vectorized("text", "doc_id", DROP_SEED).alias("noised_text"))
 
 
 @register("noised_pairs_titles", f"""
