@@ -130,3 +130,28 @@ TOKEN_RE = f"([A-Za-z]+|[0-9]+|[{HANGUL}{JAMO}]+|{TAG_PUNCT}+)"
 # the syllables U+AC00 + 196*k, k = 0..19 (a rule, not a table).
 HANGULISE_FROM = "aeionrstludhcmbfgpyw"
 HANGULISE_TO = "".join(chr(0xAC00 + 196 * k) for k in range(len(HANGULISE_FROM)))
+
+
+# ---------------------------------------------------------------------------
+# The same profiles as code-point ranges, for counting with ``translate``
+# (a per-character hash lookup in the JVM instead of a regex class test).
+# (negated, ranges): a negated profile counts characters outside the ranges.
+# ---------------------------------------------------------------------------
+
+WS_RANGES = [(0x20, 0x20), (0x09, 0x0D), (0x1C, 0x1F), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680),
+             (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000)]
+_LOWER, _UPPER, _DIGIT = (0x61, 0x7A), (0x41, 0x5A), (0x30, 0x39)
+_HANGUL_R, _JAMO_R = (0xAC00, 0xD7A3), (0x3131, 0x3163)
+RANGES = {
+    "special_ko": (True, [_LOWER, _HANGUL_R, _UPPER, _DIGIT, *WS_RANGES, _JAMO_R]),
+    "special_ko_hanja": (True, [_LOWER, _HANGUL_R, _UPPER, _DIGIT, *WS_RANGES, _JAMO_R, (0x4E00, 0x9FA5)]),
+    "upper_ko": (True, [_UPPER, _DIGIT, _HANGUL_R, *WS_RANGES]),
+    "special_syllable": (True, [_LOWER, _UPPER, _HANGUL_R, _DIGIT, *WS_RANGES]),
+    "special_latin": (True, [_LOWER, _UPPER, _DIGIT, *WS_RANGES, (0xC0, 0x24F)]),
+    "hanja": (False, [(0x4E00, 0x9FFF)]),
+    "hangul": (False, [_HANGUL_R]),
+}
+
+
+def range_chars(ranges) -> str:
+    return "".join(chr(c) for lo, hi in ranges for c in range(lo, hi + 1))

@@ -28,7 +28,16 @@ def text_length(c) -> Column:
 
 
 def class_count(c, cls: str) -> Column:
-    """Number of characters of a class (profile name or regex class)."""
+    """Number of characters of a class (profile name or regex class).
+
+    Named profiles with a code-point range form are counted with
+    ``translate`` (delete the allowed characters and measure what is left);
+    other classes with ``regexp_count``."""
+    if cls in P.RANGES:
+        negated, ranges = P.RANGES[cls]
+        chars = P.range_chars(ranges)
+        kept = F.length(F.translate(col(c), chars, ""))
+        return kept if negated else F.length(col(c)) - kept
     return F.regexp_count(col(c), F.lit(P.profile(cls)))
 
 

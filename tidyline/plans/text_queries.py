@@ -26,7 +26,7 @@ def char_ratio_profiles(spark, sf_dir):
     """B1a–B1f counts, B2 length, B3 removed length, B6 word count."""
     d = C.hangul_docs(spark, sf_dir)
     out = R.ratio_columns(d, "text").withColumn("removed_length", T.removed_length("text")) \
-        .withColumn("n_words", F.size(T.words("text")))
+        .withColumn("n_words", T.word_count("text"))
     return out.select("doc_id", *[f"n_{p}" for p in _PROFILES], "n_chars", "removed_length", "n_words")
 
 
