@@ -24,8 +24,13 @@ def char_frequency(df: DataFrame, text: str, cls: str = "special_ko", min_count:
 
     The class is extracted per row before exploding, so only matching
     characters are shuffled, and the count is partially aggregated map-side."""
-    out = (df.select(F.explode(F.regexp_extract_all(F.col(text), F.lit(f"({P.profile(cls)})"), F.lit(1))).alias("ch"))
-             .groupBy("ch").agg(F.count(F.lit(1)).alias("n")))
+    if cls in P.RANGES and P.RANGES[cls][0]:
+        # delete the allowed characters; what is left is the class
+        left = F.translate(F.col(text), P.range_chars(P.RANGES[cls][1]), "")
+        chars = F.filter(F.split(left, ""), lambda ch: ch != "")
+    else:
+        chars = F.regexp_extract_all(F.col(text), F.lit(f"({P.profile(cls)})"), F.lit(1))
+    out = df.select(F.explode(chars).alias("ch")).groupBy("ch").agg(F.count(F.lit(1)).alias("n"))
     if min_count:
         out = out.filter(F.col("n") >= min_count)
     return out
@@ -40,7 +45,7 @@ def char_set(freq: DataFrame) -> DataFrame:
 def without_hanja(c) -> Column:
     """Remove every Hanja.  The reference removes "all Hanja seen in the
     data", which on the same data is every Hanja."""
-    return F.regexp_replace(T.col(c), HANJA_RE, "")
+    return F.translate(T.col(c), P.range_chars(P.RANGES["hanja"][1]), "")
 
 
 def frequent_specials(df: DataFrame, text: str, cls: str = "special_ko",
