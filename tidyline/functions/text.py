@@ -96,10 +96,21 @@ def has_sandwich_text(c) -> Column:
     return col(c).rlike(SANDWICH_RE)
 
 
+def mask_allowed(c, ranges) -> Column:
+    """Every character in ``ranges`` becomes 'a' (``translate``, one hash
+    lookup per character), so a test on "anything else" is ``[^a]``."""
+    chars = P.range_chars(ranges)
+    return F.translate(col(c), chars, "a" * len(chars))
+
+
+_SPECIAL_RUN_ALLOWED = [(0x41, 0x5A), (0x61, 0x7A), (0x30, 0x39), (0xAC00, 0xD7A3), *P.WS_RANGES, (0x4E00, 0x9FFF)]
+_TAG_ALLOWED = [(0x41, 0x5A), (0x61, 0x7A), (0x30, 0x39), (0xAC00, 0xD7A3), (0x3131, 0x3163), *P.WS_RANGES]
+
+
 def has_special_run(c, n: int = 2) -> Column:
     """``n`` or more characters in a row outside letters, digits, Hangul,
-    Hanja and whitespace."""
-    return col(c).rlike(f"[^A-Za-z0-9{P.HANGUL}{P.WS}{P.HANJA_ALL}]{{{n},}}")
+    Hanja and whitespace (the oracle writes it as one negated regex class)."""
+    return mask_allowed(c, _SPECIAL_RUN_ALLOWED).rlike(f"[^a]{{{n},}}")
 
 
 def has_class(c, cls: str) -> Column:
@@ -185,7 +196,7 @@ def tag_run_count(c) -> Column:
     """Alpha + Number + Punctuation runs in the text (the count B13 uses)."""
     c = col(c)
     return (F.regexp_count(c, F.lit("[A-Za-z]+")) + F.regexp_count(c, F.lit("[0-9]+"))
-            + F.regexp_count(c, F.lit(f"{_PU}+")))
+            + F.regexp_count(mask_allowed(c, _TAG_ALLOWED), F.lit("[^a]+")))
 
 
 def tag_rule_v2_text(c, n: int = P.V2_MIN_TOKENS) -> Column:

@@ -192,7 +192,7 @@ def replace_synonyms(df: DataFrame, key: str, text: str, synonyms: DataFrame, se
 
     Only the drawn words are exploded and looked up; the replacements come
     back as a per-row position map."""
-    w = df.select(key, T.words(text).alias("_w"))
+    w = df.withColumn("_w", T.words(text))
     cand = (w.select(key, row_seed(key, seed, 0).alias("_s0"), row_seed(key, seed, 1).alias("_s1"),
                      F.posexplode("_w").alias("_pos", "_word"))
              .filter(position_draw(F.col("_s0"), F.col("_pos")) < threshold(ratio)))
@@ -201,9 +201,10 @@ def replace_synonyms(df: DataFrame, key: str, text: str, synonyms: DataFrame, se
                .withColumn("_new", F.element_at("_syn", (position_draw(F.col("_s1"), F.col("_pos"))
                                                           % F.size("_syn") + 1).cast("int"))))
     maps = rep.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_pos", "_new"))).alias("_m"))
+    # rows without any replacement keep their words; the map join is keyed
     out = w.join(maps, key, "left").withColumn(
-        "_t", F.array_join(F.transform("_w", lambda x, i: F.coalesce(F.try_element_at("_m", i), x)), " "))
-    return df.drop(text).join(out.select(key, F.col("_t").alias(text)), key)
+        text, F.array_join(F.transform("_w", lambda x, i: F.coalesce(F.try_element_at("_m", i), x)), " "))
+    return out.drop("_w", "_m")
 
 
 def with_augmented(df: DataFrame, key: str, text: str, synonyms: DataFrame, seed: int,
