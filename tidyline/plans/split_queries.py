@@ -72,3 +72,20 @@ def top_k_longest_docs(spark, sf_dir):
 def head_n_docs(spark, sf_dir):
     """The first 1,602 rows by key."""
     return SP.head_n(C.table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id", 1602)
+
+
+@register("docs_by_label", "SELECT doc_id, n_chars FROM documents WHERE lang = 'fr'")
+def docs_by_label(spark, sf_dir):
+    """Rows of one label."""
+    d = C.table(spark, sf_dir, "documents")
+    return d.filter(F.col("lang") == "fr").select("doc_id", "n_chars")
+
+
+@register("shuffled_docs", f"""
+SELECT doc_id, {sql_hash32(sql_key('doc_id', '99'))} AS draw FROM documents ORDER BY draw, doc_id
+""")
+def shuffled_docs(spark, sf_dir):
+    """I8 / I4: a seeded shuffle, as the sink order."""
+    from tidyline.functions.draws import hash32
+    d = C.table(spark, sf_dir, "documents").select("doc_id", hash32("doc_id", 99).alias("draw"))
+    return SP.shuffled(d, "doc_id", 99)

@@ -236,3 +236,16 @@ def rare_char_denoise_docs(spark, sf_dir):
     clean = d.filter(F.col("bucket") == "low")
     noisy = d.filter(F.col("bucket") != "low").select("doc_id", "text")
     return rare_char_denoise(noisy, "text", clean)
+
+
+@register("truncated_tokens_titles", f"""
+WITH d AS ({C.HANGUL_TITLES_SQL}),
+t AS (SELECT page_id, flatten({_SQL_TOKENS}) AS toks FROM d)
+SELECT page_id, array_to_string(list_slice(toks, 1, 30), ' ') AS tokens, len(toks) AS n_tokens FROM t
+""")
+def truncated_tokens_titles(spark, sf_dir):
+    """Tokens cut to the first 30 (max_length)."""
+    d = C.hangul_titles(spark, sf_dir)
+    toks = F.transform(F.flatten(T.tag_words(T.words("text"))), lambda x: x["tok"])
+    return d.select("page_id", F.array_join(T.truncate_tokens(toks, 30), " ").alias("tokens"),
+                    F.size(toks).alias("n_tokens"))
