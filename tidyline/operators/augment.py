@@ -16,6 +16,7 @@ from tidyline.functions import profiles as P
 from tidyline.functions import text as T
 from tidyline.functions.draws import hash32, hash32_of, key_string, position_draw
 from tidyline.operators.split import label_rank
+from tidyline.session import bounded_broadcast
 
 HANJA_LO, HANJA_HI = 0x4E00, 0x9FFF
 ASCII_LO, ASCII_HI = 33, 126
@@ -122,10 +123,11 @@ def mix_halves(df: DataFrame, key: str, text: str, label: str, n: int, seed: int
                   .withColumn("_side", F.explode(F.array(F.lit("a"), F.lit("b"))))
                   .withColumn("_rn", hash32(label, "i", seed, F.col("_side")) % F.col("_n"))
                   .select(label, "i", "_side", "_rn"))
-    # the draw table has 2 * n * labels rows: broadcast it and stream the pool
-    picked = ranked.join(F.broadcast(draws), [label, "_rn"]).select(label, "i", "_side", "_k")
+    # the draw table has 2 * n * labels rows: broadcast it (size checked) and
+    # stream the pool; texts are fetched only for the drawn keys
+    picked = ranked.join(bounded_broadcast(draws), [label, "_rn"]).select(label, "i", "_side", "_k")
     texts = df.select(F.col(key).alias("_k"), F.col(text).alias("_t")).join(
-        F.broadcast(picked.select("_k").distinct()), "_k")
+        bounded_broadcast(picked.select("_k").distinct()), "_k")
     pairs = (picked.join(texts, "_k").groupBy(label, "i")
                    .agg(F.max(F.when(F.col("_side") == "a", F.col("_t"))).alias("_ta"),
                         F.max(F.when(F.col("_side") == "b", F.col("_t"))).alias("_tb")))
@@ -158,7 +160,7 @@ def few_shot(targets: DataFrame, pool: DataFrame, key: str, text: str, label: st
     noised by J1 and rendered as an input / restored pair.  Adds ``examples``."""
     numbered = label_rank(pool.select(key, label), key, label, seed)
     sizes = numbered.groupBy(label).agg(F.max("_n").alias("_n"))
-    t = targets.select(key, label).join(F.broadcast(sizes), label, "left")
+    t = targets.select(key, label).join(bounded_broadcast(sizes), label, "left")
     h = [hash32(key, j, seed, F.lit("shot")) for j in range(k)]
     picks = distinct_picks(h, F.col("_n"))
     t = t.withColumn("_p", F.array(*[F.struct(F.lit(j).alias("j"), p.alias("rn")) for j, p in enumerate(picks)]))

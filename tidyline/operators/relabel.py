@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidyline.functions import text as T
+from tidyline.session import bounded_broadcast, materialize
 
 EPS = 1e-6
 DIGITS = 9
@@ -46,13 +47,16 @@ def centroid_oof_probs(df: DataFrame, key: str, vec: str, label: str, fold: str,
                .join(sums, [fold, label, "dim"], "left"))
     cen = grid.withColumn("v", (F.col("ts") - F.coalesce("s", F.lit(0.0)))
                           / (F.col("tc") - F.coalesce("c", F.lit(0))))
-    per_label = cen.groupBy(fold, label).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("dim", "v"))), lambda s: s["v"]).alias("cv"))
+    per_label = materialize(cen.groupBy(fold, label).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("dim", "v"))), lambda s: s["v"]).alias("cv")))
     per_fold = per_label.groupBy(fold).agg(
         F.transform(F.array_sort(F.collect_list(F.struct(F.col(label).alias("l"), "cv"))),
                     lambda s: s["cv"]).alias("_cents"))
     xv = F.transform(F.col(vec), lambda a: a.cast("double"))
-    scored = df.join(F.broadcast(per_fold), fold).withColumn(
+    # per_fold has k rows of K x D numbers: check that size before broadcasting
+    shape = per_label.agg(F.count(F.lit(1)).alias("r"), F.max(F.size("cv")).alias("d")).first()
+    cells = max(1, (shape["r"] or 0) // max(1, k)) * max(1, shape["d"] or 1)
+    scored = df.join(bounded_broadcast(per_fold, cells_per_row=cells), fold).withColumn(
         "_z", F.transform("_cents", lambda c: -F.aggregate(
             F.zip_with(xv, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, y: acc + y) / temperature))
     return (scored.withColumn("prob", F.transform(T.softmax("_z"), lambda p: F.round(p, DIGITS)))
@@ -135,7 +139,7 @@ def find_label_issues(df: DataFrame, key: str, label: str, prob: str) -> DataFra
     ex = (df.select(key, label, prob, F.posexplode(prob).alias("_o", "p_other"))
             .filter(F.col("_o") != F.col(label))
             .withColumn("_g", F.col(label)))
-    ex = ex.join(F.broadcast(q), ["_g", "_o"])
+    ex = ex.join(bounded_broadcast(q), ["_g", "_o"])
     ex = ex.withColumn("margin", F.col("p_other") - F.element_at(prob, F.col(label) + 1))
     # margin in [-1, 1] -> ascending 32-bit key for descending margin
     ex = ex.withColumn("_sk", F.least(F.floor((F.lit(1.0) - F.col("margin")) / 2 * 4294967295.0),

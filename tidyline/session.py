@@ -61,3 +61,17 @@ def materialize(df, how: str = "persist"):
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def bounded_broadcast(df, max_rows: int = BROADCAST_MAX_ROWS, cells_per_row: int = 1):
+    """Broadcast a side only after checking its size: the (small, derived)
+    frame is kept, counted in one job, and broadcast when rows x cells fits;
+    beyond that it is returned as is and the planner shuffles instead."""
+    from pyspark.sql import functions as F
+    kept = materialize(df)
+    if kept.count() * max(1, cells_per_row) <= max_rows:
+        return F.broadcast(kept)
+    return kept
