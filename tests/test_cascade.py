@@ -77,3 +77,11 @@ def test_streaming_equals_batch(spark, tmp_path):
     q.stop()
     got = {r["ID"]: r["stage"] for r in spark.sql("SELECT * FROM cascade_stream").collect()}
     assert got == batch
+
+
+def test_control_char_stays_punctuation(spark):
+    df = spark.createDataFrame([("가\x01\x01나",), ("a\x01b\x01c",)], "t string").withColumn(
+        "tags", T.tag_words(T.words("t")))
+    r = df.select((T.tag_rule_v1("tags") == T.tag_rule_v1_text("t")).alias("v1"),
+                  (T.tag_rule_v2("tags") == T.tag_rule_v2_text("t")).alias("v2")).collect()
+    assert all(x["v1"] and x["v2"] for x in r)

@@ -182,21 +182,38 @@ V1_TWO_ALPHA = f"{_A}[^A-Za-z{P.WS}]+{_A}"
 V1_TWO_PUNCT = f"{_PU}{_NOT_PUNCT}+{_PU}"
 
 
+# Script classes folded to Latin-1 stand-ins: Hangul and Jamo -> \x01, every
+# whitespace character -> ' '.  Letters, digits and everything else stay, so
+# on the folded text the tag classes are plain byte classes for the JVM.
+_FOLD_FROM = P.range_chars([(0xAC00, 0xD7A3), (0x3131, 0x3163)])
+_WS_FROM = P.range_chars(P.WS_RANGES)
+_FOLD_PU = "[^A-Za-z0-9\x01 ]"
+
+
+def fold_scripts(c) -> Column:
+    """Hangul/Jamo -> U+0001 and whitespace -> space (``translate``)."""
+    # an original U+0001 (a punctuation character) becomes U+0002 first
+    return F.translate(col(c), "\x01" + _FOLD_FROM + _WS_FROM,
+                       "\x02" + "\x01" * len(_FOLD_FROM) + " " * len(_WS_FROM))
+
+
 def tag_rule_v1_text(c) -> Column:
     """B12 without building tag arrays (same result as ``tag_rule_v1`` and
-    as the single regex ``V1_RE``).  Two cheap scans decide most rows; the
-    alpha+punct+number-in-one-word test runs per word, and only on texts
-    that contain a digit at all."""
-    c = col(c)
-    three = F.exists(words(c), lambda w: w.rlike(_A) & w.rlike(_N) & w.rlike(_PU))
-    return c.rlike(V1_TWO_ALPHA) | c.rlike(V1_TWO_PUNCT) | (c.rlike(_N) & three)
+    as the single regex ``V1_RE``), on the script-folded text.  Two cheap
+    scans decide most rows; the alpha+punct+number-in-one-word test runs per
+    word, and only on texts that contain a digit at all."""
+    f = fold_scripts(c)
+    two_alpha = f.rlike("[A-Za-z][^A-Za-z ]+[A-Za-z]")
+    two_punct = f.rlike(f"{_FOLD_PU}[A-Za-z0-9\x01]+{_FOLD_PU}")
+    three = F.exists(F.split(f, " "), lambda w: w.rlike(_A) & w.rlike(_N) & w.rlike(_FOLD_PU))
+    return two_alpha | two_punct | (f.rlike(_N) & three)
 
 
 def tag_run_count(c) -> Column:
     """Alpha + Number + Punctuation runs in the text (the count B13 uses)."""
-    c = col(c)
-    return (F.regexp_count(c, F.lit("[A-Za-z]+")) + F.regexp_count(c, F.lit("[0-9]+"))
-            + F.regexp_count(mask_allowed(c, _TAG_ALLOWED), F.lit("[^a]+")))
+    f = fold_scripts(c)
+    return (F.regexp_count(f, F.lit("[A-Za-z]+")) + F.regexp_count(f, F.lit("[0-9]+"))
+            + F.regexp_count(f, F.lit(_FOLD_PU + "+")))
 
 
 def tag_rule_v2_text(c, n: int = P.V2_MIN_TOKENS) -> Column:
