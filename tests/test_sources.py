@@ -53,3 +53,14 @@ def test_json_report(spark, tmp_path):
     IO.write_json_report(R.distribution_report(df), p)
     lines = [json.loads(x) for f in os.listdir(p) if f.startswith("part-") for x in open(os.path.join(p, f))]
     assert len(lines) == 7
+
+
+def test_min_fields_read(spark, tmp_path):
+    p = tmp_path / "syn.csv"
+    p.write_text('ID,text,target\na,"x, y",1\nb,short\n\nc,,2\nd,z,\n')
+    df = IO.read_min_fields(spark, str(p), ["ID", "text", "target"])
+    assert sorted(map(tuple, df.collect())) == [("a", "x, y", "1"), ("c", None, "2"), ("d", "z", None)]
+    q = tmp_path / "wide.csv"
+    q.write_text("ID,text,target\na,x,1,extra\n")
+    with pytest.raises(Exception, match="too many fields"):
+        IO.read_min_fields(spark, str(q), ["ID", "text", "target"]).collect()

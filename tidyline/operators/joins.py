@@ -17,9 +17,11 @@ def unique_by_key(upd: DataFrame, key: str, cols: list[str]) -> DataFrame:
     The aggregate is partitioned by ``key``, which the following join reuses."""
     aggs = [F.count(F.lit(1)).alias("_dup")] + [F.first(c, ignorenulls=False).alias(c) for c in cols]
     g = upd.groupBy(key).agg(*aggs)
+    # one CASE in the filter, so the check cannot be pruned or reordered away
     check = F.when(F.col("_dup") > 1, F.raise_error(F.concat(F.lit("duplicate key in update: "),
-                                                             F.col(key).cast("string"))))
-    return g.withColumn("_ok", check).filter(F.col("_ok").isNull()).drop("_ok", "_dup")
+                                                             F.col(key).cast("string"))).cast("boolean")
+                   ).otherwise(F.lit(True))
+    return g.filter(check).drop("_dup")
 
 
 def update_by_key(base: DataFrame, upd: DataFrame, key: str, column: str) -> DataFrame:

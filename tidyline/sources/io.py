@@ -52,6 +52,28 @@ def read_with_bad_rows(spark: SparkSession, path: str, schema: T.StructType,
     return good, bad
 
 
+def read_min_fields(spark: SparkSession, path: str, names: list[str], min_fields: int = 3) -> DataFrame:
+    """A3: rows with fewer than ``min_fields`` fields are skipped; a row with
+    more fields than ``names`` fails the job (in plan).
+
+    The schema carries one extra column: a row with too many fields fills it;
+    every other row is then short of the schema, so Spark keeps its raw text
+    in ``_corrupt``, whose fields are counted outside quotes."""
+    cols = [T.StructField(n, T.StringType()) for n in names]
+    schema = T.StructType(cols + [T.StructField("_extra", T.StringType()),
+                                  T.StructField("_corrupt", T.StringType())])
+    raw = (spark.read.schema(schema).option("header", True).option("multiLine", True)
+           .option("escape", '"').option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", "_corrupt").csv(path)).cache()
+    unquoted = F.regexp_replace(F.col("_corrupt"), '"(?:[^"]|"")*"', "")
+    n_fields = F.regexp_count(unquoted, F.lit(",")) + 1
+    keep = F.col("_corrupt").isNotNull() & (n_fields >= min_fields) & (n_fields <= len(names))
+    # one CASE, so the check cannot be reordered behind the row filter
+    cond = F.when(F.col("_extra").isNotNull(),
+                  F.raise_error(F.lit("row with too many fields")).cast("boolean")).otherwise(keep)
+    return raw.filter(cond).drop("_extra", "_corrupt")
+
+
 def read_positional(spark: SparkSession, path: str, names: list[str], positions: list[int]) -> DataFrame:
     """A4: skip the header, keep columns by position (0-based), rename."""
     raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
