@@ -199,7 +199,10 @@ def replace_synonyms(df: DataFrame, key: str, text: str, synonyms: DataFrame, se
                      F.posexplode("_w").alias("_pos", "_word"))
              .filter(position_draw(F.col("_s0"), F.col("_pos")) < threshold(ratio)))
     syn = synonyms.select(F.col("word").alias("_word"), F.col("synonyms").alias("_syn"))
-    rep = (cand.join(syn, "_word")
+    # candidates are keyed by word, and frequent words are hot keys: broadcast
+    # the synonym table when its checked size allows, so no word is shuffled
+    # (beyond the limit the planner shuffles, and AQE splits skewed partitions)
+    rep = (cand.join(bounded_broadcast(syn), "_word")
                .withColumn("_new", F.element_at("_syn", (position_draw(F.col("_s1"), F.col("_pos"))
                                                           % F.size("_syn") + 1).cast("int"))))
     maps = rep.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_pos", "_new"))).alias("_m"))
