@@ -71,3 +71,14 @@ def test_sample_and_topk(spark):
     assert s.groupBy("lab").count().filter("count = 5").count() == 2
     top = SP.top_k_longest(df, "t", "k", 3).collect()
     assert [len(r["t"]) for r in top] == [16, 16, 16]
+
+
+def test_exact_top_equals_window_with_ties(spark):
+    from tidyline.operators.relabel import exact_top
+    rows = [(i, i % 3, float((i * 7) % 5) / 4 - 0.5, 1 + (i % 3) * 4) for i in range(400)]
+    df = spark.createDataFrame(rows, "k long, g int, margin double, quota long")
+    df = df.withColumn("_sk", F.floor((F.lit(1.0) - F.col("margin")) / 2 * 4294967295.0).cast("bigint"))
+    got = exact_top(df, ["g"], "_sk", [F.desc("margin"), F.col("k")], "quota", bucket_bits=3).select("k")
+    w = Window.partitionBy("g").orderBy(F.desc("margin"), "k")
+    ref = df.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= F.col("quota")).select("k")
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
