@@ -22,6 +22,34 @@ LOCAL_CONF = {
 }
 
 
+# Settings for a large cluster (for example 1,000 executors over ~100 TB).
+# Shuffle partitions are set high and AQE coalesces them to ~256 MB each at
+# run time; input splits of 256 MB keep scan tasks in memory; skewed
+# partitions (a label or word holding a third of the rows) are split by AQE.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.ui.enabled": "false",
+}
+
+
+def configure_cluster(spark: SparkSession) -> SparkSession:
+    """Apply the runtime SQL settings of ``CLUSTER_CONF`` to a session
+    (static settings must be given when the cluster session is built)."""
+    for k, v in CLUSTER_CONF.items():
+        if k != "spark.ui.enabled":
+            spark.conf.set(k, v)
+    ensure_checkpoint_dir(spark)
+    return spark
+
+
 def local_session(cores: str = "*", app: str = "tidyline", **conf) -> SparkSession:
     b = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for k, v in {**LOCAL_CONF, **conf}.items():
