@@ -92,3 +92,10 @@ def test_first_of_lines(spark):
     assert one(spark, T.first_of_lines("t"), "a\r\nb") == "a"
     assert one(spark, T.first_of_lines("t"), "") == ""
     assert one(spark, F.length(T.first_of_lines("t")), "x y") == 1
+
+
+def test_drop_latin_tokens_equals_tag_form(spark):
+    samples = ["한국MS 윈도10 IoT 에디션", "ab 가", "  x1y 나-다 ", "", "가a.b1나"]
+    df = spark.createDataFrame([(s,) for s in samples], "t string")
+    r = df.select(T.drop_latin_tokens("t").alias("a"), T.keep_tags(T.tag_words(T.words("t"))).alias("b")).collect()
+    assert all(x["a"] == x["b"] for x in r)

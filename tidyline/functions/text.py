@@ -164,6 +164,14 @@ def keep_tags(tags, drop: Sequence[str] = ("Alpha", "Number")) -> Column:
     return collapse_ws(joined)
 
 
+def drop_latin_tokens(c) -> Column:
+    """B14 for the usual drop set (Alpha and Number) without tag arrays:
+    Alpha and Number tokens are exactly the runs of [A-Za-z] and [0-9], so
+    deleting those characters and normalising whitespace gives the same text
+    as ``keep_tags(tag_words(words(c)))``."""
+    return collapse_ws(F.translate(col(c), "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", ""))
+
+
 # Regex forms of B12/B13 on the whole text.  A word is a maximal run of
 # non-space characters and the four tag classes cover every such character,
 # so "two alpha runs in one word" is an alpha, a run of non-alpha non-space

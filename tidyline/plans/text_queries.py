@@ -86,9 +86,9 @@ SELECT doc_id, {S.collapse_ws(
 FROM d
 """)
 def drop_latin_tokens_docs(spark, sf_dir):
-    """B14 on whole documents."""
+    """B14 on whole documents (the oracle uses the tag-array form)."""
     d = C.hangul_docs(spark, sf_dir)
-    return d.select("doc_id", T.keep_tags(T.tag_words(T.words("text"))).alias("text"))
+    return d.select("doc_id", T.drop_latin_tokens("text").alias("text"))
 
 
 def _sql_strip_tags(e: str) -> str:
