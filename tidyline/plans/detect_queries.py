@@ -36,8 +36,8 @@ def noise_stage_counts(spark, sf_dir):
 
 
 @register("noise_prediction_summary", _CASCADE_DOCS_SQL + """
-SELECT count(*) AS total, sum(CASE WHEN stage <> 'not_noise' THEN 1 ELSE 0 END) AS noise,
-       sum(CASE WHEN stage <> 'not_noise' THEN 0 ELSE 1 END) AS normal FROM s
+SELECT count(*) AS total, CAST(sum(CASE WHEN stage <> 'not_noise' THEN 1 ELSE 0 END) AS BIGINT) AS noise,
+       CAST(sum(CASE WHEN stage <> 'not_noise' THEN 0 ELSE 1 END) AS BIGINT) AS normal FROM s
 """)
 def noise_prediction_summary(spark, sf_dir):
     return D.prediction_summary(cascade_docs(spark, sf_dir))

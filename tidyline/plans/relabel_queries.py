@@ -44,7 +44,8 @@ M AS (SELECT PX.*, CASE WHEN pk >= TT.t - 1e-6 THEN pk ELSE -1.0 END AS mk FROM
 MM AS (SELECT *, max(mk) OVER (PARTITION BY vec_id) AS mx FROM M),
 GS AS (SELECT vec_id, label, CASE WHEN max(mx) >= 0 THEN min(k) FILTER (WHERE mk = mx) END AS guess
       FROM MM GROUP BY vec_id, label),
-J AS (SELECT label AS given, guess, count(*) AS n FROM GS WHERE guess IS NOT NULL GROUP BY label, guess),
+J AS (SELECT label AS given, CAST(guess AS INTEGER) AS guess, count(*) AS n FROM GS WHERE guess IS NOT NULL
+      GROUP BY label, guess),
 NI AS (SELECT label AS given, count(*) AS n_i FROM P GROUP BY label),
 RS AS (SELECT given, sum(n) + CASE WHEN coalesce(sum(n) FILTER (WHERE guess = given), 0) < 1 THEN 1 ELSE 0 END AS rowsum
        FROM J GROUP BY given),

@@ -65,7 +65,7 @@ SELECT doc_id, length(text) AS n_chars FROM documents ORDER BY length(text) DESC
 def top_k_longest_docs(spark, sf_dir):
     """The 600 longest texts (a top-k report)."""
     d = C.table(spark, sf_dir, "documents")
-    return SP.top_k_longest(d, "text", "doc_id", 600).select("doc_id", F.length("text").alias("n_chars"))
+    return SP.top_k_longest(d, "text", "doc_id", 600).select("doc_id", F.length("text").cast("bigint").alias("n_chars"))
 
 
 @register("head_n_docs", "SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 1602")

@@ -27,7 +27,8 @@ def char_ratio_profiles(spark, sf_dir):
     d = C.hangul_docs(spark, sf_dir)
     out = R.ratio_columns(d, "text").withColumn("removed_length", T.removed_length("text")) \
         .withColumn("n_words", T.word_count("text"))
-    return out.select("doc_id", *[f"n_{p}" for p in _PROFILES], "n_chars", "removed_length", "n_words")
+    return out.select("doc_id", *[F.col(c).cast("bigint").alias(c) for c in
+                                  [f"n_{p}" for p in _PROFILES] + ["n_chars", "removed_length", "n_words"]])
 
 
 @register("char_ratio_rounded_titles", f"""
@@ -179,7 +180,7 @@ def synonym_answers_conversations(spark, sf_dir):
     """C14 on every turn."""
     c = C.table(spark, sf_dir, "conversations").withColumn("s", T.parse_synonyms("text"))
     return c.select("conv_id", "turn", F.array_join("s", "|").alias("synonyms"),
-                    F.size("s").alias("n_synonyms"))
+                    F.size("s").cast("bigint").alias("n_synonyms"))
 
 
 _TITLE = S.py_strip(f"split_part(text, {S.q(P.TITLE_MARKER)}, -1)")
@@ -210,7 +211,7 @@ def vector_text_roundtrip(spark, sf_dir):
     s = F.concat(F.lit("["), F.array_join(F.transform("embedding", lambda x: F.round(x.cast("double") * 1000000)
                                                        .cast("bigint").cast("string")), " "), F.lit("]"))
     p = T.parse_vector(s)
-    return e.select("vec_id", F.size(p).alias("n"),
+    return e.select("vec_id", F.size(p).cast("bigint").alias("n"),
                     F.aggregate(p, F.lit(0.0), lambda a, x: a + x).cast("bigint").alias("total"))
 
 
@@ -248,4 +249,4 @@ def truncated_tokens_titles(spark, sf_dir):
     d = C.hangul_titles(spark, sf_dir)
     toks = F.transform(F.flatten(T.tag_words(T.words("text"))), lambda x: x["tok"])
     return d.select("page_id", F.array_join(T.truncate_tokens(toks, 30), " ").alias("tokens"),
-                    F.size(toks).alias("n_tokens"))
+                    F.size(toks).cast("bigint").alias("n_tokens"))
