@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidyline.llm import packing, quality_rules, secrets
+from tidyline.llm import language_id, line_dedup, packing, quality_model, quality_rules, secrets
 from tidyline.llm.common import read_documents
 
 QUERIES, ORACLES = {}, {}
@@ -17,11 +17,26 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_quality_model")
+def op1(spark, sf_dir):
+    return quality_model.classify(read_documents(spark, sf_dir))
+
+
+@query("op3_language_id")
+def op3(spark, sf_dir):
+    return language_id.identify(read_documents(spark, sf_dir))
+
+
 @query("op4_packing")
 def op4(spark, sf_dir):
     return packing.pieces(read_documents(spark, sf_dir))
 
 
+@query("op7_line_dedup")
+def op7(spark, sf_dir):
+    return line_dedup.digest(read_documents(spark, sf_dir))
+
+
 @query("op9_secrets")
 def op9(spark, sf_dir):
     return secrets.digest(read_documents(spark, sf_dir))
