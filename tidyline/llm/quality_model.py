@@ -57,13 +57,17 @@ def votes(text: bytes, c: np.ndarray) -> str | None:
     variety = sum(len(set(r)) for r in runs) / w
     upper = int(n[ord("A")]) / max(1, letters)
     return "".join((
-        vote(False, signs > 0.3), vote(letters > 0.93 * solid, letters < 0.85 * solid), vote(False, n[ord("|")] > 0.2 * w),
+        vote(False, signs > 0.3), vote(letters > 0.93 * solid, w >= 8 and letters < 0.85 * solid), vote(False, n[ord("|")] > 0.2 * w),
         vote(ends > 0.9, ends < 0.7), vote(False, w >= 8 and fresh < 0.5), vote(w >= 20 and variety > 0.6, w >= 8 and variety < 0.35),
         vote(False, upper > 0.5), vote(False, n[ord("!")] > 0.2 * w)))
 
 
-def shapes(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places and weights of the hashed shape pairs and triples of a text."""
+def shapes(text: bytes, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places and weights of the hashed shape pairs and triples of a text, and of
+    the tenth in which its share of distinct words and word pairs lies."""
+    words = text.split()
+    w = max(1, len(words))
+    tenths = [int(9.99 * len(set(zip(words, words[1:], strict=False))) / w), 16 + int(9.99 * sum(len(set(words[i:i + 100])) for i in range(0, w, 100)) / w)]
     a = c.astype(np.uint32)
     two = (a[:-1] << 8) | a[1:]
     three = (two[:-1] << 8) | a[2:]
@@ -72,8 +76,10 @@ def shapes(c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = (h >> np.uint64(52)).astype(np.int64) % DIMS
     value = np.log1p(n * (1000.0 / max(1, len(c))))
     dense = np.bincount(at, value, minlength=DIMS)
+    dense /= max(1e-9, np.sqrt((dense ** 2).sum()))
+    dense[[(x * 0x9E3779B1 >> 7) % DIMS for x in tenths]] += 0.5
     where = np.flatnonzero(dense)
-    return where.astype("<u2"), (dense[where] / np.sqrt((dense[where] ** 2).sum())).astype("<f4")
+    return where.astype("<u2"), dense[where].astype("<f4")
 
 
 def label(docs: DataFrame) -> DataFrame:
@@ -86,7 +92,7 @@ def label(docs: DataFrame) -> DataFrame:
                 b = (t.as_py() or "").encode("utf-8", "replace")
                 c = _CLASS[np.frombuffer(b, np.uint8)]
                 said.append(votes(b, c))
-                i, v = shapes(c) if said[-1] is not None and len(c) > 2 else (np.zeros(0, "<u2"), np.zeros(0, "<f4"))
+                i, v = shapes(b, c) if said[-1] is not None else (np.zeros(0, "<u2"), np.zeros(0, "<f4"))
                 at.append(i.tobytes())
                 value.append(v.tobytes())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(said, pa.string()), pa.array(at, pa.binary()), pa.array(value, pa.binary())],
