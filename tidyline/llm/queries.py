@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidyline.llm import language_id, line_dedup, packing, quality_model, quality_rules, secrets
+from tidyline.llm import fingerprints, language_id, line_dedup, mixing, packing, quality_model, quality_rules, secrets
 from tidyline.llm.common import read_documents
 
 QUERIES, ORACLES = {}, {}
@@ -32,11 +32,21 @@ def op4(spark, sf_dir):
     return packing.pieces(read_documents(spark, sf_dir))
 
 
+@query("op5_mixing", mixing.ORACLE)
+def op5(spark, sf_dir):
+    return mixing.plan(read_documents(spark, sf_dir)).drop("_key")
+
+
 @query("op7_line_dedup")
 def op7(spark, sf_dir):
     return line_dedup.digest(read_documents(spark, sf_dir))
 
 
+@query("op8_fingerprints")
+def op8(spark, sf_dir):
+    return fingerprints.with_edits(read_documents(spark, sf_dir))
+
+
 @query("op9_secrets")
 def op9(spark, sf_dir):
     return secrets.digest(read_documents(spark, sf_dir))
