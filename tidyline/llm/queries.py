@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidyline.llm import fingerprints, language_id, line_dedup, mixing, packing, quality_model, quality_rules, secrets
+from tidyline.llm import fingerprints, language_id, line_dedup, mixing, near_dedup, packing, quality_model, quality_rules, secrets
 from tidyline.llm.common import read_documents
 
 QUERIES, ORACLES = {}, {}
@@ -22,6 +22,11 @@ def op1(spark, sf_dir):
     return quality_model.classify(read_documents(spark, sf_dir))
 
 
+@query("op2_near_dedup")
+def op2(spark, sf_dir):
+    return near_dedup.near_duplicates(read_documents(spark, sf_dir), size=2, percent=80)
+
+
 @query("op3_language_id")
 def op3(spark, sf_dir):
     return language_id.identify(read_documents(spark, sf_dir))
