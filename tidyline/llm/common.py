@@ -51,3 +51,30 @@ def let(value: Column, body) -> Column:
     """``body(value)``, with ``value`` computed once.  Within a lambda an outer
     expression would be computed again for each element."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+#: Bounds of ranges that a plan holds as literals at most; finer ranges divide those evenly.
+MAX_BOUNDS = 2000
+
+
+def id_ranges(docs: DataFrame, parts: int, key: str = "doc_id") -> Column:
+    """The number of the range in which ``key`` (a long) lies, about ``parts`` in
+    all, ascending with the key; 0 for null.  Bounds are approximate percentiles."""
+    n = min(parts, MAX_BOUNDS)
+    at = [k / n for k in range(n + 1)]
+    bounds = docs.agg(F.percentile_approx(key, at, 10 * MAX_BOUNDS)).first()[0] or [0]
+    cut = sorted(set(bounds))
+    if len(cut) < 2:
+        return F.when(F.col(key).isNotNull(), F.when(F.col(key) <= int(cut[0]), 0).otherwise(1)).otherwise(0).cast("long")
+    ends = F.array(*[F.lit(int(b)) for b in cut]).cast("array<bigint>")
+    part = F.size(F.filter(ends, lambda b: b < F.col(key)))  # 0: up to the least bound
+    if parts <= n:
+        return F.when(F.col(key).isNotNull(), part).otherwise(0).cast("long")
+    fine = -(-parts // n)
+
+    def inside(p: Column) -> Column:
+        lo, hi = F.get(ends, p - 1), F.get(ends, p)
+        at = F.floor((F.col(key) - lo - 1).cast("double") / (hi - lo).cast("double") * fine)
+        return p.cast("long") * fine + F.coalesce(F.greatest(F.lit(0), F.least(F.lit(fine - 1), at)), F.lit(0))
+
+    return F.when(F.col(key).isNotNull(), let(part, inside)).otherwise(0).cast("long")

@@ -26,14 +26,14 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidyline.llm.common import plain_words
+from tidyline.llm.common import id_ranges, plain_words
 
 SAMPLES = 64
 DIMS = 8192
 SEED = 11
-#: Documents in a range of doc_id, and ranges at most (their bounds are literals of the plan).
+#: Documents in a range of doc_id, and ranges at most (a row of each is broadcast).
 RANGE_DOCS = 500
-MAX_RANGES = 2000
+MAX_RANGES = 20_000
 
 
 def variables(spark: SparkSession, samples: int = SAMPLES, dims: int = DIMS, seed: int = SEED) -> DataFrame:
@@ -90,11 +90,8 @@ def ranged(docs: DataFrame) -> DataFrame:
     ``guest``, the first document of the range that follows in descending order."""
     d = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     n = d.filter("doc_id is not null").count()
-    parts = min(MAX_RANGES, max(1, math.ceil(n / RANGE_DOCS)))
-    at = [k / parts for k in range(1, parts)]
-    bounds = d.agg(F.percentile_approx("doc_id", at, 10 * MAX_RANGES)).first()[0] if at else []
-    cut = F.array(*[F.lit(int(b)) for b in sorted(set(bounds or []))]).cast("array<bigint>")
-    part = F.coalesce(F.size(F.filter(cut, lambda b: b < F.col("doc_id"))), F.lit(-1)).alias("part")
+    part = id_ranges(d, min(MAX_RANGES, max(1, math.ceil(n / RANGE_DOCS)))) if n else F.lit(0).cast("long")
+    part = F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(part).cast("int").alias("part")
     d = d.select("doc_id", "text", part)
     # of each range (a row each, at most MAX_RANGES): its greatest id, and the range above it
     tops = d.groupBy("part").agg(F.max("doc_id").alias("_top"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidyline.llm import fingerprints, language_id, line_dedup, mixing, near_dedup, packing, quality_model, quality_rules, secrets
+from tidyline.llm import fingerprints, language_id, line_dedup, mixing, near_dedup, packing, quality_model, quality_rules, repeats, secrets
 from tidyline.llm.common import read_documents
 
 QUERIES, ORACLES = {}, {}
@@ -42,6 +42,11 @@ def op5(spark, sf_dir):
     return mixing.plan(read_documents(spark, sf_dir)).drop("_key")
 
 
+@query("op6_repeats")
+def op6(spark, sf_dir):
+    return repeats.digest(read_documents(spark, sf_dir))
+
+
 @query("op7_line_dedup")
 def op7(spark, sf_dir):
     return line_dedup.digest(read_documents(spark, sf_dir))
