@@ -90,3 +90,19 @@ def digest(docs: DataFrame) -> DataFrame:
         "doc_id", "n_units", F.when(n > 0, n).otherwise(0).cast("long").alias("n_removed"),
         F.coalesce(F.array_join(F.transform("removed", lambda r: F.concat_ws(":", r["start"], r["end"])), ","), F.lit("")).alias("removed_spans"),
         F.sha2("kept_text", 256).alias("kept_sha256"), "kept_text")
+
+
+ORACLE = rf"""
+WITH l AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i,
+         len(string_split(coalesce(text, ''), chr(10))) AS n, coalesce(text, '') AS text FROM documents),
+w AS (
+  SELECT *, regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words,
+         coalesce(sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM l),
+r AS (
+  SELECT *, len(words) >= {MIN_WORDS} AND row_number() OVER (PARTITION BY array_to_string(words, ' ') ORDER BY doc_id, i) > 1 AS gone FROM w)
+SELECT doc_id, CASE WHEN any_value(text) = '' THEN 0 ELSE any_value(n) END::BIGINT AS n_units, count(*) FILTER (gone)::BIGINT AS n_removed,
+       coalesce(string_agg(start || ':' || (start + length(line)), ',' ORDER BY i) FILTER (gone), '') AS removed_spans,
+       sha256(coalesce(string_agg(line || CASE WHEN i < n THEN chr(10) ELSE '' END, '' ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256,
+       coalesce(string_agg(line || CASE WHEN i < n THEN chr(10) ELSE '' END, '' ORDER BY i) FILTER (NOT gone), '') AS kept_text
+FROM r GROUP BY doc_id"""

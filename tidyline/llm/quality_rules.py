@@ -104,19 +104,50 @@ def host_verdicts(counted: DataFrame, host: str = "source", max_rate: float = MA
             .select("host", "n_docs", "n_failed", "host_rate", "host_ok"))
 
 
-def judge(docs: DataFrame, host: str = "source", text: str = "text", max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """``docs`` with the counts, base_failed, the host's rate and kept."""
-    added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "host_rate", "host_ok", "kept"]
-    docs = docs.drop(*[c for c in added if c not in (host, text)])
-    counted = count_rules(docs, text)
+ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "host_rate", "host_ok", "kept")
+
+
+def _judged(counted: DataFrame, host: str, max_rate: float) -> DataFrame:
     # the table of hosts is written first: Spark broadcasts it if its size is below the threshold, else shuffles
     hosts = written(host_verdicts(counted, host, max_rate), "hosts").select(F.col("host").alias("_host"), "host_rate", "host_ok")
     return (counted.join(hosts, F.col(host).eqNullSafe(F.col("_host")), "left").drop("_host")
             .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("host_ok"), F.lit(True))))
 
 
+def judge(docs: DataFrame, host: str = "source", text: str = "text", max_rate: float = MAX_HOST_RATE) -> DataFrame:
+    """``docs`` with the counts, base_failed, the host's rate and kept."""
+    docs = docs.drop(*[c for c in ADDED if c not in (host, text)])
+    return _judged(count_rules(docs, text), host, max_rate)
+
+
+def verdicts(docs: DataFrame) -> DataFrame:
+    """doc_id, counts and verdict of every document; texts are read once."""
+    counted = written(count_rules(docs.select("doc_id", "source", "text")).drop("text"), "counted")
+    return _judged(counted, "source", MAX_HOST_RATE).select(
+        "doc_id", *ADDED[:6], "kept", F.round("host_rate", 6).alias("host_rate"))
+
+
 def kept_rows(docs: DataFrame, host: str = "source", text: str = "text", max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """The rows that pass, with the columns of ``docs`` only."""
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
                         F.col(host).alias("_src"), F.col(text).alias("_txt"))
     return judge(inner, "_src", "_txt", max_rate).filter("kept").select("_row.*")
+
+
+ORACLE = rf"""
+WITH t AS (SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM t WHERE len(w) > 2),
+d AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM g),
+p AS (SELECT doc_id, count(DISTINCT p) AS n_repeat FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM d WHERE n > 1) GROUP BY doc_id),
+l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM t),
+c AS (SELECT doc_id, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+             (length(t) - length(translate(t, '{SYMBOLS}', '')))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+             coalesce(n_repeat, 0)::BIGINT AS n_repeat_words FROM t JOIN l USING (doc_id) LEFT JOIN p USING (doc_id)),
+f AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words AS base_failed FROM c),
+h AS (SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS k FROM f GROUP BY source),
+m AS (SELECT avg(k / n) AS m, var_pop(k / n) AS v FROM h),
+b AS (SELECT m, CASE WHEN v > 0 THEN greatest(0, least({MAX_PRIOR_WEIGHT}, m * (1 - m) / v - 1)) ELSE {MAX_PRIOR_WEIGHT} END AS s FROM m),
+r AS (SELECT source, (k + m * s) / (n + s) AS rate FROM h, b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND rate <= {MAX_HOST_RATE} AS kept, round(rate, 6) AS host_rate
+FROM f JOIN r ON f.source IS NOT DISTINCT FROM r.source"""

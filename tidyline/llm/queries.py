@@ -47,7 +47,7 @@ def op6(spark, sf_dir):
     return repeats.digest(read_documents(spark, sf_dir))
 
 
-@query("op7_line_dedup")
+@query("op7_line_dedup", line_dedup.ORACLE)
 def op7(spark, sf_dir):
     return line_dedup.digest(read_documents(spark, sf_dir))
 
@@ -62,7 +62,13 @@ def op9(spark, sf_dir):
     return secrets.digest(read_documents(spark, sf_dir))
 
 
-@query("op10_quality_rules")
+@query("op10_quality_rules", quality_rules.ORACLE)
 def op10(spark, sf_dir):
-    return quality_rules.judge(read_documents(spark, sf_dir)).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "host_rate")
+    return quality_rules.verdicts(read_documents(spark, sf_dir))
+
+
+@query("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
