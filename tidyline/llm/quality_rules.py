@@ -139,7 +139,7 @@ WITH t AS (SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(co
 g AS (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM t WHERE len(w) > 2),
 d AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM g),
 p AS (SELECT doc_id, count(DISTINCT p) AS n_repeat FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM d WHERE n > 1) GROUP BY doc_id),
-l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM t),
+l AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM t),
 c AS (SELECT doc_id, source, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
              (length(t) - length(translate(t, '{SYMBOLS}', '')))::BIGINT AS n_symbols, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
              coalesce(n_repeat, 0)::BIGINT AS n_repeat_words FROM t JOIN l USING (doc_id) LEFT JOIN p USING (doc_id)),
