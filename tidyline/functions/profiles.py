@@ -14,7 +14,7 @@ from __future__ import annotations
 
 # Python's str.isspace() set, i.e. what ``\s`` and ``str.split()`` mean there.
 WS = (
-    r" \n\t\x0B\f\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+    r" \t\n\x0B\f\r\x1C-\x1F\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 )
 HANGUL = r"\x{AC00}-\x{D7A3}"            # 가-힣
@@ -96,8 +96,8 @@ STAGES = ("morph_v1", "morph_v2", "sandwich", "ratio", "consecutive", "special",
 # ---------------------------------------------------------------------------
 
 PROFILES = {
-    "special_ko": f"[^a-z{HANGUL}A-Z0-9{WS}{JAMO}]",
-    "special_ko_hanja": f"[^a-z{HANGUL}A-Z0-9{WS}{JAMO}{HANJA_BASIC}]",
+    "special_ko": f"[^a-zA-Z0-9{WS}{JAMO}{HANGUL}]",
+    "special_ko_hanja": f"[^a-zA-Z0-9{WS}{JAMO}{HANGUL}{HANJA_BASIC}]",
     "upper_ko": f"[^A-Z0-9{HANGUL}{WS}]",
     "special_syllable": f"[^a-zA-Z{HANGUL}0-9{WS}]",
     "lower": "[a-z]",
@@ -123,7 +123,7 @@ TAG_CLASSES = {
 TAG_ALPHA = "[A-Za-z]"
 TAG_NUMBER = "[0-9]"
 # Punctuation is every non-space character outside the other three classes.
-TAG_PUNCT = f"[^a-z{HANGUL}A-Z0-9{WS}{JAMO}]"
+TAG_PUNCT = f"[^A-Za-z0-9{HANGUL}{JAMO}{WS}]"
 TOKEN_RE = f"([A-Za-z]+|[0-9]+|[{HANGUL}{JAMO}]+|{TAG_PUNCT}+)"
 
 # Hangulised view of Latin tables (test mapping only): these 20 letters map to
@@ -143,8 +143,8 @@ WS_RANGES = [(0x20, 0x20), (0x09, 0x0D), (0x1C, 0x1F), (0x85, 0x85), (0xA0, 0xA0
 _LOWER, _UPPER, _DIGIT = (0x61, 0x7A), (0x41, 0x5A), (0x30, 0x39)
 _HANGUL_R, _JAMO_R = (0xAC00, 0xD7A3), (0x3131, 0x3163)
 RANGES = {
-    "special_ko": (True, [_LOWER, _HANGUL_R, _UPPER, _DIGIT, *WS_RANGES, _JAMO_R]),
-    "special_ko_hanja": (True, [_LOWER, _HANGUL_R, _UPPER, _DIGIT, *WS_RANGES, _JAMO_R, (0x4E00, 0x9FA5)]),
+    "special_ko": (True, [_LOWER, _UPPER, _DIGIT, *WS_RANGES, _JAMO_R, _HANGUL_R]),
+    "special_ko_hanja": (True, [_LOWER, _UPPER, _DIGIT, *WS_RANGES, _JAMO_R, _HANGUL_R, (0x4E00, 0x9FA5)]),
     "upper_ko": (True, [_UPPER, _DIGIT, _HANGUL_R, *WS_RANGES]),
     "special_syllable": (True, [_LOWER, _UPPER, _HANGUL_R, _DIGIT, *WS_RANGES]),
     "special_latin": (True, [_LOWER, _UPPER, _DIGIT, *WS_RANGES, (0xC0, 0x24F)]),

@@ -16,7 +16,7 @@ from tidyline.functions import profiles as P
 from tidyline.functions import text as T
 from tidyline.functions.draws import hash32, hash32_of, key_string, position_draw
 from tidyline.operators.split import label_rank
-from tidyline.session import bounded_broadcast, materialize
+from tidyline.session import sized, materialize
 
 HANJA_LO, HANJA_HI = 0x4E00, 0x9FFF
 ASCII_LO, ASCII_HI = 33, 126
@@ -126,9 +126,9 @@ def mix_halves(df: DataFrame, key: str, text: str, label: str, n: int, seed: int
                   .select(label, "i", "_side", "_rn"))
     # the draw table has 2 * n * labels rows: broadcast it (size checked) and
     # stream the pool; texts are fetched only for the drawn keys
-    picked = ranked.join(bounded_broadcast(draws), [label, "_rn"]).select(label, "i", "_side", "_k")
+    picked = ranked.join(sized(draws), [label, "_rn"]).select(label, "i", "_side", "_k")
     texts = df.select(F.col(key).alias("_k"), F.col(text).alias("_t")).join(
-        bounded_broadcast(picked.select("_k").distinct()), "_k")
+        sized(picked.select("_k").distinct()), "_k")
     pairs = (picked.join(texts, "_k").groupBy(label, "i")
                    .agg(F.max(F.when(F.col("_side") == "a", F.col("_t"))).alias("_ta"),
                         F.max(F.when(F.col("_side") == "b", F.col("_t"))).alias("_tb")))
@@ -161,7 +161,7 @@ def few_shot(targets: DataFrame, pool: DataFrame, key: str, text: str, label: st
     noised by J1 and rendered as an input / restored pair.  Adds ``examples``."""
     numbered = materialize(label_rank(pool.select(key, label), key, label, seed))
     sizes = numbered.groupBy(label).agg(F.max("_n").alias("_n"))
-    t = targets.select(key, label).join(bounded_broadcast(sizes), label, "left")
+    t = targets.select(key, label).join(sized(sizes), label, "left")
     h = [hash32(key, j, seed, F.lit("shot")) for j in range(k)]
     picks = distinct_picks(h, F.col("_n"))
     t = t.withColumn("_p", F.array(*[F.struct(F.lit(j).alias("j"), p.alias("rn")) for j, p in enumerate(picks)]))
@@ -203,7 +203,7 @@ def replace_synonyms(df: DataFrame, key: str, text: str, synonyms: DataFrame, se
     # candidates are keyed by word, and frequent words are hot keys: broadcast
     # the synonym table when its checked size allows, so no word is shuffled
     # (beyond the limit the planner shuffles, and AQE splits skewed partitions)
-    rep = (cand.join(bounded_broadcast(syn), "_word")
+    rep = (cand.join(sized(syn), "_word")
                .withColumn("_new", F.element_at("_syn", (position_draw(F.col("_s1"), F.col("_pos"))
                                                           % F.size("_syn") + 1).cast("int"))))
     maps = rep.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_pos", "_new"))).alias("_m"))

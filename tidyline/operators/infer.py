@@ -57,19 +57,25 @@ def batch_generate(df: DataFrame, key: str, prompt: str, make_fn: Callable[[], G
 
 def two_step(df: DataFrame, key: str, text: str, make_f, make_g, out: str = "back_translation",
              batch_size: int = 32) -> DataFrame:
-    """g(f(text)) through the hook twice, joined back by key."""
-    a = batch_generate(df, key, text, make_f, "_mid", batch_size).select(key, "_mid")
-    b = batch_generate(a, key, "_mid", make_g, out, batch_size).select(key, out)
-    return df.join(b, key, "left")
+    """g(f(text)) through the hook twice, joined back by key, with the
+    ``error`` of a step that failed; such a row keeps its text."""
+    a = batch_generate(df, key, text, make_f, "_mid", batch_size).withColumnRenamed("error", "_first")
+    b = batch_generate(a.filter("_first is null"), key, "_mid", make_g, out, batch_size)
+    b = b.unionByName(a.filter("_first is not null").select(key, F.lit("").alias(out), F.col("_first").alias("error")))
+    # a row that failed in either step keeps its text
+    return df.join(b, key, "left").withColumn(out, F.when(F.col("error").isNull(), F.col(out)).otherwise(F.col(text)))
 
 
 def denoise_job(df: DataFrame, key: str, text: str, label: str, flag: str, make_fn,
                 templates: DataFrame, version: int = 1, batch_size: int = 16) -> DataFrame:
     """Noisy rows -> prompt -> model -> answer extraction (C10); clean rows
-    pass; both recombined (K5) with three columns and whitespace normalised."""
+    pass; both recombined (K5) with whitespace normalised, and ``error``: a row
+    whose generation failed keeps its text."""
     noisy = df.filter(F.col(flag) == 1)
     clean = df.filter(~F.col(flag).eqNullSafe(1))
     p = PR.render_prompt(noisy, templates, "denoise", version, text)
     g = batch_generate(p, key, "prompt", make_fn, "_gen", batch_size)
-    fixed = noisy.drop(text).join(g.select(key, T.extract_answer("_gen").alias(text)), key)
-    return J.recombine(clean, fixed, key, text, label)
+    answer = F.when(F.col("error").isNull(), T.extract_answer("_gen")).otherwise(F.col(text)).alias(text)
+    fixed = noisy.join(g, key).select(key, answer, label, "error")
+    done = J.recombine(clean, fixed, key, text, label)
+    return done.join(fixed.select(key, "error"), key, "left")

@@ -54,7 +54,7 @@ def compare_labels(new: DataFrame, old: DataFrame, key: str, prev: str = "target
                    cur: str = "target") -> DataFrame:
     """``new`` plus ``prev_target`` and ``is_changed`` (NULLs count as
     changed); the count of changes is ``changed_count``."""
-    o = old.select(key, F.col(prev).alias("prev_target"))
+    o = unique_by_key(old.select(key, prev), key, [prev]).select(key, F.col(prev).alias("prev_target"))
     j = new.join(o, key, "left")
     same = F.coalesce(F.col(cur) == F.col("prev_target"), F.lit(False))
     return j.withColumn("is_changed", F.when(same, 0).otherwise(1))

@@ -2,8 +2,9 @@
 
 A template is a row (name, version, body, system); ``{text}`` and
 ``{target}`` in the body are filled per row.  Rendering is a join with the
-small template table (broadcast; one row per template) and two ``replace``
-calls, so an unknown (name, version) gives a NULL prompt."""
+one template's row; the body is cut at its placeholders and joined again, so
+an unknown (name, version) gives a NULL prompt and a text that looks like a
+placeholder stays as it is."""
 
 from __future__ import annotations
 
@@ -35,8 +36,6 @@ ARTICLE_TO_TITLE_V1 = (
     "    \n\n{text}\n\n새로운 제목:"
 )
 SYSTEM_DENOISE_V1 = "You are EXAONE model from LG AI Research, a helpful assistant."
-SYSTEM_STRICT_V6 = ("당신은 엄격한 규칙을 따르는 한국어 텍스트 복원 시스템입니다."
-                    " 반드시 [출력]: 형식으로만 응답해야 하며, 어떠한 추가 설명도 하지 않습니다.")
 FEW_SHOT_DENOISE = (
     "다음은 아스키코드가 치환되는 방식으로 많은 노이즈가 있는 한국어 뉴스 기사 제목입니다.\n"
     "    노이즈가 들어가지 않은 한글부분을 참고하여 원래의 정확한 한국어 제목으로 복원해주세요.\n"
@@ -74,15 +73,23 @@ def render_prompt(df: DataFrame, tmpl: DataFrame, name: str, version: int, text:
                   target: str | None = None, examples: str | None = None, out: str = "prompt") -> DataFrame:
     """``out`` = the template body with ``{text}`` (and ``{target}``,
     ``{examples}``) filled in; NULL when (name, version) is unknown."""
+    # one row: a template given twice fails the job, an unknown one is NULL
+    n = F.when(F.count(F.lit(1)) > 1, F.raise_error(F.lit(f"duplicate template: {name} {version}")).cast("string"))
     t = F.broadcast(tmpl.filter((F.col("name") == name) & (F.col("version") == version))
-                    .select(F.col("body").alias("_body"), F.col("system").alias("_system")).limit(1))
+                    .agg(F.coalesce(n, F.first("body")).alias("_body"), F.first("system").alias("_system")))
+    # the body is cut at its placeholders, so that what is filled in is never read as one
+    fill = {"{text}": F.col(text)} | ({"{target}": F.col(target)} if target else {}) | ({"{examples}": F.col(examples)} if examples else {})
+    names = "|".join(k.strip("{}") for k in fill)
+    parts = F.split(F.col("_body"), rf"(?=\{{(?:{names})\}})|(?<=\{{(?:{names})\}})")
+
+    def put(part):
+        got = part
+        for k, v in fill.items():
+            got = F.when(part == k, F.coalesce(v.cast("string"), F.lit(""))).otherwise(got)
+        return got
+
     j = df.join(t, how="left")
-    body = F.replace(F.col("_body"), F.lit("{text}"), F.coalesce(F.col(text), F.lit("")))
-    if target:
-        body = F.replace(body, F.lit("{target}"), F.col(target).cast("string"))
-    if examples:
-        body = F.replace(body, F.lit("{examples}"), F.col(examples))
-    return j.withColumn(out, body).withColumnRenamed("_system", f"{out}_system").drop("_body")
+    return j.withColumn(out, F.array_join(F.transform(parts, put), "")).withColumnRenamed("_system", f"{out}_system").drop("_body")
 
 
 def chat_messages(system, user) -> F.Column:

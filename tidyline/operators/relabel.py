@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidyline.functions import text as T
-from tidyline.session import bounded_broadcast, materialize
+from tidyline.session import sized, materialize
 
 EPS = 1e-6
 DIGITS = 9
@@ -45,22 +45,24 @@ def centroid_oof_probs(df: DataFrame, key: str, vec: str, label: str, fold: str,
     tot = sums.groupBy(label, "dim").agg(F.sum("s").alias("ts"), F.sum("c").alias("tc"))
     grid = (tot.withColumn(fold, F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
                .join(sums, [fold, label, "dim"], "left"))
-    cen = grid.withColumn("v", (F.col("ts") - F.coalesce("s", F.lit(0.0)))
-                          / (F.col("tc") - F.coalesce("c", F.lit(0))))
-    per_label = materialize(cen.groupBy(fold, label).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("dim", "v"))), lambda s: s["v"]).alias("cv")))
+    # a class that only the row's own fold holds has no centroid there: its probability is 0
+    left = F.col("tc") - F.coalesce("c", F.lit(0))
+    cen = grid.withColumn("v", F.when(left > 0, (F.col("ts") - F.coalesce("s", F.lit(0.0))) / left)).filter("v is not null")
+    per_label = cen.groupBy(fold, label).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("dim", "v"))), lambda s: s["v"]).alias("cv"))
+    # k rows of at most K x D numbers
     per_fold = per_label.groupBy(fold).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct(F.col(label).alias("l"), "cv"))),
-                    lambda s: s["cv"]).alias("_cents"))
+        F.array_sort(F.collect_list(F.struct(F.col(label).cast("int").alias("l"), "cv"))).alias("_cents"))
+    per_fold = per_fold.join(F.broadcast(tot.agg(F.max(label).cast("int").alias("_top"))))
     xv = F.transform(F.col(vec), lambda a: a.cast("double"))
-    # per_fold has k rows of K x D numbers: check that size before broadcasting
-    shape = per_label.agg(F.count(F.lit(1)).alias("r"), F.max(F.size("cv")).alias("d")).first()
-    cells = max(1, (shape["r"] or 0) // max(1, k)) * max(1, shape["d"] or 1)
-    scored = df.join(bounded_broadcast(per_fold, cells_per_row=cells), fold).withColumn(
+    scored = df.join(sized(per_fold), fold).withColumn(
         "_z", F.transform("_cents", lambda c: -F.aggregate(
-            F.zip_with(xv, c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, y: acc + y) / temperature))
-    return (scored.withColumn("prob", F.transform(T.softmax("_z"), lambda p: F.round(p, DIGITS)))
-                  .withColumn("pred", T.argmax("prob")).drop("_cents", "_z"))
+            F.zip_with(xv, c["cv"], lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda acc, y: acc + y) / temperature))
+    # the position in ``prob`` is the label itself; labels without a centroid have 0
+    by_label = F.map_from_arrays(F.transform("_cents", lambda c: c["l"]), T.softmax("_z"))
+    dense = F.get(F.transform(F.array(by_label), lambda m: F.transform(
+        F.sequence(F.lit(0), F.col("_top")), lambda i: F.round(F.coalesce(F.try_element_at(m, i), F.lit(0.0)), DIGITS))), F.lit(0))
+    return scored.withColumn("prob", dense).withColumn("pred", T.argmax("prob")).drop("_cents", "_z", "_top")
 
 
 # ---------------------------------------------------------------------------
@@ -94,7 +96,7 @@ def exact_top(df: DataFrame, groups: list[str], sort_key: str, order_cols: list,
 def class_thresholds(df: DataFrame, label: str, prob: str) -> DataFrame:
     """t_k = mean p[k] over rows given label k; one row ``_t`` array
     (index = class), NULL for a class that is never given."""
-    per = df.groupBy(label).agg(F.avg(F.element_at(prob, F.col(label) + 1)).alias("t"))
+    per = df.groupBy(label).agg(F.avg(F.coalesce(F.try_element_at(prob, (F.col(label) + 1).cast("int")), F.lit(0.0))).alias("t"))
     k = df.select(F.size(prob).alias("_k")).agg(F.max("_k").alias("_k"))
     arr = per.agg(F.map_from_entries(F.collect_list(F.struct(label, "t"))).alias("_m"))
     return arr.crossJoin(k).select(F.transform(F.sequence(F.lit(0), F.col("_k") - 1),
@@ -105,7 +107,7 @@ def with_confident_guess(df: DataFrame, label: str, prob: str) -> DataFrame:
     """Adds ``guess``: arg-max of p over the confident set {k: p[k] >= t_k - eps},
     NULL when the set is empty."""
     t = class_thresholds(df, label, prob)
-    masked = F.transform(F.col(prob), lambda x, i: F.when(x >= F.element_at("_t", i + 1) - EPS, x).otherwise(-1.0))
+    masked = F.transform(F.col(prob), lambda x, i: F.when(x >= F.get("_t", i) - EPS, x).otherwise(-1.0))
     return (df.crossJoin(F.broadcast(t)).withColumn("_mk", masked)
               .withColumn("guess", F.when(F.array_max("_mk") >= 0, T.argmax("_mk")))
               .drop("_mk", "_t"))
@@ -139,8 +141,8 @@ def find_label_issues(df: DataFrame, key: str, label: str, prob: str) -> DataFra
     ex = (df.select(key, label, prob, F.posexplode(prob).alias("_o", "p_other"))
             .filter(F.col("_o") != F.col(label))
             .withColumn("_g", F.col(label)))
-    ex = ex.join(bounded_broadcast(q), ["_g", "_o"])
-    ex = ex.withColumn("margin", F.col("p_other") - F.element_at(prob, F.col(label) + 1))
+    ex = ex.join(sized(q), ["_g", "_o"])
+    ex = ex.withColumn("margin", F.col("p_other") - F.coalesce(F.try_element_at(prob, (F.col(label) + 1).cast("int")), F.lit(0.0)))
     # margin in [-1, 1] -> ascending 32-bit key for descending margin
     ex = ex.withColumn("_sk", F.least(F.floor((F.lit(1.0) - F.col("margin")) / 2 * 4294967295.0),
                                       F.lit(4294967295)).cast("bigint"))
@@ -148,7 +150,7 @@ def find_label_issues(df: DataFrame, key: str, label: str, prob: str) -> DataFra
     cands = top.select(key).distinct()
     issues = df.join(cands, key, "left_semi").withColumn("suggested", T.argmax(prob)) \
                .filter(F.col("suggested") != F.col(label))
-    return issues.withColumn("self_confidence", F.element_at(prob, F.col(label) + 1))
+    return issues.withColumn("self_confidence", F.coalesce(F.try_element_at(prob, (F.col(label) + 1).cast("int")), F.lit(0.0)))
 
 
 def apply_relabel(df: DataFrame, issues: DataFrame, key: str, label: str, prob: str,
@@ -170,5 +172,5 @@ def save_modified(df: DataFrame, key: str, text: str | None, new_label: str = "n
 def most_confident_unchanged(df: DataFrame, key: str, label: str, prob: str, n: int = 200) -> DataFrame:
     """H8: among rows whose arg-max equals the label, the n most confident."""
     return (df.filter(T.argmax(prob) == F.col(label))
-              .withColumn("confidence", F.element_at(prob, F.col(label) + 1))
+              .withColumn("confidence", F.coalesce(F.try_element_at(prob, (F.col(label) + 1).cast("int")), F.lit(0.0)))
               .orderBy(F.desc("confidence"), F.col(key)).limit(n))

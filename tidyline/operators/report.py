@@ -43,8 +43,8 @@ def json_report(df: DataFrame, label: str = "target") -> DataFrame:
     r = distribution_report(df, label)
     return r.agg(
         F.to_json(F.struct(
-            F.map_from_entries(F.collect_list(F.struct(F.col(label).cast("string"), F.col("n")))).alias("counts"),
-            F.map_from_entries(F.collect_list(F.struct(F.col(label).cast("string"), F.col("share").cast("double")))).alias("shares"),
+            F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col(label).cast("string").alias("key"), F.col("n").alias("value"))))).alias("counts"),
+            F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col(label).cast("string").alias("key"), F.col("share").cast("double").alias("value"))))).alias("shares"),
             F.max("n_classes").alias("n_classes"), F.max("total").alias("total"),
         )).alias("json"))
 

@@ -26,9 +26,11 @@ def with_draw(df: DataFrame, key: str, seed: int, name: str = "_h") -> DataFrame
 def label_rank(df: DataFrame, key: str, label: str | None, seed: int,
                bucket_bits: int = BUCKET_BITS) -> DataFrame:
     """Adds ``_h`` (draw), ``_rank`` (0-based exact rank in the label by
-    (draw, key)) and ``_n`` (label size)."""
+    (draw, key)) and ``_n`` (label size).  ``key`` names each row once; rows
+    whose label is NULL are ranked as one more label."""
     lab = F.col(label) if label else F.lit(0)
-    d = with_draw(df, key, seed).withColumn("_lab", lab) \
+    # only keys and labels are ranked; other columns meet the rank by key
+    d = with_draw(df.select(F.col(key).alias("_key"), lab.alias("_lab")), "_key", seed) \
         .withColumn("_b", F.shiftright(F.col("_h"), 32 - bucket_bits))
     counts = d.groupBy("_lab", "_b").agg(F.count(F.lit(1)).alias("_c"))
     wl = Window.partitionBy("_lab").orderBy("_b")
@@ -36,10 +38,15 @@ def label_rank(df: DataFrame, key: str, label: str | None, seed: int,
                 wl.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                   .withColumn("_n", F.sum("_c").over(Window.partitionBy("_lab")))
                   .drop("_c"))
-    j = d.join(offs, ["_lab", "_b"], "inner")
-    wb = Window.partitionBy("_lab", "_b").orderBy("_h", key)
-    return (j.withColumn("_rank", F.col("_off") + F.row_number().over(wb) - 1)
-             .drop("_off", "_b", "_lab"))
+    # a NULL label is a group of its own
+    offs = offs.withColumnsRenamed({"_lab": "_lab2", "_b": "_b2"})
+    j = d.join(offs, F.col("_lab").eqNullSafe(F.col("_lab2")) & F.col("_b").eqNullSafe(F.col("_b2")), "inner")
+    wb = Window.partitionBy("_lab", "_b").orderBy("_h", "_key")
+    ranked = j.withColumn("_rank", F.col("_off") + F.row_number().over(wb) - 1)
+    if set(df.columns) <= {key, label}:
+        return ranked.select(*[F.col("_key" if c == key else "_lab").alias(c) for c in df.columns], "_h", "_rank", "_n")
+    ranked = ranked.select("_key", "_h", "_rank", "_n")
+    return df.join(ranked, F.col(key).eqNullSafe(F.col("_key")), "inner").drop("_key")
 
 
 def quota(n, frac: float, den: int = 10000):

@@ -76,7 +76,26 @@ SELECT page_id, title, {S.collapse_ws('title')} AS back_translation FROM ({C.TIT
 """)
 def two_step_titles(spark, sf_dir):
     """F then g through the hook."""
-    return I.two_step(C.titles(spark, sf_dir), "page_id", "title", normalise_model, normalise_model)
+    return I.two_step(C.titles(spark, sf_dir), "page_id", "title", normalise_model, normalise_model).drop("error")
+
+
+def failing_model():
+    """A stand-in model that fails on texts of even length."""
+    def fn(texts):
+        if any(len(t) % 2 == 0 for t in texts):
+            raise ValueError("even length")
+        return [t + "!" for t in texts]
+    return fn
+
+
+@register("two_step_failing_docs", """
+SELECT doc_id, CASE WHEN length(text) % 2 = 0 THEN text ELSE text || '!' END AS back_translation,
+  CASE WHEN length(text) % 2 = 0 THEN 'ValueError: even length' END AS error FROM documents
+""")
+def two_step_failing_docs(spark, sf_dir):
+    """J11 where the model fails for some rows: they keep their text and say why."""
+    d = C.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return I.two_step(d, "doc_id", "text", failing_model, lambda: (lambda texts: list(texts))).drop("text")
 
 
 @register("denoise_job_titles")

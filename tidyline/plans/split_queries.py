@@ -89,3 +89,36 @@ def shuffled_docs(spark, sf_dir):
     from tidyline.functions.draws import hash32
     d = C.table(spark, sf_dir, "documents").select("doc_id", hash32("doc_id", 99).alias("draw"))
     return SP.shuffled(d, "doc_id", 99)
+
+
+_QUALITY = f"""
+WITH q AS (SELECT d.doc_id, l.quality FROM documents d LEFT JOIN labels l USING (doc_id)),
+r AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY {_H}, doc_id) - 1 AS rk,
+             count(*) OVER (PARTITION BY quality) AS n FROM q)
+"""
+
+
+def _quality(spark, sf_dir):
+    """Documents with their quality label; most have none."""
+    d = C.table(spark, sf_dir, "documents").select("doc_id")
+    return d.join(C.table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+
+
+@register("split_missing_labels_docs", _QUALITY + """
+SELECT doc_id, quality, CAST(CASE WHEN rk < floor((n * 6000 + 10000) / 20000) THEN 1 ELSE 0 END AS INTEGER) AS is_valid FROM r
+""")
+def split_missing_labels_docs(spark, sf_dir):
+    """I1 where most labels are NULL: those rows are one more label."""
+    return SP.split_flag(_quality(spark, sf_dir), "doc_id", 0.3, 456, by="quality")
+
+
+@register("kfold_missing_labels_docs", _QUALITY + "SELECT doc_id, quality, CAST(rk % 3 AS INTEGER) AS fold FROM r")
+def kfold_missing_labels_docs(spark, sf_dir):
+    """I2 where most labels are NULL."""
+    return SP.kfold(_quality(spark, sf_dir), "doc_id", 3, 456, by="quality")
+
+
+@register("running_number_missing_labels_docs", _QUALITY + "SELECT doc_id, quality, rk AS rn FROM r")
+def running_number_missing_labels_docs(spark, sf_dir):
+    """I10 where most labels are NULL."""
+    return SP.number_within(_quality(spark, sf_dir), "doc_id", "quality", 456)

@@ -67,6 +67,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tidyline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
@@ -91,15 +93,10 @@ def materialize(df, how: str = "persist"):
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def bounded_broadcast(df, max_rows: int = BROADCAST_MAX_ROWS, cells_per_row: int = 1):
-    """Broadcast a side only after checking its size: the (small, derived)
-    frame is kept, counted in one job, and broadcast when rows x cells fits;
-    beyond that it is returned as is and the planner shuffles instead."""
-    from pyspark.sql import functions as F
-    kept = materialize(df)
-    if kept.count() * max(1, cells_per_row) <= max_rows:
-        return F.broadcast(kept)
-    return kept
+def sized(df):
+    """Write a small derived frame to the shared scratch folder and read it back:
+    Spark then knows its bytes and broadcasts it below
+    ``spark.sql.autoBroadcastJoinThreshold``, else shuffles (AQE splits hot keys)."""
+    path = scratch_path(df.sparkSession, "sized")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
