@@ -7,10 +7,12 @@ register keeps the least (rank, fraction); ranks are dealt one after the other,
 and a document is done as soon as all its registers are below the next rank.
 Signatures are cut into bands; documents that share a band are candidates.
 
-Groups of candidates are never paired in full.  Each member is first held against
-the least member of its bucket; verified links give components; only members
-whose component differs from that of another member of the same bucket are then
-held against that member.  All links are confirmed on the full sets, and those
+Groups of candidates are not paired in full.  Each member is first held against
+the least member of its bucket; verified links give components; members of other
+components are held against another member of the bucket, a few times over; only
+members that still differ in component are then compared, and of those only pairs
+that share an element of what tells them from the bucket's first member (see
+``differences``; no linked pair fails that).  All links are confirmed on the full sets, and those
 between members of one component need no test, so the components are the same as
 if all candidates had been tested.
 
@@ -39,8 +41,10 @@ ROWS, BANDS = 5, 32
 REGISTERS = ROWS * BANDS
 SIMILARITY_PCT = 80
 SHINGLE = 5
-#: Pairs that agree in fewer registers are not verified: at similarity 0.8 that is over six deviations below the mean.
-LEAST_AGREE = int(REGISTERS * 0.6)
+#: Pairs that agree in fewer registers are not verified: at similarity 0.8 that is nearly five deviations below the mean.
+LEAST_AGREE = int(REGISTERS * 0.65)
+#: Times that each bucket's members are held against one of them before the rest is compared.
+TURNS = 1
 #: Bytes of text and elements handled at once in a task.
 TEXT_BYTES, ELEMENTS = 4 << 20, 1 << 18
 
@@ -219,6 +223,40 @@ def confirm(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "xa", "xb").mapInArrow(run, "a long, b long")
 
 
+def differences(pairs: DataFrame, percent: int) -> DataFrame:
+    """For members a of a leader b: the elements by which a linked pair of members must meet.
+
+    Let D(x) be the elements that only one of x and the leader has.  Two members
+    differ in exactly the elements that only one of D(x) and D(y) has, so x and y
+    are linked if those are at most c (|x| + |y|), c = (1 - p) / (1 + p).  Members
+    within that of the leader (light) are linked to it and to one component.  Of
+    any other pair one member, y, is heavy, and the two must share at least
+    (|D(x)| + |D(y)| - c (|x| + |y|)) / 2 elements of D.  In any one order of all
+    elements they then meet in the first
+
+    * p1 = |D(x)| - (|D(x)| + c (|leader| - |x|)) / 2 + 1 of x, as y is heavy;
+    * p2 = c (|x| + |y|) + 1 of y if x is light, by the triangle inequality, |x| being at most |y| / p."""
+    c = (100 - percent) / (100 + percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: tuple[list, ...] = ([], [], [], [], [], [], [], [])
+            for a, b, u, v in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                x, y = np.frombuffer(u, np.uint64), np.frombuffer(v, np.uint64)
+                d = np.setxor1d(x, y, assume_unique=True)
+                heavy = (100 + percent) * len(d) > (100 - percent) * (len(x) + len(y))
+                one = int((len(d) + c * (len(x) - len(y))) / 2 + 1e-9) + 1
+                most = c * len(x) * (1 + 100 / percent)
+                # beyond that no light member is near enough
+                two = int(most + 1e-9) + 1 if heavy and len(d) <= most + c * (len(y) + len(x) * 100 / percent) + 1e-9 else 0
+                for o, value in zip(out, (a, b, len(x), len(d), heavy, max(one, 0), two, d.view(np.int64).tolist()), strict=True):
+                    o.append(value)
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, types, strict=True)], names=["a", "b", "n", "nd", "heavy", "p1", "p2", "terms"])
+
+    return pairs.mapInArrow(run, "a long, b long, n long, nd long, heavy boolean, p1 int, p2 int, terms array<long>")
+
+
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILARITY_PCT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document."""
     sig = written(signatures(docs, size), "signatures")
@@ -235,26 +273,61 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILAR
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string"))
     sets = written(full_sets(texts.join(crowded.select(F.col("rep").alias("id")).distinct(), "id"), size), "sets")
 
+    def both_sets(pairs: DataFrame) -> DataFrame:
+        return (pairs.join(sets.select(F.col("id").alias("a"), F.col("set").alias("xa")), "a")
+                .join(sets.select(F.col("id").alias("b"), F.col("set").alias("xb")), "b"))
+
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         """pairs (a, b), a > b, each once"""
         x = pairs.join(sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sa"), F.col("n_shingles").alias("na")), "a")
         x = x.join(sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sb"), F.col("n_shingles").alias("nb")), "b")
         x = agree(x.filter(100 * F.least("na", "nb") >= percent * F.greatest("na", "nb"))).distinct()
-        x = x.join(sets.select(F.col("id").alias("a"), F.col("set").alias("xa")), "a").join(sets.select(F.col("id").alias("b"), F.col("set").alias("xb")), "b")
-        return written(confirm(x, percent).distinct(), name)
+        return written(confirm(both_sets(x), percent).distinct(), name)
 
     star = crowded.filter("rep <> leader").select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct()
-    links = verified(star, "links")
-    roots = components(links)
-    # members of a bucket whose components differ: those that share the leader's are left out on one side of each test
-    label = crowded.join(roots.withColumnRenamed("id", "rep"), "rep", "left").select("key", "rep", "leader", F.coalesce("root", "rep").alias("root"))
-    mixed = label.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("n")).filter("lo < hi and n > 2").select("key")
-    open_ = written(label.join(mixed, "key"), "open-buckets")
-    x = open_.select("key", F.col("rep").alias("a"), F.col("root").alias("ra"), "leader")
-    y = open_.select("key", F.col("rep").alias("b"), F.col("root").alias("rb"))
-    rest = x.join(y, "key").filter("a > b and ra <> rb and b <> leader").select("a", "b").distinct()
-    more = verified(rest, "more-links")
-    roots = components(links.unionByName(more)) if more.limit(1).count() else roots
+    roots = components(verified(star, "links"))
+
+    def open_buckets(roots: DataFrame) -> DataFrame:
+        """Members of the buckets that still hold several components."""
+        label = crowded.join(roots.withColumnRenamed("id", "rep"), "rep", "left").select("key", "rep", F.coalesce("root", "rep").alias("root"))
+        mixed = label.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
+        return label.join(mixed, "key")
+
+    # each bucket has another member, drawn by a hash, that those of other components are held against
+    for turn in range(TURNS):
+        left = written(open_buckets(roots), "open-buckets")
+        lead = left.groupBy("key").agg(F.min(F.struct(F.xxhash64("rep", "key", F.lit(turn)), F.col("rep"), F.col("root"))).alias("l")).select(
+            "key", F.col("l.rep").alias("leader"), F.col("l.root").alias("leader_root"))
+        x = left.join(lead, "key").filter("root <> leader_root")
+        x = x.select(F.greatest("rep", "leader").alias("a"), F.least("rep", "leader").alias("b")).distinct()
+        roots = components(verified(x, f"links-{turn}").unionByName(roots.select(F.col("id").alias("a"), F.col("root").alias("b"))))
+    # what is left: members of one bucket and different components, compared by what tells them from the bucket's leader
+    left = open_buckets(roots).select("key", "rep").join(buckets, "key").filter("rep <> leader").select(
+        F.col("rep").alias("a"), F.col("leader").alias("b")).distinct()
+    told = written(both_sets(left).select("a", "b", "xa", "xb").transform(lambda d: differences(d, percent)), "differences")
+    # elements in the order of how many members of the leader they tell from it: most belong to one member only
+    flat = told.select("a", "b", F.explode("terms").alias("e"))
+    flat = flat.join(flat.groupBy("b", "e").agg(F.count("*").alias("df")), ["b", "e"])
+    sorted_terms = flat.groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("terms"))
+    told = written(told.drop("terms").join(sorted_terms, ["a", "b"]), "ordered-differences")
+
+    def side(kind: int, length: str, x: str) -> DataFrame:
+        rows = told.filter(F.col("heavy") == (kind > 0)).select("a", "b", "n", "nd", F.posexplode(F.slice("terms", F.lit(1), F.col(length))).alias("i", "t"))
+        rows = rows.filter("t.df > 1")  # an element of one member only meets no other
+        return rows.select("b", F.col("t.e").alias("e"), F.lit(kind).alias("kind"), *[F.col(c).alias(c + x) for c in ("a", "n", "nd", "i")])
+
+    one = side(0, "p1", "x").unionByName(side(1, "p1", "x"))
+    two = side(1, "p1", "y").unionByName(side(2, "p2", "y")).withColumnRenamed("kind", "other")
+    # both must still have as many elements from here on as the pair must share
+    share = (100 + percent) * (F.col("ndx") + F.col("ndy")) - (100 - percent) * (F.col("nx") + F.col("ny"))
+    enough = 2 * (100 + percent) * F.least(F.col("ndx") - F.col("ix"), F.col("ndy") - F.col("iy")) >= share
+    near = 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
+    rest = one.join(two, ["b", "e"]).filter(F.expr("(kind = 0 and other = 2) or (kind = 1 and other = 1 and ax < ay)") & enough & near).select(
+        F.greatest("ax", "ay").alias("a"), F.least("ax", "ay").alias("b")).distinct()
+    root = roots.select("id", "root")
+    rest = rest.join(root.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a", "left").join(
+        root.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b", "left").filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+    roots = components(verified(rest, "more-links").unionByName(roots.select(F.col("id").alias("a"), F.col("root").alias("b"))))
     by_doc = (member.join(roots.select(F.col("id").alias("rep"), "root"), "rep", "left").groupBy("doc_id")
               .agg(F.min(F.coalesce("root", "rep")).alias("component_id"), F.max("n_shingles").alias("n_set")))
     out = sig.select("doc_id", "n_shingles").join(by_doc.select(F.col("doc_id").alias("_d"), "component_id"), F.col("doc_id") == F.col("_d"), "left").drop("_d")
