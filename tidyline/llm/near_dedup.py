@@ -309,12 +309,14 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILAR
     flat = told.select("a", "b", F.explode("terms").alias("e"))
     flat = flat.join(flat.groupBy("b", "e").agg(F.count("*").alias("df")), ["b", "e"])
     sorted_terms = flat.groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("terms"))
-    told = written(told.drop("terms").join(sorted_terms, ["a", "b"]), "ordered-differences")
+    named_root = roots.select(F.col("id").alias("a"), F.col("root").alias("_root"))
+    told = told.drop("terms").join(sorted_terms, ["a", "b"]).join(named_root, "a", "left")
+    told = written(told.withColumn("root", F.coalesce("_root", "a")).drop("_root"), "ordered-differences")
 
     def side(kind: int, length: str, x: str) -> DataFrame:
-        rows = told.filter(F.col("heavy") == (kind > 0)).select("a", "b", "n", "nd", F.posexplode(F.slice("terms", F.lit(1), F.col(length))).alias("i", "t"))
+        rows = told.filter(F.col("heavy") == (kind > 0)).select("a", "b", "n", "nd", "root", F.posexplode(F.slice("terms", F.lit(1), F.col(length))).alias("i", "t"))
         rows = rows.filter("t.df > 1")  # an element of one member only meets no other
-        return rows.select("b", F.col("t.e").alias("e"), F.lit(kind).alias("kind"), *[F.col(c).alias(c + x) for c in ("a", "n", "nd", "i")])
+        return rows.select("b", F.col("t.e").alias("e"), F.lit(kind).alias("kind"), *[F.col(c).alias(c + x) for c in ("a", "n", "nd", "root", "i")])
 
     one = side(0, "p1", "x").unionByName(side(1, "p1", "x"))
     two = side(1, "p1", "y").unionByName(side(2, "p2", "y")).withColumnRenamed("kind", "other")
@@ -322,11 +324,9 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILAR
     share = (100 + percent) * (F.col("ndx") + F.col("ndy")) - (100 - percent) * (F.col("nx") + F.col("ny"))
     enough = 2 * (100 + percent) * F.least(F.col("ndx") - F.col("ix"), F.col("ndy") - F.col("iy")) >= share
     near = 100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")
-    rest = one.join(two, ["b", "e"]).filter(F.expr("(kind = 0 and other = 2) or (kind = 1 and other = 1 and ax < ay)") & enough & near).select(
+    rest = one.join(two, ["b", "e"]).filter(F.expr("(kind = 0 and other = 2) or (kind = 1 and other = 1 and ax < ay)")
+                                             & (F.col("rootx") != F.col("rooty")) & enough & near).select(
         F.greatest("ax", "ay").alias("a"), F.least("ax", "ay").alias("b")).distinct()
-    root = roots.select("id", "root")
-    rest = rest.join(root.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a", "left").join(
-        root.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b", "left").filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
     roots = components(verified(rest, "more-links").unionByName(roots.select(F.col("id").alias("a"), F.col("root").alias("b"))))
     by_doc = (member.join(roots.select(F.col("id").alias("rep"), "root"), "rep", "left").groupBy("doc_id")
               .agg(F.min(F.coalesce("root", "rep")).alias("component_id"), F.max("n_shingles").alias("n_set")))
