@@ -14,7 +14,7 @@ def test_csv_roundtrip_typed(spark, tmp_path):
     df = spark.createDataFrame([("ynat_00001", 'say "hi",\nthen go', 3), ("ynat_00002", None, 6)], IO.CORE_SCHEMA)
     p = str(tmp_path / "core.csv")
     IO.write_table(df, p, fmt="csv")
-    back = IO.read_table(spark, p, IO.CORE_SCHEMA, fmt="csv", mode="FAILFAST")
+    back = IO.read_table(spark, p, IO.CORE_SCHEMA, fmt="csv", mode="FAILFAST", multi_line=True)
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
 
 

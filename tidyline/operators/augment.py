@@ -193,12 +193,13 @@ def replace_synonyms(df: DataFrame, key: str, text: str, synonyms: DataFrame, se
     """Each word with probability ``ratio`` is replaced by one of its
     synonyms (drawn), if it has any; returns the changed text in ``text``.
 
-    Only the drawn words are exploded and looked up; the replacements come
-    back as a per-row position map."""
-    w = df.withColumn("_w", T.words(text))
-    cand = (w.select(key, row_seed(key, seed, 0).alias("_s0"), row_seed(key, seed, 1).alias("_s1"),
-                     F.posexplode("_w").alias("_pos", "_word"))
-             .filter(position_draw(F.col("_s0"), F.col("_pos")) < threshold(ratio)))
+    Words are drawn within the row, and only the drawn ones are exploded and
+    looked up; the replacements come back as one sorted array per key."""
+    drawn = let(row_seed(key, seed, 0), lambda s0: F.filter(
+        F.transform(T.words(text), lambda x, i: F.struct(i.alias("_pos"), x.alias("_word"))),
+        lambda p: position_draw(s0, p["_pos"]) < threshold(ratio)))
+    cand = df.select(key, row_seed(key, seed, 1).alias("_s1"), F.explode(drawn).alias("_d")).select(
+        key, "_s1", "_d._pos", "_d._word")
     syn = synonyms.select(F.col("word").alias("_word"), F.col("synonyms").alias("_syn"))
     # candidates are keyed by word, and frequent words are hot keys: broadcast
     # the synonym table when its checked size allows, so no word is shuffled
@@ -206,11 +207,18 @@ def replace_synonyms(df: DataFrame, key: str, text: str, synonyms: DataFrame, se
     rep = (cand.join(sized(syn), "_word")
                .withColumn("_new", F.element_at("_syn", (position_draw(F.col("_s1"), F.col("_pos"))
                                                           % F.size("_syn") + 1).cast("int"))))
-    maps = rep.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_pos", "_new"))).alias("_m"))
-    # rows without any replacement keep their words; the map join is keyed
-    out = w.join(maps, key, "left").withColumn(
-        text, F.array_join(F.transform("_w", lambda x, i: F.coalesce(F.try_element_at("_m", i), x)), " "))
-    return out.drop("_w", "_m")
+    found = rep.groupBy(key).agg(F.array_sort(F.collect_set(F.struct("_pos", "_new"))).alias("_r"))
+
+    def swapped(x):
+        # the words between two replacements are one slice, so time grows with the text's length
+        w, r = x["w"], x["r"]
+        piece = lambda s, i: let(F.coalesce(F.get(r, i - 1)["_pos"], F.lit(-1)), lambda at: F.concat(
+            F.slice(w, at + 2, s["_pos"] - at - 1), F.array(s["_new"])))
+        last = F.get(r, F.size(r) - 1)["_pos"]
+        return F.when(r.isNull(), w).otherwise(F.concat(F.flatten(F.transform(r, piece)), F.slice(w, last + 2, F.size(w) - last - 1)))
+
+    both = F.struct(T.words(text).alias("w"), F.col("_r").alias("r"))
+    return df.join(found, key, "left").withColumn(text, F.array_join(let(both, swapped), " ")).drop("_r")
 
 
 def with_augmented(df: DataFrame, key: str, text: str, synonyms: DataFrame, seed: int,

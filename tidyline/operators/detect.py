@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidyline.functions import profiles as P
 from tidyline.functions import text as T
+from tidyline.operators.filters import special_or_lower
 
 HANJA_RE = P.PROFILES["hanja"]
 
@@ -74,8 +75,7 @@ def rule_columns(text: str, filtered: str) -> dict[str, Column]:
         "sandwich": T.has_sandwich_text(f),
         "ratio": T.ratio_at_least(T.class_count(f, "upper_ko"), n_f, *P.RATIO_THRESHOLD),
         "consecutive": T.has_special_run(T.remove_trend_marks(raw)),
-        "special": (T.removed_length(raw) != 0)
-                   | T.ratio_at_least(T.class_count(raw, "lower"), F.length(raw), *P.LOWER_THRESHOLD),
+        "special": special_or_lower(raw),
     }
 
 

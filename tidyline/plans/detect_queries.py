@@ -96,7 +96,9 @@ f AS (SELECT d.*, translate({S.without_hanja('d.text')}, fq.chars, '') AS ft FRO
 SELECT doc_id,
   coalesce({S.v1('ft')}, false) AS v1, coalesce({S.v2('ft')}, false) AS v2,
   coalesce({S.sandwich('ft')}, false) AS sandwich,
-  coalesce({S.special_run(S.replace_steps('text', D.P.TREND_STEPS))}, false) AS consecutive
+  coalesce({S.special_run(S.replace_steps('text', D.P.TREND_STEPS))}, false) AS consecutive,
+  coalesce({S.ratio_at_least(S.count('ft', 'upper_ko'), 'length(ft)', *D.P.RATIO_THRESHOLD)}, false) AS ratio,
+  coalesce({S.removed_length('text')} <> 0 OR {S.ratio_at_least(S.count('text', 'lower'), 'length(text)', *D.P.LOWER_THRESHOLD)}, false) AS special
 FROM f
 """)
 def rule_flags_docs(spark, sf_dir):
@@ -105,4 +107,5 @@ def rule_flags_docs(spark, sf_dir):
     out = D.detect_noise(d, "text", keep_filtered=True)
     rules = D.rule_columns("text", "filtered_text")
     return out.select("doc_id", *[F.coalesce(rules[k], F.lit(False)).alias(a) for k, a in (
-        ("morph_v1", "v1"), ("morph_v2", "v2"), ("sandwich", "sandwich"), ("consecutive", "consecutive"))])
+        ("morph_v1", "v1"), ("morph_v2", "v2"), ("sandwich", "sandwich"), ("consecutive", "consecutive"),
+        ("ratio", "ratio"), ("special", "special"))])

@@ -193,3 +193,14 @@ def json_report_lang(spark, sf_dir):
     """E2 + A7: the distribution report as one JSON document."""
     d = C.table(spark, sf_dir, "documents").withColumn("target", C.lang_label())
     return R.json_report(d, "target")
+
+
+@register("bad_output_split_docs", f"""
+WITH d AS ({C.DECORATED_DOCS_SQL})
+SELECT doc_id, CASE WHEN length(output) <= 8 OR coalesce(source_text = {S.q(P.MISSING_TITLE)}, false) THEN 'bad' ELSE 'kept' END AS part FROM d
+""")
+def bad_output_split_docs(spark, sf_dir):
+    """D5 on outputs of which some are short and some have no source text."""
+    from tidyline.operators.filters import split_bad_output
+    kept, bad = split_bad_output(C.decorated_docs(spark, sf_dir), "output", "source_text")
+    return (kept.select("doc_id", F.lit("kept").alias("part")).unionByName(bad.select("doc_id", F.lit("bad").alias("part"))))

@@ -250,3 +250,44 @@ def truncated_tokens_titles(spark, sf_dir):
     toks = F.transform(F.flatten(T.tag_words(T.words("text"))), lambda x: x["tok"])
     return d.select("page_id", F.array_join(T.truncate_tokens(toks, 30), " ").alias("tokens"),
                     F.size(toks).cast("bigint").alias("n_tokens"))
+
+
+@register("clean_decorated_docs", f"""
+WITH d AS ({C.DECORATED_DOCS_SQL})
+SELECT doc_id, {S.collapse_ws(S.remove_special(S.replace_steps(_sql_strip_tags('text'), P.ELLIPSIS_STEPS)))} AS cleaned,
+  {S.replace_steps('text', P.TREND_STEPS)} AS without_trends, {_sql_annotate('text')} AS annotated,
+  {S.rlike('text', P.PROFILES['hanja'])} AS has_hanja
+FROM d
+""")
+def clean_decorated_docs(spark, sf_dir):
+    """C1, C4a, C2, C6; C4b; C7; B9 on whole documents that have what they act on."""
+    d = C.decorated_docs(spark, sf_dir)
+    cleaned = T.collapse_ws(T.remove_special(T.remove_ellipsis(T.strip_tags("text"))))
+    return d.select("doc_id", cleaned.alias("cleaned"), T.remove_trend_marks("text").alias("without_trends"),
+                    T.annotate("text").alias("annotated"), T.has_class("text", "hanja").alias("has_hanja"))
+
+
+@register("extract_decorated_docs", f"""
+WITH d AS ({C.DECORATED_DOCS_SQL})
+SELECT doc_id, {_ANSWER} AS answer,
+  {S.py_strip(f"coalesce(regexp_split_to_array({_ANSWER}, {S.q(T.LINE_BREAK_RE)})[1], '')")} AS answer_line,
+  {_CLEAN_TITLE} AS title, array_to_string({_SYN}, '|') AS synonyms
+FROM d
+""")
+def extract_decorated_docs(spark, sf_dir):
+    """C10, C11, C12, C13 and C14 on whole documents with markers, quotes, remarks and lists."""
+    d = C.decorated_docs(spark, sf_dir)
+    return d.select("doc_id", T.extract_answer("text").alias("answer"), T.extract_answer_line("text").alias("answer_line"),
+                    T.clean_title(T.extract_title("text")).alias("title"), F.array_join(T.parse_synonyms("text"), "|").alias("synonyms"))
+
+
+@register("truncated_tokens_docs", f"""
+WITH d AS ({C.HANGUL_DOCS_SQL}),
+t AS (SELECT doc_id, flatten({_SQL_TOKENS}) AS toks FROM d)
+SELECT doc_id, array_to_string(list_slice(toks, 1, 30), ' ') AS tokens, len(toks) AS n_tokens FROM t
+""")
+def truncated_tokens_docs(spark, sf_dir):
+    """B18 on whole documents."""
+    d = C.hangul_docs(spark, sf_dir)
+    toks = d.select("doc_id", F.transform(F.flatten(T.tag_words(T.words("text"))), lambda x: x["tok"]).alias("toks"))
+    return toks.select("doc_id", F.array_join(T.truncate_tokens("toks", 30), " ").alias("tokens"), F.size("toks").cast("bigint").alias("n_tokens"))

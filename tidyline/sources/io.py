@@ -1,8 +1,9 @@
 """Sources and sinks.
 
 Reads always pass an explicit schema (never ``inferSchema``); CSV is read the
-way the reference's files are written: header, comma, double-quote escaping,
-quoted newlines allowed.
+way the reference's files are written: header, comma, double-quote escaping.
+``multi_line=True`` also reads quoted newlines; a file is then one task however
+large it is, so it is off unless asked for.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidyline.session import sized
+
 # The core row and its common extensions.
 CORE_SCHEMA = T.StructType([
     T.StructField("ID", T.StringType()),
@@ -26,7 +29,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-               fmt: str | None = None, mode: str = "PERMISSIVE") -> DataFrame:
+               fmt: str | None = None, mode: str = "PERMISSIVE", multi_line: bool = False) -> DataFrame:
     """A1/A2: CSV or Parquet by extension; ``mode='FAILFAST'`` for typed reads."""
     fmt = fmt or ("csv" if path.rstrip("/").endswith(".csv") else "parquet")
     if fmt == "parquet":
@@ -36,23 +39,25 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
         return r.parquet(path)
     if schema is None:
         raise ValueError("CSV reads need an explicit schema")
-    return (spark.read.schema(schema).option("header", True).option("multiLine", True)
+    return (spark.read.schema(schema).option("header", True).option("multiLine", multi_line)
             .option("escape", '"').option("mode", mode).csv(path))
 
 
 def read_with_bad_rows(spark: SparkSession, path: str, schema: T.StructType,
-                       corrupt: str = "_corrupt") -> tuple[DataFrame, DataFrame]:
+                       corrupt: str = "_corrupt", multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
     """A3: PERMISSIVE read; returns (good rows, malformed rows with raw text)."""
     s = T.StructType(schema.fields + [T.StructField(corrupt, T.StringType())])
-    df = (spark.read.schema(s).option("header", True).option("multiLine", True)
+    # parsed once, with all columns: Spark finds malformed fields only in columns that it reads
+    df = sized(spark.read.schema(s).option("header", True).option("multiLine", multi_line)
           .option("escape", '"').option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", corrupt).csv(path)).cache()
+          .option("columnNameOfCorruptRecord", corrupt).csv(path))
     good = df.filter(F.col(corrupt).isNull()).drop(corrupt)
     bad = df.filter(F.col(corrupt).isNotNull()).select(corrupt)
     return good, bad
 
 
-def read_min_fields(spark: SparkSession, path: str, names: list[str], min_fields: int = 3) -> DataFrame:
+def read_min_fields(spark: SparkSession, path: str, names: list[str], min_fields: int = 3,
+                    multi_line: bool = False) -> DataFrame:
     """A3: rows with fewer than ``min_fields`` fields are skipped; a row with
     more fields than ``names`` fails the job (in plan).
 
@@ -62,9 +67,9 @@ def read_min_fields(spark: SparkSession, path: str, names: list[str], min_fields
     cols = [T.StructField(n, T.StringType()) for n in names]
     schema = T.StructType(cols + [T.StructField("_extra", T.StringType()),
                                   T.StructField("_corrupt", T.StringType())])
-    raw = (spark.read.schema(schema).option("header", True).option("multiLine", True)
+    raw = sized(spark.read.schema(schema).option("header", True).option("multiLine", multi_line)
            .option("escape", '"').option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt").csv(path)).cache()
+           .option("columnNameOfCorruptRecord", "_corrupt").csv(path))
     unquoted = F.regexp_replace(F.col("_corrupt"), '"(?:[^"]|"")*"', "")
     n_fields = F.regexp_count(unquoted, F.lit(",")) + 1
     keep = F.col("_corrupt").isNotNull() & (n_fields >= min_fields) & (n_fields <= len(names))
@@ -74,9 +79,10 @@ def read_min_fields(spark: SparkSession, path: str, names: list[str], min_fields
     return raw.filter(cond).drop("_extra", "_corrupt")
 
 
-def read_positional(spark: SparkSession, path: str, names: list[str], positions: list[int]) -> DataFrame:
+def read_positional(spark: SparkSession, path: str, names: list[str], positions: list[int],
+                    multi_line: bool = False) -> DataFrame:
     """A4: skip the header, keep columns by position (0-based), rename."""
-    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    raw = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
     cols = raw.columns
     return raw.select(*[F.col(cols[p]).alias(n) for p, n in zip(positions, names)])
 
