@@ -84,12 +84,12 @@ def test_resumable_run_and_pending(spark, tmp_path):
 
     src = str(tmp_path / "src")
     spark.createDataFrame([(i, f"t{i}") for i in range(6)], "id long, t string").write.parquet(src)
-    out, ckpt = str(tmp_path / "out"), str(tmp_path / "ckpt")
-    res = resumable_generate(spark, src, out, "id", "t", upper_model, checkpoint=ckpt)
+    out = str(tmp_path / "out")
+    res = resumable_generate(spark, src, out, "id", "t", upper_model, files_per_trigger=1)
     assert sorted(r["generated"] for r in res.collect()) == [f"T{i}" for i in range(6)]
-    # a second run with the same checkpoint finds nothing new
+    # a second run into the same folder reads only the new file
     spark.createDataFrame([(6, "t6")], "id long, t string").write.mode("append").parquet(src)
-    res2 = resumable_generate(spark, src, out, "id", "t", upper_model, checkpoint=ckpt)
+    res2 = resumable_generate(spark, src, out, "id", "t", upper_model, files_per_trigger=1)
     assert res2.count() == 7
     done = res2.filter(F.col("id") != 2)
     todo = pending(spark.read.parquet(src), done, "id")

@@ -188,7 +188,12 @@ def buckets_changed_labels(spark, sf_dir):
     return R.noise_buckets(ch, "text", "special_ko")
 
 
-@register("json_report_lang")
+@register("json_report_lang", f"""
+WITH g AS (SELECT CAST({C.LANG_LABEL} AS VARCHAR) AS target, count(*) AS n FROM documents GROUP BY 1),
+r AS (SELECT *, sum(n) OVER () :: BIGINT AS total, CAST(round(n / sum(n) OVER (), 4) AS DOUBLE) AS share FROM g)
+SELECT concat('{{"counts":{{', string_agg('"' || target || '":' || n, ',' ORDER BY target), '}},"shares":{{',
+  string_agg('"' || target || '":' || share, ',' ORDER BY target), '}},"n_classes":', count(*), ',"total":', max(total), '}}') AS json FROM r
+""")
 def json_report_lang(spark, sf_dir):
     """E2 + A7: the distribution report as one JSON document."""
     d = C.table(spark, sf_dir, "documents").withColumn("target", C.lang_label())

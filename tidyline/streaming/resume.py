@@ -4,8 +4,9 @@ The reference writes its result every 100 rows and, on restart, continues
 after the last valid index.  Here the input folder is a file stream source;
 each micro-batch goes through the batch hook (J10) and is written to its own
 ``epoch=N`` folder with overwrite, so a retried epoch replaces its own output
-(exactly-once at the sink).  Progress lives in the streaming checkpoint under
-the shared checkpoint folder, so a restarted job continues where it stopped.
+(exactly-once at the sink).  Progress lives in the streaming checkpoint inside
+the output folder, so a restarted job continues where it stopped, and an output
+never meets another run's progress.
 ``trigger(availableNow=True)`` processes what is there and stops.
 
 Rule operators (C*, B*, F1 with a frozen frequent set) are row-local, so they
@@ -20,24 +21,26 @@ from pyspark.sql import functions as F
 
 from tidyline.operators.infer import batch_generate
 from tidyline.operators.joins import without_key
-from tidyline.session import scratch_path
 
 
 def resumable_generate(spark: SparkSession, src: str, out: str, key: str, prompt: str, make_fn,
-                       checkpoint: str | None = None, files_per_trigger: int = 1,
+                       files_per_trigger: int | None = None,
                        batch_size: int = 32, prepare=None, glob: str | None = None) -> DataFrame:
     """Run the hook over every row of the Parquet files in folder ``src``
     (optionally only files matching ``glob``) that has not been done yet;
-    returns the full result read back from ``out``."""
+    returns the full result read back from ``out``.  All new files make one
+    micro-batch unless ``files_per_trigger`` bounds it."""
     r = spark.read.option("pathGlobFilter", glob) if glob else spark.read
     schema = r.parquet(src).schema
-    rs = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+    rs = spark.readStream.schema(schema)
+    if files_per_trigger:
+        rs = rs.option("maxFilesPerTrigger", files_per_trigger)
     if glob:
         rs = rs.option("pathGlobFilter", glob)
     stream = rs.parquet(src)
     if prepare is not None:
         stream = prepare(stream)
-    ckpt = checkpoint or scratch_path(spark, "resume-ckpt")
+    ckpt = os.path.join(out, "_checkpoint")  # readers of ``out`` skip names with an underscore
 
     def each(batch: DataFrame, epoch: int) -> None:
         res = batch_generate(batch, key, prompt, make_fn, "generated", batch_size)
