@@ -77,8 +77,16 @@ def test_exact_top_equals_window_with_ties(spark):
     from tidyline.operators.relabel import exact_top
     rows = [(i, i % 3, float((i * 7) % 5) / 4 - 0.5, 1 + (i % 3) * 4) for i in range(400)]
     df = spark.createDataFrame(rows, "k long, g int, margin double, quota long")
-    df = df.withColumn("_sk", F.floor((F.lit(1.0) - F.col("margin")) / 2 * 4294967295.0).cast("bigint"))
-    got = exact_top(df, ["g"], "_sk", [F.desc("margin"), F.col("k")], "quota", bucket_bits=3).select("k")
+    got = exact_top(df, ["g"], [F.desc("margin"), F.col("k")], "quota").select("k")
     w = Window.partitionBy("g").orderBy(F.desc("margin"), "k")
     ref = df.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= F.col("quota")).select("k")
     assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+
+
+def test_exact_top_splits_one_tied_group(spark):
+    from tidyline.operators.relabel import exact_top
+    df = spark.range(20000).select(F.col("id").alias("k"), F.lit(0).alias("g"), F.lit(1.0).alias("margin"), F.lit(15000).alias("quota"))
+    got = exact_top(df, ["g"], [F.desc("margin"), F.col("k")], "quota")
+    assert got.agg(F.count("*"), F.max("k")).first()[:] == (15000, 14999)
+    dealt = df.repartitionByRange(8, "g", F.desc("margin"), "k").groupBy(F.spark_partition_id()).count()
+    assert dealt.agg(F.max("count")).first()[0] < 6000

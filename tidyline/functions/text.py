@@ -205,28 +205,29 @@ def fold_scripts(c) -> Column:
                        "\x02" + "\x01" * len(_FOLD_FROM) + " " * len(_WS_FROM))
 
 
-def tag_rule_v1_text(c) -> Column:
+def tag_rule_v1_text(c, folded: Column | None = None) -> Column:
     """B12 without building tag arrays (same result as ``tag_rule_v1`` and
-    as the single regex ``V1_RE``), on the script-folded text.  Two cheap
-    scans decide most rows; the alpha+punct+number-in-one-word test runs per
-    word, and only on texts that contain a digit at all."""
-    f = fold_scripts(c)
+    as the single regex ``V1_RE``), on the script-folded text (``folded``, if
+    a column holds it already).  Two cheap scans decide most rows; the
+    alpha+punct+number-in-one-word test runs per word, and only on texts that
+    contain a digit at all."""
+    f = fold_scripts(c) if folded is None else folded
     two_alpha = f.rlike("[A-Za-z][^A-Za-z ]+[A-Za-z]")
     two_punct = f.rlike(f"{_FOLD_PU}[A-Za-z0-9\x01]+{_FOLD_PU}")
     three = F.exists(F.split(f, " "), lambda w: w.rlike(_A) & w.rlike(_N) & w.rlike(_FOLD_PU))
     return two_alpha | two_punct | (f.rlike(_N) & three)
 
 
-def tag_run_count(c) -> Column:
+def tag_run_count(c, folded: Column | None = None) -> Column:
     """Alpha + Number + Punctuation runs in the text (the count B13 uses)."""
-    f = fold_scripts(c)
+    f = fold_scripts(c) if folded is None else folded
     return (F.regexp_count(f, F.lit("[A-Za-z]+")) + F.regexp_count(f, F.lit("[0-9]+"))
             + F.regexp_count(f, F.lit(_FOLD_PU + "+")))
 
 
-def tag_rule_v2_text(c, n: int = P.V2_MIN_TOKENS) -> Column:
+def tag_rule_v2_text(c, n: int = P.V2_MIN_TOKENS, folded: Column | None = None) -> Column:
     """B13 without building tag arrays."""
-    return tag_run_count(c) >= n
+    return tag_run_count(c, folded) >= n
 
 
 def softmax(z) -> Column:

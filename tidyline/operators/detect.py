@@ -64,14 +64,16 @@ def remove_frequent(df: DataFrame, text: str, chars: DataFrame, out: str = "filt
               .withColumn(out, T.remove_chars(text, F.col("_chars"))).drop("_chars"))
 
 
-def rule_columns(text: str, filtered: str) -> dict[str, Column]:
-    """The six rule predicates of F1 (NULL text fires none)."""
+def rule_columns(text: str, filtered: str, folded: str | None = None) -> dict[str, Column]:
+    """The six rule predicates of F1 (NULL text fires none).  ``folded`` names
+    a column that holds ``T.fold_scripts(filtered)`` already."""
     f = F.col(filtered)
     raw = F.col(text)
     n_f = F.length(f)
+    fold = F.col(folded) if folded else None
     return {
-        "morph_v1": T.tag_rule_v1_text(f),
-        "morph_v2": T.tag_rule_v2_text(f),
+        "morph_v1": T.tag_rule_v1_text(f, fold),
+        "morph_v2": T.tag_rule_v2_text(f, folded=fold),
         "sandwich": T.has_sandwich_text(f),
         "ratio": T.ratio_at_least(T.class_count(f, "upper_ko"), n_f, *P.RATIO_THRESHOLD),
         "consecutive": T.has_special_run(T.remove_trend_marks(raw)),
@@ -79,8 +81,8 @@ def rule_columns(text: str, filtered: str) -> dict[str, Column]:
     }
 
 
-def stage_column(text: str, filtered: str) -> Column:
-    rules = rule_columns(text, filtered)
+def stage_column(text: str, filtered: str, folded: str | None = None) -> Column:
+    rules = rule_columns(text, filtered, folded)
     expr = None
     for name in P.STAGES[:-1]:
         cond = F.coalesce(rules[name], F.lit(False))
@@ -98,7 +100,9 @@ def detect_noise(df: DataFrame, text: str = "text", cls: str = "special_ko",
         frequent = frequent_specials(df, text, cls, min_count)
     with_f = df.withColumn("_h", without_hanja(text))
     with_f = remove_frequent(with_f, "_h", frequent, "filtered_text").drop("_h")
-    out = with_f.withColumn("stage", stage_column(text, "filtered_text")) \
+    # the folded text is a column of its own, so that the tag rules compute it once
+    out = with_f.withColumn("_fold", T.fold_scripts("filtered_text")) \
+                .withColumn("stage", stage_column(text, "filtered_text", "_fold")).drop("_fold") \
                 .withColumn("is_noise", (F.col("stage") != "not_noise").cast("int"))
     return out if keep_filtered else out.drop("filtered_text")
 

@@ -19,6 +19,7 @@ from tidyline.operators import joins as J
 from tidyline.operators import relabel as RL
 from tidyline.operators import report as R
 from tidyline.operators import split as SP
+from tidyline.session import sized
 
 NUM_FEATURES = 1 << 16
 
@@ -82,7 +83,7 @@ def noise_split_relabel(df: DataFrame, key: str, text: str, label: str, flag: st
     among them (H2) and relabel (H3)."""
     m = fit(df.filter(F.col(flag) == 1), text, label)
     clean = df.filter(F.col(flag) == 0)
-    scored = clean.select(key, label).join(predict(m, clean, text, key), key)
+    scored = sized(clean.select(key, label).join(predict(m, clean, text, key), key))
     issues = RL.find_label_issues(scored, key, label, "prob")
     return RL.apply_relabel(scored, issues, key, label, "prob")
 

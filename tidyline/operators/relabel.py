@@ -9,8 +9,8 @@ arg-max is their given label are dropped.
 Scale notes.  Thresholds, the joint and the quotas are K or K*K rows, joined
 back as broadcast constants.  The top-quota selection per (i, j) would put
 all rows of class i in one window partition; instead the exact rank by
-(margin desc, key) is computed from a bucketed count table (see
-:func:`exact_top`), and rows in buckets past the quota never reach a window.
+(margin desc, key) is computed from a count table of ranges (see
+:func:`exact_top`), and rows in ranges past the quota never reach a window.
 """
 
 from __future__ import annotations
@@ -69,16 +69,16 @@ def centroid_oof_probs(df: DataFrame, key: str, vec: str, label: str, fold: str,
 # Exact top-n per group without one window per group
 # ---------------------------------------------------------------------------
 
-def exact_top(df: DataFrame, groups: list[str], sort_key: str, order_cols: list, quota: str,
-              bucket_bits: int = 16) -> DataFrame:
-    """Rows whose rank in ``groups`` by ``order_cols`` is below ``quota``.
+def exact_top(df: DataFrame, groups: list[str], order_cols: list, quota: str) -> DataFrame:
+    """Rows whose rank in ``groups`` by ``order_cols`` (which name each row
+    once) is below ``quota``.
 
-    ``sort_key`` is a bigint in [0, 2**32) that is non-decreasing along
-    ``order_cols``.  Rows are counted per (group, top bits of the key); a
-    bucket's offset is the count of rows in earlier buckets; buckets whose
-    offset reaches the quota are dropped before any window, and the rank
-    inside the remaining buckets is a row number over (group, bucket)."""
-    d = df.withColumn("_b", F.shiftright(F.col(sort_key), 32 - bucket_bits))
+    Rows are dealt by ranges of (groups, order), so neither a hot group nor
+    tied rows meet in one task, and written with the number of their range.  A
+    range's offset is the count of the group's rows in earlier ranges; ranges
+    whose offset reaches the quota are dropped before any window, and the rank
+    inside the remaining ones is a row number over (group, range)."""
+    d = sized(df.repartitionByRange(*groups, *order_cols).withColumn("_b", F.spark_partition_id()))
     counts = d.groupBy(*groups, "_b").agg(F.count(F.lit(1)).alias("_c"))
     w = Window.partitionBy(*groups).orderBy("_b")
     offs = counts.withColumn("_off", F.coalesce(F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)),
@@ -135,22 +135,18 @@ def prune_quotas(guessed: DataFrame, label: str) -> DataFrame:
 def find_label_issues(df: DataFrame, key: str, label: str, prob: str) -> DataFrame:
     """H2: rows that are label issues, with ``suggested`` (arg-max of p) and
     ``self_confidence`` (p[given]); sort by self_confidence at the sink."""
-    guessed = with_confident_guess(df, label, prob)
-    quotas = prune_quotas(guessed, label)
-    q = quotas.withColumnRenamed("given", "_g").withColumnRenamed("other", "_o")
-    ex = (df.select(key, label, prob, F.posexplode(prob).alias("_o", "p_other"))
-            .filter(F.col("_o") != F.col(label))
-            .withColumn("_g", F.col(label)))
-    ex = ex.join(sized(q), ["_g", "_o"])
-    ex = ex.withColumn("margin", F.col("p_other") - F.coalesce(F.try_element_at(prob, (F.col(label) + 1).cast("int")), F.lit(0.0)))
-    # margin in [-1, 1] -> ascending 32-bit key for descending margin
-    ex = ex.withColumn("_sk", F.least(F.floor((F.lit(1.0) - F.col("margin")) / 2 * 4294967295.0),
-                                      F.lit(4294967295)).cast("bigint"))
-    top = exact_top(ex, ["_g", "_o"], "_sk", [F.desc("margin"), F.col(key)], "quota")
+    # one narrow frame, written once, that the joint, the quotas and the margins read
+    guessed = sized(with_confident_guess(df.select(key, label, prob), label, prob))
+    q = prune_quotas(guessed, label).select(F.col("given").alias("_g"), F.col("other").alias("_o"), "quota")
+    given = F.coalesce(F.try_element_at(prob, (F.col(label) + 1).cast("int")), F.lit(0.0))
+    ex = (guessed.select(key, F.col(label).alias("_g"), given.alias("_p"), F.posexplode(prob).alias("_o", "p_other"))
+                 .filter(F.col("_o") != F.col("_g"))
+                 .select(key, "_g", "_o", (F.col("p_other") - F.col("_p")).alias("margin")))
+    top = exact_top(ex.join(sized(q), ["_g", "_o"]), ["_g", "_o"], [F.desc("margin"), F.col(key)], "quota")
     cands = top.select(key).distinct()
     issues = df.join(cands, key, "left_semi").withColumn("suggested", T.argmax(prob)) \
                .filter(F.col("suggested") != F.col(label))
-    return issues.withColumn("self_confidence", F.coalesce(F.try_element_at(prob, (F.col(label) + 1).cast("int")), F.lit(0.0)))
+    return issues.withColumn("self_confidence", given)
 
 
 def apply_relabel(df: DataFrame, issues: DataFrame, key: str, label: str, prob: str,

@@ -119,14 +119,14 @@ def mix_halves_reversed_docs(spark, sf_dir):
 _URL_LANG = "regexp_extract(url, '/([a-z]{2})/', 1)"
 
 
-def _labelled_titles(spark, sf_dir):
+def labelled_titles(spark, sf_dir):
     p = C.table(spark, sf_dir, "pages")
     t = p.select("page_id", F.regexp_extract("html", C.TITLE_RE, 1).alias("title"),
                  F.regexp_extract("url", "/([a-z]{2})/", 1).alias("lang"))
     return R.with_bucket(t, "title", "special_ko")
 
 
-def _sql_few_shot(k: int = 3) -> str:
+def few_shot_sql(k: int = 3) -> str:
     hs = [sql_hash32(f"concat_ws(':', CAST(page_id AS VARCHAR), '{j}', '{SHOT_SEED}', 'shot')") for j in range(k)]
     assert k == 3
     x0 = f"CASE WHEN n > 0 THEN {hs[0]} % n END"
@@ -157,10 +157,10 @@ SELECT tg.page_id, tg.lang, coalesce(blk.examples, '예시: ' || chr(10)) AS exa
 """
 
 
-@register("few_shot_titles", _sql_few_shot(3))
+@register("few_shot_titles", few_shot_sql(3))
 def few_shot_titles(spark, sf_dir):
     """Three noised same-language clean titles per noisy title."""
-    b = _labelled_titles(spark, sf_dir)
+    b = labelled_titles(spark, sf_dir)
     pool = b.filter(F.col("bucket") == "low").select("page_id", "title", "lang")
     targets = b.filter(F.col("bucket") != "low").select("page_id", "lang")
     return A.few_shot(targets, pool, "page_id", "title", "lang", SHOT_SEED).select("page_id", "lang", "examples")

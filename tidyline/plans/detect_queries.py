@@ -43,7 +43,7 @@ def noise_prediction_summary(spark, sf_dir):
     return D.prediction_summary(cascade_docs(spark, sf_dir))
 
 
-_CASCADE_TITLES_SQL = f"""
+CASCADE_TITLES_SQL = f"""
 WITH d AS ({C.HANGUL_TITLES_SQL}),
 fq AS ({S.frequent_chars_cte('d', 'text')}),
 f AS (SELECT d.*, translate({S.without_hanja('d.text')}, fq.chars, '') AS filtered_text FROM d, fq),
@@ -51,7 +51,7 @@ s AS (SELECT page_id, text, {S.stage('text', 'filtered_text')} AS stage FROM f)
 """
 
 
-@register("noise_cascade_titles", _CASCADE_TITLES_SQL + """
+@register("noise_cascade_titles", CASCADE_TITLES_SQL + """
 SELECT page_id, stage, CAST(CASE WHEN stage <> 'not_noise' THEN 1 ELSE 0 END AS INTEGER) AS is_noise FROM s
 """)
 def noise_cascade_titles(spark, sf_dir):
@@ -59,7 +59,7 @@ def noise_cascade_titles(spark, sf_dir):
     return out.select("page_id", "stage", "is_noise")
 
 
-@register("rule_hits_titles", _CASCADE_TITLES_SQL + """
+@register("rule_hits_titles", CASCADE_TITLES_SQL + """
 SELECT page_id, text, stage FROM s WHERE stage <> 'not_noise'
 """)
 def rule_hits_titles(spark, sf_dir):

@@ -5,15 +5,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidyline.functions import profiles as P
 from tidyline.functions import text as T
+from tidyline.operators import augment as A
 from tidyline.operators import detect as D
 from tidyline.operators import infer as I
+from tidyline.operators import joins as J
 from tidyline.operators import learn as L
 from tidyline.operators import prompts as PR
+from tidyline.plans import augment_queries as AQ
 from tidyline.plans import common as C
+from tidyline.plans import detect_queries as DQ
 from tidyline.plans import sqlfrag as S
 from tidyline.plans.registry import register
-from tidyline.session import scratch_path
+from tidyline.session import scratch_path, sized
 from tidyline.streaming.resume import resumable_generate
 
 
@@ -98,7 +103,11 @@ def two_step_failing_docs(spark, sf_dir):
     return I.two_step(d, "doc_id", "text", failing_model, lambda: (lambda texts: list(texts))).drop("text")
 
 
-@register("denoise_job_titles")
+@register("denoise_job_titles", f"""
+{DQ.CASCADE_TITLES_SQL}
+SELECT page_id, {S.collapse_ws("CASE WHEN stage <> 'not_noise' THEN regexp_replace(text, '[^" + chr(92) + "p{L}" + chr(92) + "p{N}" + P.WS + "]', '', 'g') ELSE text END")} AS text,
+  0 AS target, NULL::VARCHAR AS error FROM s
+""")
 def denoise_job_titles(spark, sf_dir):
     """Flagged titles through prompt, model and answer extraction; the
     rest pass; recombined."""
@@ -115,15 +124,49 @@ def resumable_generate_docs(spark, sf_dir):
     return resumable_generate(spark, sf_dir, out, "doc_id", "text", normalise_model, glob="documents.parquet")
 
 
+def few_shot_model():
+    """A stand-in model that echoes the prompt, then answers with its length
+    and the title, and adds a remark on a line of its own."""
+    def fn(prompts):
+        out = []
+        for p in prompts:
+            title = p.split("입력된 제목: ")[-1].split("\n")[0]
+            out.append(f"{p} 답변: {len(p)} {title}\n설명")
+        return out
+    return fn
+
+
+@register("few_shot_denoise_titles", f"""
+WITH t AS ({C.TITLES_SQL}), fs AS ({AQ.few_shot_sql(3)}),
+p AS (SELECT page_id, replace(replace({S.q(PR.FEW_SHOT_DENOISE)}, '{{examples}}', examples), '{{text}}', title) AS prompt
+      FROM t JOIN fs USING (page_id))
+SELECT page_id, CASE WHEN prompt IS NULL THEN title ELSE {S.py_strip("length(prompt) || ' ' || title")} END AS title
+FROM t LEFT JOIN p USING (page_id)
+""")
+def few_shot_denoise_titles(spark, sf_dir):
+    """Noisy titles with noised examples of their own
+    language go through the few-shot prompt and the model; the first line of
+    the answer takes the title's place, a failed row keeps its title."""
+    b = AQ.labelled_titles(spark, sf_dir)
+    noisy = b.filter(F.col("bucket") != "low").select("page_id", "title", "lang")
+    pool = b.filter(F.col("bucket") == "low").select("page_id", "title", "lang")
+    shots = A.few_shot(noisy, pool, "page_id", "title", "lang", AQ.SHOT_SEED)
+    p = PR.render_prompt(shots, PR.templates(spark), "denoise_few_shot", 1, "title", examples="examples")
+    g = I.batch_generate(p, "page_id", "prompt", few_shot_model, "_gen").filter("error is null")
+    new = g.select("page_id", T.extract_answer_line("_gen").alias("title"))
+    return J.replace_or_add(b.select("page_id", "title"), new, "page_id", "title", replace=True)
+
+
 def _flagged_docs(spark, sf_dir):
+    """The cascade's result, kept: each fit and prediction reads it again."""
     d = C.hangul_docs(spark, sf_dir)
-    return D.detect_noise(d, "text").withColumn("target", C.lang_label())
+    return sized(D.detect_noise(d, "text").withColumn("target", C.lang_label()))
 
 
 @register("crossfit_noise_titles")
 def crossfit_noise_titles(spark, sf_dir):
     """F3 + F4: the cross-fitted classifier over the rows the rules left."""
-    t = D.detect_noise(C.hangul_titles(spark, sf_dir), "text")
+    t = sized(D.detect_noise(C.hangul_titles(spark, sf_dir), "text"))
     return L.crossfit_noise(t, "page_id", "text", "is_noise", 3).select("page_id", "stage", "model_hit", "is_noise")
 
 
@@ -183,7 +226,12 @@ def _title_article_model():
     return fn
 
 
-@register("title_article_title")
+@register("title_article_title", f"""
+WITH t AS (SELECT page_id, title FROM ({C.TITLES_SQL}) ORDER BY length(title) DESC, page_id LIMIT 600),
+a AS (SELECT page_id, {S.py_strip("'기사 본문 ' || title")} AS article FROM t)
+SELECT page_id, '생성 제목 ' || length(replace({S.q(PR.ARTICLE_TO_TITLE_V1)}, '{{text}}', article)) || '"' AS text,
+  printf('ynat-v1_train_%05d', row_number() OVER (ORDER BY page_id) - 1) AS "ID" FROM a
+""")
 def title_article_title(spark, sf_dir):
     """The 600 longest titles -> article prompt -> model -> article
     -> title prompt -> model -> title (C12, C13) with new ids (B17)."""
