@@ -94,3 +94,18 @@ def test_resumable_run_and_pending(spark, tmp_path):
     done = res2.filter(F.col("id") != 2)
     todo = pending(spark.read.parquet(src), done, "id")
     assert [r["id"] for r in todo.collect()] == [2]
+
+
+def test_describe_equals_percentile_with_null_label_and_ties(spark):
+    from pyspark.sql import functions as F
+
+    from tidyline.operators import report as R
+    rows = [(None if i % 4 == 0 else i % 3, None if i % 11 == 0 else (i * 37) % 23 if i % 2 else 5) for i in range(500)]
+    df = spark.createDataFrame(rows, "lab int, v int").repartition(7)
+    qs = [F.percentile("v", q).alias(n) for n, q in R.QUARTILES.items()]
+    got = {r["lab"]: (r["q25"], r["q50"], r["q75"], r["count"]) for r in R.describe(df, "v", "lab").collect()}
+    want = {r["lab"]: (r["q25"], r["q50"], r["q75"], r["n"]) for r in df.groupBy("lab").agg(*qs, F.count("v").alias("n")).collect()}
+    assert got == want and len(got) == 4
+    one = R.describe(df, "v").first()
+    assert (one["q25"], one["q50"], one["q75"]) == tuple(df.agg(*qs).first())
+    assert R.describe(df.filter("false"), "v").first()["q50"] is None

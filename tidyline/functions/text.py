@@ -186,10 +186,6 @@ V1_RE = "|".join(
 )
 
 
-V1_TWO_ALPHA = f"{_A}[^A-Za-z{P.WS}]+{_A}"
-V1_TWO_PUNCT = f"{_PU}{_NOT_PUNCT}+{_PU}"
-
-
 # Script classes folded to Latin-1 stand-ins: Hangul and Jamo -> \x01, every
 # whitespace character -> ' '.  Letters, digits and everything else stay, so
 # on the folded text the tag classes are plain byte classes for the JVM.

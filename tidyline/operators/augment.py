@@ -99,9 +99,9 @@ def drop_class(text, key, seed: int, cls: str = "hangul", frac: tuple[int, int]
     return out
 
 
-def noised_pairs(df: DataFrame, key: str, text: str, seed: int) -> DataFrame:
+def noised_pairs(df: DataFrame, key: str, text: str, seed: int, mode: str = "drop") -> DataFrame:
     """(key, text, noised_text) training pairs."""
-    return df.select(key, text, drop_class(text, key, seed).alias("noised_text"))
+    return df.select(key, text, drop_class(text, key, seed, mode=mode).alias("noised_text"))
 
 
 def mix_halves(df: DataFrame, key: str, text: str, label: str, n: int, seed: int,
@@ -137,7 +137,7 @@ def mix_halves(df: DataFrame, key: str, text: str, label: str, n: int, seed: int
     half_b = F.floor(F.size(wb) / 2).cast("int")
     second = F.array_join(F.slice(wb, half_b + 1, F.size(wb) - half_b), " ")
     body = F.concat_ws(" ", second, first) if reverse else F.concat_ws(" ", first, second)
-    return pairs.select(F.format_string(f"{prefix}_%s_%d", F.col(label).cast("string"), F.col("i")).alias(key),
+    return pairs.select(T.format_id(f"{prefix}_%s_%d", F.col(label).cast("string"), F.col("i")).alias(key),
                         body.alias(text), F.col(label))
 
 

@@ -124,11 +124,8 @@ def prediction_summary(flagged: DataFrame, flag: str = "is_noise") -> DataFrame:
                        F.sum(F.when(F.col(flag) == 1, 0).otherwise(1)).alias("normal"))
 
 
-def assemble_flag(flagged: DataFrame, model_hits: DataFrame | None, key: str) -> DataFrame:
-    """rule hits and model hits -> is_noise 1, the rest 0."""
-    if model_hits is None:
-        return flagged
-    hits = model_hits.select(key).distinct().withColumn("_hit", F.lit(1))
-    return (flagged.join(hits, key, "left")
-                   .withColumn("is_noise", F.when((F.col("is_noise") == 1) | (F.col("_hit") == 1), 1).otherwise(0))
-                   .drop("_hit"))
+def assemble_flag(flagged: DataFrame, model_hits: DataFrame, key: str, flag: str = "is_noise") -> DataFrame:
+    """rule hits and model hits -> ``flag`` 1, the rest 0; adds ``model_hit``."""
+    hits = model_hits.select(key).distinct().withColumn("model_hit", F.lit(1))
+    return (flagged.join(hits, key, "left").withColumn("model_hit", F.coalesce("model_hit", F.lit(0)))
+                   .withColumn(flag, F.when((F.col(flag) == 1) | (F.col("model_hit") == 1), 1).otherwise(0)))

@@ -15,6 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidyline.operators import detect as D
 from tidyline.operators import joins as J
 from tidyline.operators import relabel as RL
 from tidyline.operators import report as R
@@ -58,10 +59,7 @@ def crossfit_noise(df: DataFrame, key: str, text: str, flag: str, seed: int) ->
         train = noise.unionByName(rest.filter(F.col("half") == h).drop("half"))
         m = fit(train.withColumn("_y", F.col(flag).cast("int")), text, "_y")
         hits.append(predict(m, rest.filter(F.col("half") != h), text, key).filter(F.col("pred") == 1).select(key))
-    hit = hits[0].unionByName(hits[1])
-    out = J.attach(df, hit.withColumn("model_hit", F.lit(1)), key, ["model_hit"])
-    return (out.withColumn("model_hit", F.coalesce("model_hit", F.lit(0)))
-               .withColumn(flag, F.when((F.col(flag) == 1) | (F.col("model_hit") == 1), 1).otherwise(0)))
+    return D.assemble_flag(df, hits[0].unionByName(hits[1]), key, flag)
 
 
 def oof_probs(df: DataFrame, key: str, text: str, label: str, k: int, seed: int) -> DataFrame:

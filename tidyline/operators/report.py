@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidyline.functions import profiles as P
 from tidyline.functions import text as T
+from tidyline.session import sized
 
 # The constant reference distribution of the report (7 classes,
 # share .1428 of 15,000 rows, i.e. 2,142 each).
@@ -109,17 +110,53 @@ def overall_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
     return acc.crossJoin(f1)
 
 
+QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+
+
+def quantiles(df: DataFrame, value: str, by: str | None = None, probs: dict[str, float] = QUARTILES) -> DataFrame:
+    """Exact quantiles by linear interpolation, one column per name.
+
+    Equal values are counted first.  The counts are dealt by ranges of (label,
+    value), so a hot label is split, and written with the number of their
+    range; the sums of the ranges give each its offset, and only the values at
+    the sought ranks take part in the last aggregation."""
+    g = [by] if by else []
+    counts = (df.select(*g, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+                .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    d = sized(counts.repartitionByRange(*g, "_v").withColumn("_b", F.spark_partition_id()))
+    per = d.groupBy(*g, "_b").agg(F.sum("_c").alias("_s"))
+    w = Window.partitionBy(*g)  # one row per label and range
+    offs = per.select(*[F.col(c).alias("_g") for c in g], F.col("_b").alias("_b2"),
+                      (F.sum("_s").over(w.orderBy("_b")) - F.col("_s")).alias("_off"), F.sum("_s").over(w).alias("_n"))
+    on = F.col("_b") == F.col("_b2")
+    j = d.join(offs, on & F.col(by).eqNullSafe(F.col("_g")) if by else on)
+    # a value holds the ranks from _from up to _to
+    j = j.withColumn("_to", F.col("_off") + F.sum("_c").over(Window.partitionBy(*g, "_b").orderBy("_v"))) \
+         .withColumn("_from", F.col("_to") - F.col("_c"))
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((rank >= F.col("_from")) & (rank < F.col("_to")), F.col("_v")))
+
+    place = {n: (F.col("_n") - 1) * q for n, q in probs.items()}
+    found = j.groupBy(*g).agg(*[e for n, p in place.items() for e in (
+        at(F.floor(p)).alias(f"{n}_lo"), at(F.ceil(p)).alias(f"{n}_hi"), F.max(p - F.floor(p)).alias(f"{n}_part"))])
+    return found.select(*g, *[F.when(F.col(f"{n}_lo") == F.col(f"{n}_hi"), F.col(f"{n}_lo")).otherwise(
+        (1 - F.col(f"{n}_part")) * F.col(f"{n}_lo") + F.col(f"{n}_part") * F.col(f"{n}_hi")).alias(n) for n in probs])
+
+
 def describe(df: DataFrame, value: str, by: str | None = None, exact: bool = True) -> DataFrame:
     """Count, nulls, mean, std, min, quartiles, max (pandas ``describe``);
-    exact quartiles by linear interpolation, or approximate ones at scale."""
+    exact quartiles by linear interpolation, or approximate ones in one pass."""
     v = F.col(value).cast("double")
-    if exact:
-        qs = [F.percentile(v, q).alias(n) for q, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))]
-    else:
-        qs = [F.percentile_approx(v, q, 10000).alias(n) for q, n in ((0.25, "q25"), (0.5, "q50"), (0.75, "q75"))]
+    qs = [] if exact else [F.percentile_approx(v, q, 10000).alias(n) for n, q in QUARTILES.items()]
     aggs = [F.count(v).alias("count"), F.count_if(v.isNull()).alias("nulls"), F.avg(v).alias("mean"),
             F.stddev_samp(v).alias("std"), F.min(v).alias("min"), *qs, F.max(v).alias("max")]
-    return df.groupBy(by).agg(*aggs) if by else df.agg(*aggs)
+    out = df.groupBy(by).agg(*aggs) if by else df.agg(*aggs)
+    if exact:
+        q = quantiles(df, value, by)
+        q = q.withColumnRenamed(by, "_g") if by else q
+        out = out.join(q, F.col(by).eqNullSafe(F.col("_g")), "left") if by else out.crossJoin(q)
+    return out.select(*([by] if by else []), "count", "nulls", "mean", "std", "min", *QUARTILES, "max")
 
 
 def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
@@ -148,7 +185,3 @@ def ratio_columns(df: DataFrame, text: str) -> DataFrame:
     for name in ("special_ko", "special_ko_hanja", "upper_ko", "special_syllable", "lower", "letter"):
         out = out.withColumn(f"n_{name}", F.coalesce(T.class_count(text, name), F.lit(0)))
     return out.withColumn("n_chars", T.text_length(text))
-
-
-def col_or(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c

@@ -75,11 +75,6 @@ def kfold(df: DataFrame, key: str, k: int, seed: int, by: str | None = None) ->
     return r.withColumn("fold", (F.col("_rank") % k).cast("int")).drop("_h", "_rank", "_n")
 
 
-def approx_split_flag(df: DataFrame, key: str, frac: float, seed: int, name: str = "is_valid") -> DataFrame:
-    """I1, approximate: a row is valid when its draw is below frac (no shuffle)."""
-    return df.withColumn(name, (hash32(key, seed) < F.lit(int(frac * 4294967296))).cast("int"))
-
-
 def halves(df: DataFrame, key: str, seed: int) -> DataFrame:
     """``half`` 0/1 by draw parity (map-only)."""
     return df.withColumn("half", (hash32(key, seed) % 2).cast("int"))

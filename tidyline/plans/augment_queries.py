@@ -77,7 +77,7 @@ SELECT page_id, text, {_sql_drop('text', 'page_id', DROP_SEED, replace=True)} AS
 def noised_pairs_titles(spark, sf_dir):
     """J2 (replace mode) + J2b training pairs on hangulised titles."""
     d = C.hangul_titles(spark, sf_dir)
-    return d.select("page_id", "text", A.drop_class("text", "page_id", DROP_SEED, mode="replace").alias("noised_text"))
+    return A.noised_pairs(d, "page_id", "text", DROP_SEED, mode="replace")
 
 
 def _sql_words(e: str) -> str:

@@ -246,4 +246,4 @@ def title_article_title(spark, sf_dir):
     g2 = I.batch_generate(b, "page_id", "p2", _title_article_model, "gen2")
     titles = g2.select("page_id", T.clean_title(T.extract_title("gen2")).alias("text"))
     w = Window.orderBy("page_id")  # over at most 600 rows (the top-k result)
-    return titles.withColumn("ID", F.format_string("ynat-v1_train_%05d", F.row_number().over(w) - 1))
+    return titles.withColumn("ID", T.format_id("ynat-v1_train_%05d", F.row_number().over(w) - 1))
