@@ -15,8 +15,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,6 +34,8 @@ CONTEXT = re.compile(
     r"""["']?\x20?(?:[:=]|\bis\b)\x20?["']?([^\s"'<>,;]+)""")
 HINTS = ("pass", "pwd", "secret", "token", "api", "access", "auth", "credential", "login", "pin")
 MIN_VALUE = 6
+#: Costs of values up to this length are remembered within a task's process.
+SHORT = 200
 #: Values that take 10**8 guesses or more are secrets.
 MIN_COST = 8.0
 
@@ -54,11 +58,15 @@ DATE = re.compile(r"(?:19|20)\d\d(?:[-/.]?(?:0[1-9]|1[0-2])[-/.]?(?:0[1-9]|[12]\
 PIECE = math.log10(2)
 
 
-@lru_cache(maxsize=100_000)
 def guess_cost(value: str) -> float:
-    """Least decimal logarithm of guesses over all segmentations.  Each position
-    looks back at most ``LONGEST`` characters for words; of repeats and walks only
-    the run that ends there counts, so time grows with the value's length."""
+    """Least decimal logarithm of guesses over all segmentations."""
+    return _short_cost(value) if len(value) <= SHORT else _least_cost(value)
+
+
+def _least_cost(value: str) -> float:
+    """Each position looks back at most ``LONGEST`` characters for words; of
+    repeats and walks only the run that ends there counts, so time grows with the
+    value's length."""
     low = value.lower()
     if len(low) != len(value):
         low = value
@@ -95,6 +103,9 @@ def guess_cost(value: str) -> float:
     return best[n]
 
 
+_short_cost = lru_cache(maxsize=100_000)(_least_cost)
+
+
 def base_spans(text: str, low: str) -> list[tuple[int, int, str]]:
     """(start, kind, end) of the fixed patterns.  Kinds are given by their place in ``KINDS``."""
     out = []
@@ -111,7 +122,13 @@ def guess_spans(text: str, low: str, base: list, min_cost: float = MIN_COST) ->
     if not any(w in low for w in HINTS):
         return []
     found = [(m.start(1), 3, m.end(1)) for m in CONTEXT.finditer(text) if m.end(1) - m.start(1) >= MIN_VALUE]
-    return [s for s in found if not any(b[0] <= s[0] and s[2] <= b[2] for b in base) and guess_cost(text[s[0]:s[2]]) >= min_cost]
+    starts, reach = [b[0] for b in base], list(accumulate((b[2] for b in base), max))  # base spans are in order
+
+    def inside(s: tuple[int, int, int]) -> bool:
+        k = bisect_right(starts, s[0])
+        return k > 0 and s[2] <= reach[k - 1]
+
+    return [s for s in found if not inside(s) and guess_cost(text[s[0]:s[2]]) >= min_cost]
 
 
 SPANS = "array<struct<start: int, kind: string, end: int>>"
