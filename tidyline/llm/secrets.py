@@ -103,7 +103,9 @@ def _least_cost(value: str) -> float:
     return best[n]
 
 
-_short_cost = lru_cache(maxsize=100_000)(_least_cost)
+@lru_cache(maxsize=100_000)
+def _short_cost(value: str) -> float:
+    return _least_cost(value)
 
 
 def base_spans(text: str, low: str) -> list[tuple[int, int, str]]:
