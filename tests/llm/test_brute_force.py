@@ -133,6 +133,49 @@ def test_repeat_groups(spark):
     assert any(n == 6 for n in groups.values()) and all(t.decode() in docs[0][1] or n < 6 for t, n in groups.items())
 
 
+def brute_groups(docs):
+    """The maximal repeats of 50 bytes or more, by extension of all pairs of equal windows."""
+    at, found = collections.defaultdict(list), {}
+    for d, t in docs.items():
+        for p in range(len(t) - 49):
+            at[t[p:p + 50]].append((d, p))
+    for places in at.values():
+        for i, (d, p) in enumerate(places):
+            for e, q in places[:i]:
+                x, y = docs[d], docs[e]
+                if p and q and x[p - 1] == y[q - 1]:
+                    continue
+                n = 50
+                while p + n < len(x) and q + n < len(y) and x[p + n] == y[q + n]:
+                    n += 1
+                found[x[p:p + n]] = None
+    return {w: {(d, p, p + len(w)) for d, p in at[w[:50]] if docs[d].startswith(w, p)} for w in found}
+
+
+@pytest.mark.parametrize("chunk", [4 << 20, 1500])
+def test_repeat_groups_are_whole(spark, chunk):
+    """Exact copies, a passage of 1,000 bytes, passages within passages and repeats within one text."""
+    long = words(5, 400)[:1000]
+    docs = {k: words(k, 20) + long + words(50 + k, 20) for k in range(3)}
+    docs |= {10 + k: words(9, 60) for k in range(3)}
+    docs |= {20: words(21, 12) + long[300:500] + "#" + long[280:420] + words(22, 12), 21: PASSAGE[:90] + "|" + PASSAGE[:90], 22: long[940:] + "ab" * 40, 23: "short"}
+    want = brute_groups({d: t.encode() for d, t in docs.items()})
+    df = spark.createDataFrame([*docs.items(), (None, long), (30, None)], "doc_id long, text string")
+    got = collections.defaultdict(list)
+    for r in repeats.repeat_groups(df, chunk_bytes=chunk).collect():
+        got[bytes(r["text"])].append((r["doc_id"], r["start"], r["end"]))
+    assert {w: set(p) for w, p in got.items()} == want and all(len(p) == len(set(p)) for p in got.values())
+    assert {d for d, _, _ in got[docs[10].encode()]} == {10, 11, 12} and {d for d, _, _ in got[long.encode()]} == {0, 1, 2}
+    # the bytes that the query takes out are those of the groups' later holders
+    gone = collections.defaultdict(set)
+    for places in got.values():
+        for d, a, b in places:
+            if d > min(places)[0]:
+                gone[d] |= set(range(a, b))
+    for r in repeats.remove_repeats(df, chunk_bytes=chunk).filter("doc_id is not null").collect():
+        assert {x for s in r["spans"] for x in range(s["start"], s["end"])} == gone[r["doc_id"]]
+
+
 def test_packing(spark, texts):
     import public_tokenizers
     from tokenizers import Tokenizer

@@ -18,11 +18,13 @@ slice of text (50 to 80 bytes).  So:
    one by one, dealt by their own hash, so no bucket grows with one anchor.)
 3. Chunks cover the repeated slices and the marked windows.
 
-``interval_tree`` scans the common prefixes with a stack, gives every interval of
-at least the asked length, and keeps those whose occurrences are preceded by
-different bytes: the maximal repeats, each with all its occurrences.
-``repeat_groups`` returns them for whole tables; there the prefixes end with the
-slice, and longer repeats show as overlapping groups.
+``repeat_groups`` returns the maximal repeats of whole tables, each with all its
+occurrences.  Chunks learn which of their windows occur again, and which of those
+have different bytes before them: there, and only there, a maximal repeat begins.
+Such places go to their window's bucket with the text up to where the repeated
+windows end.  ``interval_tree`` scans the common prefixes of the different ones
+with a stack, and the intervals whose occurrences are preceded by different bytes
+stay.  (A text of one short period has very many maximal repeats, all of them given.)
 
 Defined cases: a null text counts as empty; texts under 50 bytes lose nothing;
 rows of one doc_id are one document and take nothing from each other; rows
@@ -40,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidyline.llm.common import id_ranges, shuffle_parts
+from tidyline.llm.common import id_ranges, shuffle_parts, written
 
 WINDOW = 50
 GRAM = 20
@@ -416,27 +418,115 @@ def remove_repeats(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, bucket_hashe
         cut, "doc_id long, n_bytes long, kept binary, spans array<struct<start: long, end: long>>")
 
 
+def _window_hash(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
+    h = np.zeros(len(at), np.uint64)
+    for k in range(WINDOW):
+        h = h * _C[0] + _BYTE[buf[at + k]]
+    return mix(h)
+
+
+def _starts(lo: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The windows' starts of slices."""
+    return np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+
+
+def _before(c: Chunk, at: np.ndarray) -> np.ndarray:
+    """The byte before each place, -1 where a text begins."""
+    if not len(at):
+        return np.zeros(0, np.int64)
+    doc = np.searchsorted(c.ends, at, side="right")
+    return np.where(at == (c.ends - c.sizes)[doc], -1, c.buf[at - 1].astype(np.int64))
+
+
+def _common(a: bytes, b: bytes) -> int:
+    n = min(len(a), len(b))
+    differ = np.frombuffer(a, np.uint8, n) != np.frombuffer(b, np.uint8, n)
+    return int(differ.argmax()) if differ.any() else n
+
+
+def _suffixes(docs: DataFrame, chunk_bytes: int, bucket_hashes: int) -> DataFrame:
+    """One row per place where a maximal repeat may begin: the window's hash, the
+    document and byte offset, the byte before, and the text up to where the
+    repeated windows that follow each other end; no repeat reaches further."""
+    chunks, _ = _chunks(docs, chunk_bytes, bucket_hashes)
+    said, counted = "chunk long, key long", "chunk long, key long, n long, low int, high int"
+
+    def anchors(table: pa.Table) -> pa.Table:
+        key, n = np.unique(Chunk(table).anchor, return_counts=True)
+        return pa.table([pa.array(np.full(len(key), table.column("chunk")[0].as_py())), pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))],
+                        names=["chunk", "key", "n"])
+
+    sent = chunks.groupBy("chunk").applyInArrow(anchors, said + ", n long")
+    several = sent.join(sent.groupBy("key").agg(F.sum("n").alias("all")).filter("all > 1"), "key").select("chunk", "key")
+
+    def windows(table: pa.Table, found: pa.Table) -> pa.Table:
+        cols: tuple = ([], [], [], [], [])
+        if table.num_rows and found.num_rows:
+            c = Chunk(table)
+            use = np.isin(c.anchor, found.column("key").to_numpy().view(np.uint64))
+            at = _starts(c.lo[use], c.count[use])
+            key, which, n = np.unique(_window_hash(c.buf, at), return_inverse=True, return_counts=True)
+            before = _before(c, at)
+            low, high = np.full(len(key), 256), np.full(len(key), -1)
+            np.minimum.at(low, which, before)
+            np.maximum.at(high, which, before)
+            cols = (np.full(len(key), table.column("chunk")[0].as_py()), key.view(np.int64), n, low, high)
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
+        return pa.table([pa.array(x, t) for x, t in zip(cols, types, strict=True)], names=["chunk", "key", "n", "low", "high"])
+
+    sent = written(chunks.groupBy("chunk").cogroup(several.groupBy("chunk")).applyInArrow(windows, counted), "repeat-windows")
+    facts = sent.groupBy("key").agg(F.sum("n").alias("all"), F.min("low").alias("l"), F.max("high").alias("h")).filter("all > 1")
+    again = sent.join(facts, "key").select("chunk", "key", ((F.col("l") < 0) | (F.col("l") < F.col("h"))).alias("diverse"))
+
+    def suffixes(table: pa.Table, found: pa.Table) -> pa.Table:
+        cols: tuple = ([], [], [], [], [])
+        if table.num_rows and found.num_rows:
+            c = Chunk(table)
+            at = np.sort(_starts(c.lo, c.count))
+            key, h = found.column("key").to_numpy().view(np.uint64), _window_hash(c.buf, at)
+            held = np.isin(h, key)
+            at, h = at[held], h[held]
+            last = np.append(at[1:] != at[:-1] + 1, True)  # of windows that follow each other
+            end = at[last][np.cumsum(last) - last] + WINDOW
+            begins = np.isin(h, key[np.asarray(found.column("diverse").to_pylist(), bool)])
+            at, h, end = at[begins], h[begins], end[begins]
+            doc = np.searchsorted(c.ends, at, side="right")
+            cols = (h.view(np.int64), [c.ids[d] for d in doc.tolist()], at - (c.ends - c.sizes)[doc], _before(c, at),
+                    [c.buf[a:e].tobytes() for a, e in zip(at.tolist(), end.tolist(), strict=True)])
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.large_binary())
+        return pa.table([pa.array(x, t) for x, t in zip(cols, types, strict=True)], names=["key", "doc_id", "start", "before", "suffix"]).cast(
+            pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("before", pa.int32()), ("suffix", pa.binary())]))
+
+    return chunks.groupBy("chunk").cogroup(again.groupBy("chunk")).applyInArrow(
+        suffixes, "key long, doc_id long, start long, before int, suffix binary")
+
+
 def repeat_groups(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, bucket_hashes: int = BUCKET_HASHES) -> DataFrame:
-    """The maximal repeats among the slices that differ: ``text`` and, one row each,
-    all its occurrences (chunk and rank of the document in it)."""
-    chunks, buckets = _chunks(docs, chunk_bytes, bucket_hashes)
-    slices = _slices(chunks, _answers(chunks, buckets), buckets)
+    """The maximal repeats of 50 bytes or more: ``text`` and, one row each, all its
+    occurrences (doc_id, start and end in bytes of the document)."""
+    places = written(_suffixes(docs, chunk_bytes, bucket_hashes).withColumn("id", F.md5("suffix")), "repeat-suffixes")
+    different = places.groupBy("key", "id").agg(
+        F.first("suffix").alias("suffix"), F.count("*").alias("n"), F.min("before").alias("low"), F.max("before").alias("high"))
 
     def groups(table: pa.Table) -> pa.Table:
-        which, start, end, owner, data, _, _ = _joined(table)
-        order, lcp = suffix_array(data, start, end)
-        begins = np.concatenate(([True], which[1:] != which[:-1]))
-        before = np.where(begins, -1, data[start - 1].astype(np.int64))[order]
-        text, chunk, rank = [], [], []
-        for depth, a, b in interval_tree(lcp, WINDOW):
-            if left_diverse(before[a:b + 1]):
-                for i in order[a:b + 1].tolist():
-                    text.append(data[start[i]:start[i] + depth].tobytes())
-                    chunk.append(int(owner[which[i]] >> 32))
-                    rank.append(int(owner[which[i]] & 0xFFFFFFFF))
-        return pa.table([pa.array(text, pa.binary()), pa.array(chunk, pa.int64()), pa.array(rank, pa.int64())], names=["text", "chunk", "rank"])
-
-    return slices.groupBy("bucket").applyInArrow(groups, "text binary, chunk long, rank long")
+        suffix, ids = table.column("suffix").to_pylist(), table.column("id").to_pylist()
+        order = sorted(range(len(suffix)), key=suffix.__getitem__)
+        n, low, high = (table.column(c).to_numpy()[order] for c in ("n", "low", "high"))
+        lcp = np.array([0, *[_common(suffix[i], suffix[j]) for i, j in zip(order, order[1:], strict=False)]])
+        # a suffix that occurs several times is an interval, too, unless it is the beginning of the next one
+        nearest = np.maximum(lcp, np.append(lcp[1:], 0))
+        alone = [(len(suffix[i]), k, k) for k, i in enumerate(order) if n[k] > 1 and len(suffix[i]) > nearest[k]]
+        text, of = [], []
+        for depth, a, b in [*alone, *interval_tree(lcp, WINDOW)]:
+            if left_diverse(np.concatenate([low[a:b + 1], high[a:b + 1]])):
+                text += [suffix[order[a]][:depth]] * (b + 1 - a)
+                of += [ids[i] for i in order[a:b + 1]]
+        return pa.table([pa.array([table.column("key")[0].as_py()] * len(of), pa.int64()), pa.array(of, pa.string()), pa.array(text, pa.binary())],
+                        names=["key", "id", "text"])
+
+    found = different.groupBy("key").applyInArrow(groups, "key long, id string, text binary")
+    return found.join(places.select("key", "id", "doc_id", "start"), ["key", "id"]).select(
+        "text", "doc_id", "start", (F.col("start") + F.octet_length("text")).alias("end"))
 
 
 def digest(docs: DataFrame) -> DataFrame:
