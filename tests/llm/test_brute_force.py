@@ -261,6 +261,25 @@ def test_fingerprints(spark, texts):
     assert fingerprints.SAMPLES * 8 == len(next(r for r in rows.values() if r["fingerprint"])["fingerprint"])
 
 
+def test_fingerprints_of_long_texts(spark):
+    """Texts of many different words are no more alike than they are."""
+    def text(seed, n=6000):
+        r = random.Random(seed)
+        return [f"w{r.randrange(1 << 40)}" for _ in range(n)]
+
+    one, two = text(1), text(2)
+    docs = {1: one, 2: two, 3: one[:3000] + two[3000:], 4: text(4), 5: text(5) * 2}
+    df = spark.createDataFrame([(d, " ".join(x)) for d, x in docs.items()], "doc_id long, text string")
+    got = {r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprint(df, ["doc_id"]).collect()}
+    pieces = {d: [f[i:i + 8] for i in range(0, len(f), 8)] for d, f in got.items()}
+    for a in docs:
+        for b in docs:
+            x, y = collections.Counter(docs[a]), collections.Counter(docs[b])
+            exact = sum((x & y).values()) / sum((x | y).values())
+            off = np.mean([p == q for p, q in zip(pieces[a], pieces[b], strict=True)]) - exact
+            assert abs(off) <= (4 * np.sqrt(exact * (1 - exact) / fingerprints.SAMPLES) if exact else 0.02)
+
+
 def test_language_held_out(spark):
     import duckdb
     sf = "/root/testdata/sf0.01"

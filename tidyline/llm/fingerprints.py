@@ -1,17 +1,21 @@
 """Document fingerprints by consistent weighted sampling, in DataFrame functions only.
 
-The terms of a text are its lower-cased words, hashed to ``DIMS`` dimensions;
-their weights are their counts.  Sample k has for each dimension two Gamma(2, 1)
-variables r, c and a uniform b, fixed by hashes of (dimension, k).  A weight S
+The terms of a text are its lower-cased words, by their 64-bit hashes; their
+weights are their counts.  Sample k has for each term two Gamma(2, 1) variables r
+and c and a uniform b, computed in the row from hashes of (term, k).  A weight S
 falls into step t = floor(ln S / r + b), and the term with the least
-ln a = ln c - r (t - b) - r is drawn.  Two texts draw the same (term, t) with a
-probability equal to their generalised Jaccard similarity.  The drawn value ln a
+a = c exp(-r (t - b + 1)) is drawn.  Two texts draw the same (term, t) with a
+probability equal to their generalised Jaccard similarity.  The drawn value a
 itself stands for (term, t): it is a function of both, and is kept as 32 bits of
 its hash.
 
-The variables are a table of ``DIMS`` rows, a size fixed by that parameter, which
-is broadcast.  Texts are shuffled once, into ranges of doc_id that also give each
-document its successor; terms, counts and samples stay in that partitioning.
+r and b come from two uniforms: with e1 = -ln v and e2 = -ln u, r = e1 + e2 is
+Gamma(2, 1) and b = e1 / r is uniform and independent of it.  So
+t = floor((ln S + e1) / r) and a = c u exp(-r t), which is c u for words that
+occur once.
+
+Texts are shuffled once, into ranges of doc_id that also give each document its
+successor; terms, counts and samples stay in that partitioning.
 
 Defined cases: a null text counts as empty; a text without words has a
 fingerprint of its own, equal (1.0) to that of other such texts and to no other
@@ -23,52 +27,52 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidyline.llm.common import id_ranges, plain_words
 
 SAMPLES = 64
-DIMS = 8192
+#: Samples that one row computes; more make generated code that is not compiled.
+AT_ONCE = 8
 SEED = 11
 #: Documents in a range of doc_id, and ranges at most (a row of each is broadcast).
 RANGE_DOCS = 500
 MAX_RANGES = 20_000
 
 
-def variables(spark: SparkSession, samples: int = SAMPLES, dims: int = DIMS, seed: int = SEED) -> DataFrame:
-    """One row per dimension: arrays r, lnc, b of the samples."""
-
-    def uniform(k: Column, which: int) -> Column:
-        return (F.pmod(F.xxhash64(F.col("dim"), k, F.lit(which), F.lit(seed)), F.lit(1 << 40)) + 0.5) / float(1 << 40)
+def drawn_value(term: Column, s: Column, group: Column, k: int, seed: int = SEED) -> Column:
+    """a of sample k of a group, at ln S = s (null: no word)."""
+    one, two = (F.xxhash64(term, group, F.lit(2 * k + which), F.lit(seed)) for which in (0, 1))
 
-    def of(f) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.lit(samples)), f)
+    def uniform(h: Column, shift: int, bits: int) -> Column:
+        return (F.shiftrightunsigned(h, shift).bitwiseAND(F.lit((1 << bits) - 1)) + 0.5) * (0.5 ** bits)
 
-    gamma = lambda k, i: -F.log(uniform(k, i) * uniform(k, i + 1))
-    return spark.range(0, dims, 1, 1).withColumnRenamed("id", "dim").select(
-        F.col("dim").cast("int"), of(lambda k: gamma(k, 0)).alias("r"), of(lambda k: F.log(gamma(k, 2))).alias("lnc"), of(lambda k: uniform(k, 4)).alias("b"))
+    u, c = uniform(one, 0, 22), -F.log(uniform(one, 22, 21) * uniform(one, 43, 21))
+    e1 = -F.log(uniform(two, 0, 40))
+    r = e1 - F.log(u)
+    return c * u * F.when(s == 0, 1.0).when(s > 0, F.exp(-r * F.floor((s + e1) / r)))
 
 
-def term_counts(texts: DataFrame, keys: list[str], text: str = "text", dims: int = DIMS) -> DataFrame:
-    """keys, dim, n: the weighted terms; a text without words has one row of nulls."""
+def term_counts(texts: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """keys, term (its hash), n: the weighted terms; a text without words has one row of nulls."""
     term = F.explode_outer(plain_words(F.lower(F.col(text))))
-    rows = texts.select(*keys, term.alias("term")).select(*keys, F.pmod(F.xxhash64("term"), F.lit(dims)).cast("int").alias("dim"), "term")
-    return rows.groupBy(*keys, F.when(F.col("term").isNotNull(), F.col("dim")).alias("dim")).agg(F.count("*").alias("n"))
-
-
-def sample(counts: DataFrame, keys: list[str], samples: int = SAMPLES, dims: int = DIMS, seed: int = SEED) -> DataFrame:
-    """keys and ``draws``: the least ln a of each sample (null without words)."""
-    table = F.broadcast(variables(counts.sparkSession, samples, dims, seed))
-    rows = counts.join(table, "dim", "left").withColumn("s", F.log("n"))
-
-    def least(k: int) -> Column:
-        r, lnc, b = (F.get(F.col(c), F.lit(k)) for c in ("r", "lnc", "b"))
-        return F.min(lnc - r * (F.floor(F.col("s") / r + b) - b + 1)).alias(f"d{k}")
-
-    drawn = rows.groupBy(*keys).agg(*[least(k) for k in range(samples)])
-    bits = lambda k: F.xxhash64(F.col(f"d{k}")).bitwiseAND(F.lit(0xFFFFFFFF))
-    return drawn.select(*keys, F.when(F.col("d0").isNotNull(), F.array(*[bits(k) for k in range(samples)])).alias("draws"))
+    rows = texts.select(*keys, term.alias("word")).select(*keys, F.when(F.col("word").isNotNull(), F.xxhash64("word")).alias("term"))
+    return rows.groupBy(*keys, "term").agg(F.count("*").alias("n"))
+
+
+def sample(counts: DataFrame, keys: list[str], samples: int = SAMPLES, seed: int = SEED) -> DataFrame:
+    """keys and ``draws``: the least a of each sample (null without words)."""
+    width = min(AT_ONCE, samples)
+    rows = counts.select(*keys, "term", F.when(F.col("term").isNotNull(), F.log("n")).alias("s"),
+                         F.explode(F.sequence(F.lit(0), F.lit(-(-samples // width) - 1))).alias("group"))
+
+    drawn = rows.groupBy(*keys, "group").agg(*[
+        F.min(drawn_value(F.col("term"), F.col("s"), F.col("group"), k, seed)).alias(f"d{k}") for k in range(width)])
+    bits = [F.xxhash64(F.col(f"d{k}")).bitwiseAND(F.lit(0xFFFFFFFF)) for k in range(width)]
+    drawn = drawn.select(*keys, F.when(F.col("d0").isNotNull(), F.struct("group", F.array(*bits).alias("bits"))).alias("one"))
+    of = drawn.groupBy(*keys).agg(F.sort_array(F.collect_list("one")).alias("all"))  # nulls are left out
+    return of.select(*keys, F.when(F.size("all") > 0, F.slice(F.flatten("all.bits"), 1, samples)).alias("draws"))
 
 
 def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
