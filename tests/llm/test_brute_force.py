@@ -235,6 +235,21 @@ def test_guess_spans_outside_base_spans():
         assert secrets.guess_spans(x, x.lower(), base) == want
 
 
+def test_guess_spans_of_all_forms(spark):
+    plain, quoted = "x9$kQ2!vLp", "x9$k,Q2;!vLp"
+    forms = {1: f"password:  {plain}", 2: f"password  =  {plain}", 3: f"password\t=\t{plain}", 4: f"PGPASSWORD={plain}", 5: f"dbpassword={plain}",
+             6: f"secret_key={plain}", 7: f"password := {plain}", 8: f'password="{quoted}"', 9: f"'api-key-2' : '{quoted}'", 10: f"clientSecretKey={plain}",
+             11: f"my-token.v2 is {plain}", 12: f'password="{plain}', 13: f'password="{plain[:5]} {plain[5:]}" and more'}
+    values = {k: next(v for v in (plain, quoted, f"{plain[:5]} {plain[5:]}") if v in x) for k, x in forms.items()}
+    none = {20: "author: Christopherson77", 21: "the opinion is x9$kQ2!vLp", 22: "secretary: x9$kQ2!vLp", 23: "token-" * 20_000}
+    df = spark.createDataFrame(list((forms | none).items()), "doc_id long, text string")
+    for r in secrets.find_secrets(df).collect():
+        got = [(s["kind"], (forms | none)[r["doc_id"]][s["start"]:s["end"]]) for s in r["spans"]]
+        assert got == ([("guess", values[r["doc_id"]])] if r["doc_id"] in forms else [])
+    clean = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
+    assert all("<secret>" in clean[k] and values[k] not in clean[k] for k in forms)
+
+
 def test_guess_cost():
     cost = secrets.guess_cost
     assert cost("password") < cost("p4ssw0rd") < cost("x9$kQ2!vLp") and cost("aaaaaaaaaaaa") < 4 and cost("qwertyuiop") < 4

@@ -28,10 +28,13 @@ KINDS = ("assign", "access", "hex", "guess")
 ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")
-#: Words before a value that make it a credential.
+#: Names that make the value after them a credential: the long words anywhere in a name, the short ones at the start of a
+#: part of it.  A name is taken whole, with or without a value, so that no name is read twice.
 CONTEXT = re.compile(
-    r"""(?ai)(?<![a-z0-9])(?:password|passwd|passphrase|passcode|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credentials?|login|pin)"""
-    r"""["']?\x20?(?:[:=]|\bis\b)\x20?["']?([^\s"'<>,;]+)""")
+    r"""(?ai)(?:password|passwd|passphrase|passcode|pwd|secret|token|api[_-]?key|access[_-]?key|credentials?|(?<![a-z0-9])(?:auth|login|pin))"""
+    r"""(?:(?-i:(?<=[a-z])[A-Z][A-Za-z0-9]*+)|[0-9]++)?+(?:[_.-][a-z0-9]++)*+"""
+    r"""(?:["']?[\x20\t]*+(?::=|[:=]|\bis\b)[\x20\t]*+["']?"""
+    r"""((?<=")(?:\\.|[^"\\\n])++(?=")|(?<=')(?:\\.|[^'\\\n])++(?=')|[^\s"'<>,;]+))?""")
 HINTS = ("pass", "pwd", "secret", "token", "api", "access", "auth", "credential", "login", "pin")
 MIN_VALUE = 6
 #: Costs of values up to this length are remembered within a task's process.
