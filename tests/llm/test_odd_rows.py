@@ -6,7 +6,7 @@ from tidyline.llm import (
     fingerprints, language_id, line_dedup, mixing, near_dedup, packing, quality_model, quality_rules, repeats, secrets,
 )
 
-from .conftest import odd_rows
+from .conftest import odd_rows, words
 
 OPERATORS = {
     "quality_model": quality_model.classify, "near_dedup": near_dedup.near_duplicates, "language_id": language_id.identify,
@@ -58,3 +58,14 @@ def test_mix_shares_copies_of_equal_rows(odd):
     plan = mixing.plan(odd, share=1.0).collect()
     want = sum(r["copies"] for r in plan)
     assert mixing.mix(odd, share=1.0).count() == want
+
+
+def test_line_dedup_tells_rows_apart(spark):
+    """Rows without doc_id, or of one doc_id, lose their own lines only; of equal rows one stays."""
+    a, b, c, d = (words(k, 9) for k in range(4))
+    texts = {"one": f"{a}\n{b}", "two": f"{c}\n{a}"}
+    for doc_id in (None, 7):
+        rows = [(doc_id, t) for t in texts.values()] + [(8 if doc_id else None, d)] * 2
+        got = [(r["doc_id"], r["kept_text"]) for r in line_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+        kept = sorted(t for _, t in got)
+        assert kept in (sorted(["", d, texts["one"], f"{c}\n"]), sorted(["", d, b, texts["two"]]))

@@ -10,8 +10,9 @@ shuffle; only digests with several holders are joined back to their units, and
 texts meet only the places to remove.
 
 Defined cases: a null text counts as empty; rows with a null doc_id come after
-all others and lose to them; repeated rows of one doc_id are ranked by their
-text and then share the removal of their equal units; an empty table gives no rows.
+all others and lose to them; rows of one doc_id are told apart and ranked by the
+digest of their text; of equal rows one keeps what is the earliest and the others
+lose all their units; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,57 +21,74 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 MIN_WORDS = 8
 SEPARATORS = {"line": "\n", "paragraph": "\n\n"}
 
 
+def units_of(text: str, sep: str, min_words: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """(number, start, end, digest) of the units of enough words."""
+    at = 0
+    for k, part in enumerate(text.split(sep)):
+        words = part.encode("utf-8", "replace").lower().split()
+        if len(words) >= min_words:
+            yield k, at, at + len(part), hashlib.md5(b" ".join(words)).digest()
+        at += len(part) + len(sep)
+
+
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and ``row``, a digest of both: rows differ in it unless they are equal."""
+    d = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.coalesce("text", F.lit("")))
+    return d.withColumn("row", F.unhex(F.md5(key)))
+
+
 def unit_rows(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
-    """One row per unit of enough words: doc_id, its number, start, end, digest."""
+    """One row per unit of enough words: doc_id, row, its number, start, end, digest."""
     sep = SEPARATORS[unit]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            cols: tuple[list, ...] = ([], [], [], [], [])
-            for d, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                at = 0
-                for k, part in enumerate((t.as_py() or "").split(sep)):
-                    words = part.encode("utf-8", "replace").lower().split()
-                    if len(words) >= min_words:
-                        for c, v in zip(cols, (d, k, at, at + len(part), hashlib.md5(b" ".join(words)).digest()), strict=True):
-                            c.append(v)
-                    at += len(part) + len(sep)
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), *[pa.array(c, pa.int32()) for c in cols[1:4]], pa.array(cols[4], pa.binary())],
-                                             names=["doc_id", "place", "start", "end", "digest"])
+            cols: tuple[list, ...] = ([], [], [], [], [], [])
+            for d, t, r in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
+                for one in units_of(t.as_py() or "", sep, min_words):
+                    for c, v in zip(cols, (d, r, *one), strict=True):
+                        c.append(v)
+            types = (pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
+                                             names=["doc_id", "row", "place", "start", "end", "digest"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, place int, start int, end int, digest binary")
+    return keyed(docs).mapInArrow(run, "doc_id long, row binary, place int, start int, end int, digest binary")
 
 
 def repeated_units(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
-    """The units to remove: every occurrence but the earliest, with that one's doc_id."""
+    """The units to remove: every occurrence but the earliest, with that one's
+    doc_id.  Equal rows count as one here."""
     units = unit_rows(docs, unit, min_words)
-    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "place")
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row", "place")
     # as many as two numbers: a sum and a count are combined before the shuffle
     first = units.groupBy("digest").agg(F.min(rank).alias("first"), F.count("*").alias("n")).filter("n > 1").select("digest", "first")
     out = units.join(first, "digest")
-    same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("place") == F.col("first.place"))
-    return out.filter(~same).select("doc_id", "place", "start", "end", F.col("first.doc_id").alias("first_doc_id"))
+    same = (F.col("row") == F.col("first.row")) & (F.col("place") == F.col("first.place"))
+    return out.filter(~same).select("doc_id", "row", "place", "start", "end", F.col("first.doc_id").alias("first_doc_id"))
 
 
 def remove_repeats(docs: DataFrame, unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
     """doc_id, the cleaned text, what was removed (start, end of the input) and how many units there were."""
     sep = SEPARATORS[unit]
-    gone = repeated_units(docs, unit, min_words).groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("removed"))
-    both = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .join(gone.withColumnRenamed("doc_id", "_d"), F.col("doc_id").eqNullSafe(F.col("_d")), "left").drop("_d"))
+    gone = repeated_units(docs, unit, min_words).groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("removed"))
+    again = F.row_number().over(Window.partitionBy("row").orderBy("doc_id")) > 1  # a row equal to one before it
+    both = keyed(docs).join(gone, "row", "left").select("doc_id", "text", "removed", again.alias("again"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept, counts = [], []
-            for t, removed in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
+            kept, counts, spans = [], [], []
+            for t, removed, copy in zip(batch.column(1), *(batch.column(c).to_pylist() for c in (2, 3)), strict=True):
                 s = t.as_py() or ""
+                if copy:
+                    removed = [{"start": a, "end": b} for _, a, b, _ in units_of(s, sep, min_words)] or None
                 out, at = [], 0
                 for r in removed or ():
                     end = min(r["end"] + len(sep), len(s))  # the separator after a unit goes with it
@@ -78,7 +96,8 @@ def remove_repeats(docs: DataFrame, unit: str = "line", min_words: int = MIN_WOR
                     at = max(at, end)
                 kept.append("".join([*out, s[at:]]))
                 counts.append(s.count(sep) + 1 if s else 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string()), batch.column(2), pa.array(counts, pa.int64())],
+                spans.append(removed)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kept, pa.string()), pa.array(spans, batch.schema.field(2).type), pa.array(counts, pa.int64())],
                                              names=["doc_id", "kept_text", "removed", "n_units"])
 
     return both.mapInArrow(run, "doc_id long, kept_text string, removed array<struct<start: int, end: int>>, n_units long")
