@@ -96,6 +96,19 @@ def test_resumable_run_and_pending(spark, tmp_path):
     assert [r["id"] for r in todo.collect()] == [2]
 
 
+def test_restart_redoes_failed_rows(spark, tmp_path):
+    def model(bad):
+        def make():
+            return lambda prompts: ["" if p in bad else p.upper() for p in prompts]
+        return make
+
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    spark.createDataFrame([(i, f"t{i}") for i in range(4)], "id long, t string").write.parquet(src)
+    for bad, want in ((("t1", "t2"), ["T0", "", "", "T3"]), (("t2",), ["T0", "T1", "", "T3"]), ((), ["T0", "T1", "T2", "T3"]), (("t0",), ["T0", "T1", "T2", "T3"])):
+        got = resumable_generate(spark, src, out, "id", "t", model(bad), files_per_trigger=1).orderBy("id").collect()
+        assert [(r["id"], r["generated"] or "") for r in got] == list(enumerate(want))
+
+
 def test_describe_equals_percentile_with_null_label_and_ties(spark):
     from pyspark.sql import functions as F
 

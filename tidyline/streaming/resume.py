@@ -16,7 +16,8 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidyline.operators.infer import batch_generate
@@ -29,7 +30,9 @@ def resumable_generate(spark: SparkSession, src: str, out: str, key: str, prompt
     """Run the hook over every row of the Parquet files in folder ``src``
     (optionally only files matching ``glob``) that has not been done yet;
     returns the full result read back from ``out``.  All new files make one
-    micro-batch unless ``files_per_trigger`` bounds it."""
+    micro-batch unless ``files_per_trigger`` bounds it.  On a restart, rows that
+    failed are redone first (into ``epoch=-1``, ``-2``, ...) and the newest redo
+    of a key wins; ``key`` names each row once."""
     r = spark.read.option("pathGlobFilter", glob) if glob else spark.read
     schema = r.parquet(src).schema
     rs = spark.readStream.schema(schema)
@@ -40,6 +43,20 @@ def resumable_generate(spark: SparkSession, src: str, out: str, key: str, prompt
     stream = rs.parquet(src)
     if prepare is not None:
         stream = prepare(stream)
+    try:
+        done = spark.read.parquet(out)
+    except AnalysisException:  # a first run
+        done = None
+    redo = 0  # the last redo, as an epoch
+    if done is not None:
+        redo = min(0, done.agg(F.min("epoch")).first()[0] or 0)
+        rows = r.parquet(src)
+        done = _newest(done, key, redo)
+        failed = pending((prepare(rows) if prepare else rows).join(done.select(key).distinct(), key, "left_semi"), done, key)
+        if not failed.isEmpty():
+            redo -= 1
+            res = batch_generate(failed, key, prompt, make_fn, "generated", batch_size)
+            res.write.mode("overwrite").parquet(os.path.join(out, f"epoch={redo}"))
     ckpt = os.path.join(out, "_checkpoint")  # readers of ``out`` skip names with an underscore
 
     def each(batch: DataFrame, epoch: int) -> None:
@@ -49,7 +66,15 @@ def resumable_generate(spark: SparkSession, src: str, out: str, key: str, prompt
     q = (stream.writeStream.foreachBatch(each).option("checkpointLocation", ckpt)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out).drop("epoch")
+    return _newest(spark.read.parquet(out), key, redo).drop("epoch")
+
+
+def _newest(results: DataFrame, key: str, redo: int) -> DataFrame:
+    """Of keys that were redone, the rows of the newest redo only."""
+    if not redo:
+        return results
+    again = results.filter("epoch < 0").withColumn("_nth", F.rank().over(Window.partitionBy(key).orderBy("epoch"))).filter("_nth = 1").drop("_nth")
+    return without_key(results.filter("epoch >= 0"), again, key).unionByName(again)
 
 
 def pending(df: DataFrame, done: DataFrame, key: str, out: str = "generated") -> DataFrame:
