@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidyline.llm import fingerprints, language_id, line_dedup, mixing, near_dedup, packing, quality_model, quality_rules, repeats, secrets
+from tidyline.llm import fingerprints, language_id, line_dedup, mixing, near_dedup, packing, personal_data, quality_model, quality_rules, repeats, secrets
 from tidyline.llm.common import read_documents
 
 QUERIES, ORACLES = {}, {}
@@ -67,6 +67,11 @@ def op10(spark, sf_dir):
     return quality_rules.verdicts(read_documents(spark, sf_dir))
 
 
+@query("op11_personal_data")
+def op11(spark, sf_dir):
+    return personal_data.digest(read_documents(spark, sf_dir))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
