@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidyline.llm import fingerprints, language_id, line_dedup, mixing, near_dedup, packing, personal_data, quality_model, quality_rules, repeats, secrets
+from tidyline.llm import fingerprints, language_id, line_dedup, mixing, near_dedup, packing, personal_data, quality_model, quality_rules, repeats, secrets, spelling
 from tidyline.llm.common import read_documents
 
 QUERIES, ORACLES = {}, {}
@@ -72,6 +72,11 @@ def op11(spark, sf_dir):
     return personal_data.digest(read_documents(spark, sf_dir))
 
 
+@query("op12_spelling")
+def op12(spark, sf_dir):
+    return spelling.variants(read_documents(spark, sf_dir))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
