@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidyline.llm import fingerprints, language_id, line_dedup, mixing, near_dedup, packing, personal_data, quality_model, quality_rules, repeats, secrets, spelling
+from tidyline.llm import fingerprints, language_id, line_dedup, manifest, mixing, near_dedup, packing, personal_data, quality_model, quality_rules, repeats, secrets, spelling
 from tidyline.llm.common import read_documents
 
 QUERIES, ORACLES = {}, {}
@@ -77,6 +77,11 @@ def op12(spark, sf_dir):
     return spelling.variants(read_documents(spark, sf_dir))
 
 
+@query("op13_manifest", manifest.ORACLE)
+def op13(spark, sf_dir):
+    return manifest.tampered_proofs(read_documents(spark, sf_dir))
+
+
 @query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
