@@ -1,20 +1,20 @@
 """Sources and sinks.
 
 Reads always pass an explicit schema (never ``inferSchema``); CSV is read the
-way the reference's files are written: header, comma, double-quote escaping.
-``multi_line=True`` also reads quoted newlines; a file is then one task however
-large it is, so it is off unless asked for.
+way the reference's files are written: header, comma, quotes doubled inside of
+quotes, newlines allowed there.  Files with quoted newlines are read by byte
+ranges (:mod:`tidyline.sources.csv_records`), so that a large file is no single
+task; ``multi_line=False`` takes each line as a record, in one pass.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidyline.session import sized
+from tidyline.sources import csv_records
 
 # The core row and its common extensions.
 CORE_SCHEMA = T.StructType([
@@ -28,8 +28,19 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
-               fmt: str | None = None, mode: str = "PERMISSIVE", multi_line: bool = False) -> DataFrame:
+def _csv(spark: SparkSession, path: str, schema: T.StructType | str, mode: str, multi_line: bool, ranges: int | None,
+         corrupt: str | None = None) -> DataFrame:
+    """The rows of CSV files with a header, parsed by ``schema``."""
+    named = {"columnNameOfCorruptRecord": corrupt} if corrupt else {}
+    if not multi_line:
+        return spark.read.schema(schema).option("header", True).option("escape", '"').option("mode", mode).options(**named).csv(path)
+    ddl = schema if isinstance(schema, str) else schema.toDDL()
+    row = F.from_csv("record", ddl, {"escape": '"', "mode": mode, "multiLine": "true", **named})
+    return csv_records.read_records(spark, path, ranges).filter(~F.col("first")).select(row.alias("row")).select("row.*")
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None, fmt: str | None = None,
+               mode: str = "PERMISSIVE", multi_line: bool = True, ranges: int | None = None) -> DataFrame:
     """A1/A2: CSV or Parquet by extension; ``mode='FAILFAST'`` for typed reads."""
     fmt = fmt or ("csv" if path.rstrip("/").endswith(".csv") else "parquet")
     if fmt == "parquet":
@@ -39,25 +50,22 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None
         return r.parquet(path)
     if schema is None:
         raise ValueError("CSV reads need an explicit schema")
-    return (spark.read.schema(schema).option("header", True).option("multiLine", multi_line)
-            .option("escape", '"').option("mode", mode).csv(path))
+    return _csv(spark, path, schema, mode, multi_line, ranges)
 
 
-def read_with_bad_rows(spark: SparkSession, path: str, schema: T.StructType,
-                       corrupt: str = "_corrupt", multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+def read_with_bad_rows(spark: SparkSession, path: str, schema: T.StructType, corrupt: str = "_corrupt",
+                       multi_line: bool = True, ranges: int | None = None) -> tuple[DataFrame, DataFrame]:
     """A3: PERMISSIVE read; returns (good rows, malformed rows with raw text)."""
     s = T.StructType(schema.fields + [T.StructField(corrupt, T.StringType())])
     # parsed once, with all columns: Spark finds malformed fields only in columns that it reads
-    df = sized(spark.read.schema(s).option("header", True).option("multiLine", multi_line)
-          .option("escape", '"').option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", corrupt).csv(path))
+    df = sized(_csv(spark, path, s, "PERMISSIVE", multi_line, ranges, corrupt))
     good = df.filter(F.col(corrupt).isNull()).drop(corrupt)
     bad = df.filter(F.col(corrupt).isNotNull()).select(corrupt)
     return good, bad
 
 
 def read_min_fields(spark: SparkSession, path: str, names: list[str], min_fields: int = 3,
-                    multi_line: bool = False) -> DataFrame:
+                    multi_line: bool = True, ranges: int | None = None) -> DataFrame:
     """A3: rows with fewer than ``min_fields`` fields are skipped; a row with
     more fields than ``names`` fails the job (in plan).
 
@@ -67,10 +75,8 @@ def read_min_fields(spark: SparkSession, path: str, names: list[str], min_fields
     cols = [T.StructField(n, T.StringType()) for n in names]
     schema = T.StructType(cols + [T.StructField("_extra", T.StringType()),
                                   T.StructField("_corrupt", T.StringType())])
-    raw = sized(spark.read.schema(schema).option("header", True).option("multiLine", multi_line)
-           .option("escape", '"').option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", "_corrupt").csv(path))
-    unquoted = F.regexp_replace(F.col("_corrupt"), '"(?:[^"]|"")*"', "")
+    raw = sized(_csv(spark, path, schema, "PERMISSIVE", multi_line, ranges, "_corrupt"))
+    unquoted = F.regexp_replace(F.col("_corrupt"), '"(?:[^"]|"")*+"', "")
     n_fields = F.regexp_count(unquoted, F.lit(",")) + 1
     keep = F.col("_corrupt").isNotNull() & (n_fields >= min_fields) & (n_fields <= len(names))
     # one CASE, so the check cannot be reordered behind the row filter
@@ -80,11 +86,13 @@ def read_min_fields(spark: SparkSession, path: str, names: list[str], min_fields
 
 
 def read_positional(spark: SparkSession, path: str, names: list[str], positions: list[int],
-                    multi_line: bool = False) -> DataFrame:
+                    multi_line: bool = True, ranges: int | None = None) -> DataFrame:
     """A4: skip the header, keep columns by position (0-based), rename."""
-    raw = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').csv(path)
-    cols = raw.columns
-    return raw.select(*[F.col(cols[p]).alias(n) for p, n in zip(positions, names)])
+    n = max(positions) + 1
+    # one more column takes what follows; rows may have more fields than are asked for
+    schema = T.StructType([T.StructField(f"c{k}", T.StringType()) for k in range(n + 1)])
+    raw = _csv(spark, path, schema, "PERMISSIVE", multi_line, ranges)
+    return raw.select(*[F.col(f"c{p}").alias(name) for p, name in zip(positions, names, strict=True)])
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
@@ -112,8 +120,3 @@ def json_report(report: DataFrame) -> DataFrame:
 
 def write_json_report(report: DataFrame, path: str) -> None:
     json_report(report).coalesce(1).write.mode("overwrite").text(path)
-
-
-def test_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver-generated test table."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
