@@ -27,5 +27,6 @@ def load_all() -> None:
     # import for side effects (registration)
     from tidyline.plans import (  # noqa: F401
         augment_queries, detect_queries, join_queries, learn_queries, relabel_queries,
-        report_queries, source_queries, split_queries, text_queries,
+        report_queries, source_queries, split_queries, stream_queries,
+        text_queries,
     )
