@@ -187,9 +187,9 @@ def noise_split_relabel_docs(spark, sf_dir):
 
 @register("classify_overwrite_docs")
 def classify_overwrite_docs(spark, sf_dir):
-    """H6: predict the clean rows' labels and count the changes."""
-    flags, _ = L.classify_overwrite(_flagged_docs(spark, sf_dir), "doc_id", "text", "target", "is_noise")
-    return flags.select("doc_id", "target", "prev_target", "is_changed")
+    """H6: predict the clean rows' labels, with the changes and the model's validation metrics."""
+    flags, metrics = L.classify_overwrite(_flagged_docs(spark, sf_dir), "doc_id", "text", "target", "is_noise")
+    return flags.select("doc_id", "target", "prev_target", "is_changed").crossJoin(F.broadcast(C.round_doubles(metrics)))  # one row
 
 
 @register("train_evaluate_docs")

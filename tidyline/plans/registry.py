@@ -26,7 +26,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     # import for side effects (registration)
     from tidyline.plans import (  # noqa: F401
-        augment_queries, detect_queries, join_queries, learn_queries, relabel_queries,
+        augment_queries, bayes_queries, detect_queries, join_queries, learn_queries, relabel_queries,
         report_queries, source_queries, split_queries, stream_queries,
         text_queries,
     )

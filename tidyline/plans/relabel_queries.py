@@ -37,7 +37,7 @@ P AS (SELECT f.vec_id, f.label, f.fold, pa.prob, list_position(pa.prob, list_max
       FROM f JOIN pa USING (vec_id))
 """
 
-_ISSUES_SQL = _PROBS_SQL + """,
+ISSUES_TAIL_SQL = """,
 TT AS (SELECT label AS k, avg(prob[label + 1]) AS t FROM P GROUP BY label),
 PX AS (SELECT vec_id, label, unnest(range(len(prob))) AS k, unnest(prob) AS pk FROM P),
 M AS (SELECT PX.*, CASE WHEN pk >= TT.t - 1e-6 THEN pk ELSE -1.0 END AS mk FROM PX LEFT JOIN TT USING (k)),
@@ -61,6 +61,7 @@ I AS (SELECT P.vec_id, P.label, P.pred AS suggested, P.prob[P.label + 1] AS self
 NL AS (SELECT P.vec_id, P.label AS target, CASE WHEN I.vec_id IS NOT NULL THEN P.pred ELSE P.label END AS new_label
        FROM P LEFT JOIN I USING (vec_id))
 """
+_ISSUES_SQL = _PROBS_SQL + ISSUES_TAIL_SQL
 
 
 def probs(spark, sf_dir):
