@@ -126,3 +126,29 @@ def test_vectorized_kernels_equal_native(spark):
         (A.drop_class("t", "id", 4, mode="replace").eqNullSafe(
             drop_class_vectorized("t", "id", 4, mode="replace"))).alias("j2r"))
     assert out.filter(~(F.col("j1") & F.col("j2") & F.col("j2r"))).count() == 0
+
+
+def test_many_classes_give_rows_for_quotas_only(spark):
+    """1,000 classes: the margins hold a row per quota of the row's label, and the issues are the brute-force ones."""
+    rnd, k, n = random.Random(6), 1000, 1200
+    rows = []
+    for i in range(n):
+        g = rnd.randrange(k)
+        p = [0.0] * k
+        for j in rnd.sample(range(k), 6):
+            p[j] = round(rnd.random() * 0.1, 9)
+        p[g if rnd.random() < 0.7 else (g + 1) % k] = 0.5
+        rows.append((i, g, p))
+    df = spark.createDataFrame(rows, "id long, g int, p array<double>")
+    guessed = RL.with_confident_guess(df, "g", "p")
+    n_quotas = RL.prune_quotas(guessed, "g").count()
+    assert 0 < RL.quota_margins(guessed, "id", "g", "p").count() <= n * 20 < n * k and n_quotas > 100
+    assert {r["id"] for r in RL.find_label_issues(df, "id", "g", "p").collect()} == brute_force_issues(rows)
+
+
+def test_centroid_scores_do_not_depend_on_the_order_of_rows(spark):
+    rnd = random.Random(7)
+    rows = [(i, i % 3, i % 2, [rnd.gauss(0, 1e3) if rnd.random() < 0.5 else rnd.gauss(0, 1e-3) for _ in range(4)]) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, g int, fold int, v array<double>")
+    a, b = (sorted(map(str, RL.centroid_oof_probs(d, "id", "v", "g", "fold", 2, 1e6).collect())) for d in (df.repartition(1), df.repartition(9, "v")))
+    assert a == b

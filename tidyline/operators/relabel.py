@@ -38,8 +38,9 @@ def centroid_oof_probs(df: DataFrame, key: str, vec: str, label: str, fold: str,
     Work: one explode of rows x dims for the sums (partially aggregated), then
     a (fold, label, dim) table of k*K*D numbers, gathered per fold into one
     array row and broadcast."""
+    # sums of decimals do not depend on the order of the tasks
     x = df.select(label, fold, F.posexplode(vec).alias("dim", "x")) \
-          .withColumn("x", F.col("x").cast("double"))
+          .withColumn("x", F.col("x").cast("double").cast("decimal(38,12)"))
     # one pass over rows x dims: sum and count per (fold, label, dim)
     sums = x.groupBy(fold, label, "dim").agg(F.sum("x").alias("s"), F.count(F.lit(1)).alias("c"))
     tot = sums.groupBy(label, "dim").agg(F.sum("s").alias("ts"), F.sum("c").alias("tc"))
@@ -47,7 +48,7 @@ def centroid_oof_probs(df: DataFrame, key: str, vec: str, label: str, fold: str,
                .join(sums, [fold, label, "dim"], "left"))
     # a class that only the row's own fold holds has no centroid there: its probability is 0
     left = F.col("tc") - F.coalesce("c", F.lit(0))
-    cen = grid.withColumn("v", F.when(left > 0, (F.col("ts") - F.coalesce("s", F.lit(0.0))) / left)).filter("v is not null")
+    cen = grid.withColumn("v", F.when(left > 0, (F.col("ts") - F.coalesce(F.col("s"), F.lit(0).cast("decimal(38,12)"))).cast("double") / left)).filter("v is not null")
     per_label = cen.groupBy(fold, label).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("dim", "v"))), lambda s: s["v"]).alias("cv"))
     # k rows of at most K x D numbers
@@ -132,21 +133,26 @@ def prune_quotas(guessed: DataFrame, label: str) -> DataFrame:
     return q.select("given", F.col("guess").alias("other"), "quota").filter(F.col("quota") > 0)
 
 
+def quota_margins(guessed: DataFrame, key: str, label: str, prob: str) -> DataFrame:
+    """(key, _g, _o, quota, margin): p[_o] - p[_g] of each row for the other classes
+    that have a quota with its label _g, not for every class."""
+    q = sized(prune_quotas(guessed, label).groupBy(F.col("given").alias("_g")).agg(F.collect_list(F.struct("other", "quota")).alias("_q")))
+    given = F.coalesce(F.try_element_at(prob, (F.col(label) + 1).cast("int")), F.lit(0.0))
+    pairs = guessed.join(q, F.col(label) == F.col("_g")).withColumn("_p", given)
+    each = F.transform("_q", lambda x: F.struct(x["other"].alias("_o"), x["quota"].alias("quota"), (F.get(F.col(prob), x["other"]) - F.col("_p")).alias("margin")))
+    return pairs.select(key, "_g", F.explode(each).alias("_x")).select(key, "_g", "_x.*")
+
+
 def find_label_issues(df: DataFrame, key: str, label: str, prob: str) -> DataFrame:
     """H2: rows that are label issues, with ``suggested`` (arg-max of p) and
     ``self_confidence`` (p[given]); sort by self_confidence at the sink."""
     # one narrow frame, written once, that the joint, the quotas and the margins read
     guessed = sized(with_confident_guess(df.select(key, label, prob), label, prob))
-    q = prune_quotas(guessed, label).select(F.col("given").alias("_g"), F.col("other").alias("_o"), "quota")
-    given = F.coalesce(F.try_element_at(prob, (F.col(label) + 1).cast("int")), F.lit(0.0))
-    ex = (guessed.select(key, F.col(label).alias("_g"), given.alias("_p"), F.posexplode(prob).alias("_o", "p_other"))
-                 .filter(F.col("_o") != F.col("_g"))
-                 .select(key, "_g", "_o", (F.col("p_other") - F.col("_p")).alias("margin")))
-    top = exact_top(ex.join(sized(q), ["_g", "_o"]), ["_g", "_o"], [F.desc("margin"), F.col(key)], "quota")
+    top = exact_top(quota_margins(guessed, key, label, prob), ["_g", "_o"], [F.desc("margin"), F.col(key)], "quota")
     cands = top.select(key).distinct()
     issues = df.join(cands, key, "left_semi").withColumn("suggested", T.argmax(prob)) \
                .filter(F.col("suggested") != F.col(label))
-    return issues.withColumn("self_confidence", given)
+    return issues.withColumn("self_confidence", F.coalesce(F.try_element_at(prob, (F.col(label) + 1).cast("int")), F.lit(0.0)))
 
 
 def apply_relabel(df: DataFrame, issues: DataFrame, key: str, label: str, prob: str,

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidyline.operators import detect as D
+from tidyline.operators import joins as J
+from tidyline.operators import observed as O
 from tidyline.plans import common as C
 from tidyline.plans import sqlfrag as S
 from tidyline.plans.registry import register
+from tidyline.session import scratch_path
 
 _CASCADE_DOCS_SQL = f"""
 WITH d AS ({C.HANGUL_DOCS_SQL}),
@@ -109,3 +112,22 @@ def rule_flags_docs(spark, sf_dir):
     return out.select("doc_id", *[F.coalesce(rules[k], F.lit(False)).alias(a) for k, a in (
         ("morph_v1", "v1"), ("morph_v2", "v2"), ("sandwich", "sandwich"), ("consecutive", "consecutive"),
         ("ratio", "ratio"), ("special", "special"))])
+
+
+@register("observed_counts_docs", _CASCADE_DOCS_SQL + f""",
+o AS (SELECT doc_id, {C.LANG_LABEL} AS old, CASE WHEN stage = 'not_noise' THEN {C.LANG_LABEL} ELSE 0 END AS new FROM s)
+SELECT stage AS name, count(*) AS n FROM s GROUP BY stage
+UNION ALL SELECT 'total', count(*) FROM s UNION ALL SELECT 'noise', count(*) FILTER (WHERE stage <> 'not_noise') FROM s
+UNION ALL SELECT 'normal', count(*) FILTER (WHERE stage = 'not_noise') FROM s
+UNION ALL SELECT 'changed', count(*) FILTER (WHERE old <> new) FROM o
+""")
+def observed_counts_docs(spark, sf_dir):
+    """The counts that the writes themselves report: of the flagged rows, and of labels
+    compared with their earlier ones."""
+    path = scratch_path(spark, "observed-flagged")
+    seen = O.write_counted(cascade_docs(spark, sf_dir), path, {**O.stage_metrics(), **O.prediction_metrics()})
+    flagged = spark.read.parquet(path).select("doc_id", C.lang_label().alias("target"), "is_noise")
+    new = flagged.select("doc_id", F.when(F.col("is_noise") == 1, 0).otherwise(F.col("target")).alias("target"))
+    compared = J.compare_labels(new, flagged, "doc_id")
+    seen |= O.write_counted(compared, scratch_path(spark, "observed-compared"), O.change_metrics())
+    return spark.createDataFrame([(k, v) for k, v in seen.items() if v or k not in D.P.STAGES], "name string, n long")

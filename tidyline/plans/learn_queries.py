@@ -76,6 +76,23 @@ def batch_generate_docs(spark, sf_dir):
     return I.batch_generate(d, "doc_id", "text", normalise_model, "generated", 32)
 
 
+@register("length_batches_docs", f"""
+SELECT doc_id, {S.collapse_ws('text')} AS generated, NULL::VARCHAR AS error, true AS padded_enough, true AS less_padding FROM documents
+""")
+def length_batches_docs(spark, sf_dir):
+    """J10 by batches of like length.  Each text is padded to its own length at least, and the padding is
+    less than that of batches of 32 rows in order of the key."""
+    d = C.table(spark, sf_dir, "documents").select("doc_id", "text")
+    g = sized(I.batch_generate_by_length(d, "doc_id", "text", normalise_model))
+    n = F.coalesce(F.length("text"), F.lit(0))
+    rows = d.select("doc_id", n.alias("_n"))
+    by_key = rows.groupBy((F.col("doc_id") / 32).cast("long").alias("_b")).agg((F.max("_n") * F.count("*")).alias("_p")).agg(F.sum("_p").alias("_of_32"))
+    share = I.padding_share(g, d, "doc_id", "text").crossJoin(by_key).crossJoin(rows.agg(F.sum("_n").alias("_all")))  # one row
+    less = share.select((F.col("padding") <= 1 - F.try_divide(F.col("_all"), F.col("_of_32"))).alias("less_padding"))
+    return (g.join(rows, "doc_id").crossJoin(F.broadcast(less))
+             .select("doc_id", "generated", "error", (F.col("padded") >= F.col("_n")).alias("padded_enough"), F.coalesce("less_padding", F.lit(True)).alias("less_padding")))
+
+
 @register("two_step_titles", f"""
 SELECT page_id, title, {S.collapse_ws('title')} AS back_translation FROM ({C.TITLES_SQL})
 """)

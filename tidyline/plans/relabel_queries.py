@@ -19,17 +19,18 @@ K_FOLDS, SEED = 3, 42
 _PROBS_SQL = f"""
 WITH f AS (SELECT vec_id, label, embedding, CAST((row_number() OVER (PARTITION BY label ORDER BY
              {sql_hash32(sql_key('vec_id', str(SEED)))}, vec_id) - 1) % {K_FOLDS} AS INTEGER) AS fold FROM embeddings),
-x AS (SELECT vec_id, fold, label, unnest(range(len(embedding))) AS dim, CAST(unnest(embedding) AS DOUBLE) AS x FROM f),
+x AS (SELECT vec_id, fold, label, unnest(range(len(embedding))) AS dim, CAST(CAST(unnest(embedding) AS DOUBLE) AS DECIMAL(38,12)) AS x FROM f),
 s AS (SELECT fold, label, dim, sum(x) AS s FROM x GROUP BY fold, label, dim),
 c AS (SELECT fold, label, count(*) AS c FROM f GROUP BY fold, label),
 t AS (SELECT label, dim, sum(s) AS ts FROM s GROUP BY label, dim),
 tc AS (SELECT label, sum(c) AS tc FROM c GROUP BY label),
 g AS (SELECT ff.fold, t.label, t.dim, t.ts, tc.tc FROM t JOIN tc USING (label)
       CROSS JOIN (SELECT unnest(range({K_FOLDS})) AS fold) ff),
-cen AS (SELECT g.fold, g.label, g.dim, (g.ts - coalesce(s.s, 0)) / (g.tc - coalesce(c.c, 0)) AS v
+cen AS (SELECT g.fold, g.label, g.dim, CAST(g.ts - coalesce(s.s, 0) AS DOUBLE) / (g.tc - coalesce(c.c, 0)) AS v
         FROM g LEFT JOIN s USING (fold, label, dim) LEFT JOIN c USING (fold, label)),
-z AS (SELECT x.vec_id, cen.label AS cls, -sum((x.x - cen.v) * (x.x - cen.v)) AS z
-      FROM x JOIN cen ON x.fold = cen.fold AND x.dim = cen.dim GROUP BY x.vec_id, cen.label),
+z AS (SELECT e.vec_id, cen.label AS cls, -sum((e.x - cen.v) * (e.x - cen.v)) AS z
+      FROM (SELECT vec_id, fold, unnest(range(len(embedding))) AS dim, CAST(unnest(embedding) AS DOUBLE) AS x FROM f) e
+      JOIN cen ON e.fold = cen.fold AND e.dim = cen.dim GROUP BY e.vec_id, cen.label),
 zm AS (SELECT vec_id, cls, exp(z - max(z) OVER (PARTITION BY vec_id)) AS e FROM z),
 pr AS (SELECT vec_id, cls, round(e / sum(e) OVER (PARTITION BY vec_id), 9) AS p FROM zm),
 pa AS (SELECT vec_id, list(p ORDER BY cls) AS prob FROM pr GROUP BY vec_id),
