@@ -3,17 +3,19 @@
 Multinomial naive Bayes over character bigrams.  A model is a table of counts
 (label, bigram, fold): fitting is one aggregation, and the model without a fold is
 the total less the fold's own counts, so k-fold models cost one pass, not k.  A
-row's score for a label is a keyed sum of logarithms held as decimals, so it does
-not depend on the order of the tasks, and SQL gives the same numbers.
+row's score for a label is a keyed sum of logarithms held as whole billionths, so it
+does not depend on the order of the tasks, and SQL gives the same numbers with
+decimals.
 
 With one added to each count, ``ln P(g | c) = ln(n(c, g) + 1) - ln(n(c) + v)`` (v distinct
 bigrams), and a bigram that a label has never seen adds nothing but the second
 part.  So only seen (label, bigram) pairs are stored and joined, and the second part
 is the length of the row times one number.
 
-Labels are integers from 0.  The tables of logarithms have a row per distinct
-bigram and label; Spark sends them to all tasks while they are below the broadcast
-threshold and shuffles otherwise.
+Labels are integers from 0.  The table of logarithms has a row per distinct bigram (and
+fold), an array by label; Spark sends it to all tasks while it is below the broadcast
+threshold and shuffles otherwise.  A row's sums are one per label, added up before
+the shuffle.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from tidyline.operators import joins as J
 from tidyline.operators import relabel as RL
 from tidyline.operators import report as R
 from tidyline.operators import split as SP
-from tidyline.session import sized
+from tidyline.session import sized, spread
 
 DIGITS = 9
 
@@ -40,7 +42,8 @@ def bigrams(text: Column) -> Column:
 
 
 def log_of(n: Column) -> Column:
-    return F.round(F.ln(n.cast("double")), DIGITS).cast(f"decimal(18,{DIGITS})")
+    """The logarithm in billionths."""
+    return (F.round(F.ln(n.cast("double")), DIGITS).cast(f"decimal(18,{DIGITS})") * 10 ** DIGITS).cast("long")
 
 
 @dataclass
@@ -71,11 +74,13 @@ def _without_own(df: DataFrame, folds: int, total: str, own: str, name: str) ->
     return each.withColumn(name, F.col(total) - F.coalesce(F.try_element_at(own, F.col("fold")), F.lit(0))).filter(F.col(name) > 0)
 
 
-def logarithms(model: Bayes) -> tuple[DataFrame, DataFrame]:
-    """(fold, g, label, w) of the seen pairs, and one row per fold: ``base``, an array by
-    label of (label, prior, den)."""
+def logarithms(model: Bayes, top: int) -> tuple[DataFrame, DataFrame]:
+    """(fold, g, w) with an array by label (0 to ``top``) of the seen pairs' logarithms, and one row per fold:
+    ``base``, an array of (label, prior, den)."""
     seen = sized(_without_own(model.grams, model.folds, "n", "own", "_n").select("fold", "g", "label", "_n"))
-    w = sized(seen.select("fold", "g", "label", log_of(F.col("_n") + 1).alias("w")))
+    by_label = F.map_from_entries(F.collect_list(F.struct("label", log_of(F.col("_n") + 1))))
+    w = seen.groupBy("fold", "g").agg(by_label.alias("_m")).select(
+        "fold", "g", F.transform(F.sequence(F.lit(0), F.lit(top)), lambda c: F.coalesce(F.try_element_at("_m", c), F.lit(0).cast("long"))).alias("w"))
     v = seen.select("fold", "g").distinct().groupBy("fold").agg(F.count("*").alias("_v"))
     n = seen.groupBy("fold", "label").agg(F.sum("_n").alias("_nc"))
     d = _without_own(model.sizes, model.folds, "docs", "own_docs", "_d").select("fold", "label", "_d")
@@ -83,29 +88,30 @@ def logarithms(model: Bayes) -> tuple[DataFrame, DataFrame]:
     base = (d.join(total, "fold").join(n, ["fold", "label"], "left").join(v, "fold", "left")
              .withColumn("prior", log_of(F.col("_d") / F.col("_all")))
              .withColumn("den", log_of(F.greatest(F.coalesce("_nc", F.lit(0)) + F.coalesce("_v", F.lit(0)), F.lit(1)))))
-    return w, base.groupBy("fold").agg(F.array_sort(F.collect_list(F.struct("label", "prior", "den"))).alias("base"))
+    return sized(w), base.groupBy("fold").agg(F.array_sort(F.collect_list(F.struct("label", "prior", "den"))).alias("base"))
 
 
 def predict(model: Bayes, df: DataFrame, text: str, key: str, fold: str | None = None) -> DataFrame:
     """key, pred, prob (array by label, 0 for labels that the model lacks): each row by the model
     without its fold.  Ties go to the least label.  ``key`` names each row once."""
-    w, base = logarithms(model)
+    top = model.sizes.agg(F.max("label")).first()[0] or 0
+    w, base = logarithms(model, top)
     f = (F.col(fold) if fold else F.lit(0)).cast("int")
     rows = df.select(key, f.alias("fold"), F.col(text).alias("_text"))
     hits = rows.select(key, "fold", F.explode(bigrams(F.col("_text"))).alias("g")).join(w, ["fold", "g"])
-    sums = hits.groupBy(key, "label").agg(F.sum("w").alias("s")).groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("label", "s"))).alias("_sums"))
-    top = model.sizes.agg(F.max("label").alias("_top"))
-    length = F.greatest(F.length(F.coalesce("_text", F.lit(""))) - 1, F.lit(0)).cast("decimal(10,0)")
-    joined = (rows.select(key, "fold", length.alias("_len")).join(sums, key, "left").join(base, "fold").join(F.broadcast(top))  # one row
+    sums = hits.groupBy(key).agg(*[F.sum(F.get("w", F.lit(c))).alias(f"_s{c}") for c in range(top + 1)])
+    sums = sums.select(key, F.array(*[f"_s{c}" for c in range(top + 1)]).alias("_sums"))
+    length = F.greatest(F.length(F.coalesce("_text", F.lit(""))) - 1, F.lit(0)).cast("long")
+    joined = (rows.select(key, "fold", length.alias("_len")).join(sums, key, "left").join(base, "fold")
               .withColumn("_s", F.transform("base", lambda b: F.struct(b["label"].alias("label"), (
-                  b["prior"] - F.col("_len") * b["den"] + F.coalesce(F.try_element_at("_sums", b["label"]), F.lit(0).cast("decimal(18,9)"))).alias("s")))))
+                  b["prior"] - F.col("_len") * b["den"] + F.coalesce(F.get("_sums", b["label"]), F.lit(0))).alias("s")))))
     best = F.array_max(F.transform("_s", lambda x: x["s"]))
     e = (joined.withColumn("_best", best)
                .withColumn("pred", F.array_min(F.transform(F.filter("_s", lambda x: x["s"] == F.col("_best")), lambda x: x["label"])))
-               .withColumn("_e", F.transform("_s", lambda x: F.struct(x["label"].alias("label"), F.exp((x["s"] - F.col("_best")).cast("double")).alias("e"))))
+               .withColumn("_e", F.transform("_s", lambda x: F.struct(x["label"].alias("label"), F.exp((x["s"] - F.col("_best")).cast("double") / 1e9).alias("e"))))
                .withColumn("_sum", F.aggregate("_e", F.lit(0.0), lambda a, x: a + x["e"]))
                .withColumn("_by", F.map_from_entries("_e")))
-    prob = F.transform(F.sequence(F.lit(0), F.col("_top")), lambda i: F.round(F.coalesce(F.try_element_at("_by", i), F.lit(0.0)) / F.col("_sum"), DIGITS))
+    prob = F.transform(F.sequence(F.lit(0), F.lit(top)), lambda i: F.round(F.coalesce(F.try_element_at("_by", i), F.lit(0.0)) / F.col("_sum"), DIGITS))
     return e.select(key, "pred", prob.alias("prob"))
 
 
@@ -123,7 +129,7 @@ def crossfit_noise(df: DataFrame, key: str, text: str, flag: str, seed: int) ->
 
 def oof_probs(df: DataFrame, key: str, text: str, label: str, k: int, seed: int) -> DataFrame:
     """H1: key, label, fold, pred, prob with stratified folds; every row by the counts of the other folds."""
-    f = sized(SP.kfold(df.select(key, text, label), key, k, seed, by=label))
+    f = spread(sized(SP.kfold(df.select(key, text, label), key, k, seed, by=label)), key)
     p = predict(fit(f, text, label, "fold", k), f, text, key, "fold")
     return f.select(key, label, "fold").join(p, key)
 
@@ -139,7 +145,7 @@ def noise_split_relabel(df: DataFrame, key: str, text: str, label: str, flag: st
 def classify_overwrite(df: DataFrame, key: str, text: str, label: str, flag: str, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """H6: 70 % of the noisy rows are counted and 30 % validate; the clean rows take the predicted label.  Returns the
     relabelled rows with ``prev_target`` and ``is_changed``, and the validation metrics."""
-    noisy = sized(SP.split_flag(df.filter(F.col(flag) == 1).select(key, text, label), key, 0.3, seed, by=label))
+    noisy = spread(sized(SP.split_flag(df.filter(F.col(flag) == 1).select(key, text, label), key, 0.3, seed, by=label)), key)
     model = fit(noisy.filter("is_valid = 0"), text, label)
     valid = noisy.filter("is_valid = 1")
     checked = valid.select(key, label).join(predict(model, valid, text, key), key)
@@ -159,7 +165,7 @@ class Run:
 def train_evaluate_predict(train: DataFrame, test: DataFrame, key: str, text: str, label: str, seed: int = 456, frac: float = 0.3) -> Run:
     """H7: a stratified split, one fit, metrics of the validation part (E6, E7) and predictions for the test table, attached
     by key (G8)."""
-    rows = sized(SP.split_flag(train.select(key, text, label), key, frac, seed, by=label))
+    rows = spread(sized(SP.split_flag(train.select(key, text, label), key, frac, seed, by=label)), key)
     model = fit(rows.filter("is_valid = 0"), text, label)
     valid = rows.filter("is_valid = 1")
     checked = sized(valid.select(key, label).join(predict(model, valid, text, key), key).select(key, label, "pred"))

@@ -11,7 +11,7 @@ from tidyline.plans import common as C
 from tidyline.plans import relabel_queries as RQ
 from tidyline.plans import sqlfrag as S
 from tidyline.plans.registry import register
-from tidyline.session import sized
+from tidyline.session import sized, spread
 
 
 def bayes_ctes(rows: str) -> str:
@@ -48,7 +48,7 @@ def labelled_docs(spark, sf_dir):
 def first_rule_docs(spark, sf_dir):
     """Documents with the cascade's first rule as the flag, so that both sides are large; kept, as fits and predictions read it."""
     d = D.detect_noise(C.hangul_docs(spark, sf_dir), "text")
-    return sized(d.select("doc_id", "text", C.lang_label().alias("target"), (F.col("stage") == "morph_v1").cast("int").alias("is_noise")))
+    return spread(sized(d.select("doc_id", "text", C.lang_label().alias("target"), (F.col("stage") == "morph_v1").cast("int").alias("is_noise"))), "doc_id")
 
 
 _FLAGGED = f"""

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidyline.functions import text as T
 from tidyline.plans import sqlfrag as S
+from tidyline.session import spread
 
 TITLE_RE = "(?s)<title>(.*?)</title>"
 
@@ -22,17 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread(df, KEYS.get(name))
 
 
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Hash-partition a scan by its key when it has fewer splits than the
-    cluster has cores (one-row-group files); at scale the scan already has
-    enough splits and this is a no-op, so no extra shuffle is planned."""
-    spark = df.sparkSession
-    par = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= par:
-        return df
-    return df.repartition(par, key) if key else df.repartition(par)
-
-
 def hangul_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with 20 Latin letters mapped to Hangul, so the Korean rule
     profiles have something to act on (whole texts)."""

@@ -100,3 +100,14 @@ def sized(df):
     path = scratch_path(df.sparkSession, "sized")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df, key: str | None = None):
+    """Hash-partition a scan by its key when it has fewer splits than the
+    cluster has cores (one-row-group files); at scale the scan already has
+    enough splits and this is a no-op, so no extra shuffle is planned."""
+    spark = df.sparkSession
+    par = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= par:
+        return df
+    return df.repartition(par, key) if key else df.repartition(par)
