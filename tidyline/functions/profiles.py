@@ -41,9 +41,6 @@ ELLIPSIS_STEPS = (("…", " "), ("...", ""))
 TREND_STEPS = (("…", " "), ("...", ""), ("..", ""), ("%↑", ""), ("%↓", ""),
                ("%→", ""), ("%←", ""))
 
-# Extra marks the cross-fit classifier removes besides the frequent set.
-TREND_MARKS = "％↑↓→←"
-
 # Hanja -> reading dictionary (C7); the category is carried but never used.
 HANJA_READINGS = (
     ("美", "미국", "나라"), ("北", "북한", "나라"), ("中", "중국", "나라"),
@@ -115,11 +112,6 @@ def profile(name_or_class: str) -> str:
 
 
 # Script-run tagger classes (B11): a word is cut into maximal runs of one class.
-TAG_CLASSES = {
-    "Alpha": "A-Za-z",
-    "Number": "0-9",
-    "Hangul": HANGUL + JAMO,
-}
 TAG_ALPHA = "[A-Za-z]"
 TAG_NUMBER = "[0-9]"
 # Punctuation is every non-space character outside the other three classes.

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidyline.functions.draws import hash32
+from tidyline.session import sized
 
 BUCKET_BITS = 16
 
@@ -105,6 +106,19 @@ def shuffled(df: DataFrame, key: str, seed: int) -> DataFrame:
     return df.orderBy(hash32(key, seed), F.col(key))
 
 
+def with_position(df: DataFrame, order: list, name: str = "position") -> DataFrame:
+    """Adds the 0-based place of each row in the total order ``order`` (Columns that name each row once), as a
+    sorted sink would give it.  Rows are dealt by ranges of the order and written with the number of their range; a row's
+    place is the rows of the earlier ranges plus its number within its own, so no task holds the whole order."""
+    dealt = sized(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    sizes = dealt.groupBy(F.col("_part").alias("_p")).agg(F.count(F.lit(1)).alias("_c"))
+    offsets = sized(sizes.select("_p", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before")))
+    nth = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    return (dealt.withColumn("_nth", nth).join(offsets, F.col("_part") == F.col("_p"))
+                 .withColumn(name, F.col("_before") + F.col("_nth") - 1).drop("_part", "_p", "_nth", "_before"))
+
+
 def number_within(df: DataFrame, key: str, label: str, seed: int = 0, name: str = "rn") -> DataFrame:
     """0-based running number within the label (exact, no global window)."""
     return label_rank(df, key, label, seed).withColumnRenamed("_rank", name).drop("_h", "_n")

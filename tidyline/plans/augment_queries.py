@@ -80,6 +80,16 @@ def noised_pairs_titles(spark, sf_dir):
     return A.noised_pairs(d, "page_id", "text", DROP_SEED, mode="replace")
 
 
+@register("noised_pairs_docs", f"""
+WITH d AS ({C.HANGUL_DOCS_SQL})
+SELECT doc_id, text, {_sql_drop('text', 'doc_id', DROP_SEED, replace=True)} AS noised_text FROM d
+""")
+def noised_pairs_docs(spark, sf_dir):
+    """J2 (replace mode) + J2b on whole documents."""
+    d = C.hangul_docs(spark, sf_dir)
+    return d.select("doc_id", "text", drop_class_vectorized("text", "doc_id", DROP_SEED, mode="replace").alias("noised_text"))
+
+
 def _sql_words(e: str) -> str:
     return f"list_filter(regexp_split_to_array({e}, {S.q('[' + P.WS + ']+')}), lambda w: w <> '')"
 
@@ -167,26 +177,26 @@ def few_shot_titles(spark, sf_dir):
 
 
 def synonyms_from_conversations(spark, sf_dir):
-    """(word, synonyms): the first word of each user turn, answered by the
-    first line of the next assistant turn read as "word: a, b, c" (C14)."""
+    """(word, synonyms): every word of a user turn, answered by a line of the
+    next assistant turn (its lines in turn) read as "word: a, b, c" (C14)."""
     c = C.table(spark, sf_dir, "conversations")
-    u = c.filter(F.col("role") == "user").select("conv_id", "turn", F.get(T.words("text"), 0).alias("word"))
+    u = c.filter(F.col("role") == "user").select("conv_id", "turn", F.posexplode(T.words("text")).alias("pos", "word"))
     a = c.filter(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), T.first_line("text").alias("line"))
-    qa = u.join(a, ["conv_id", "turn"]).filter(F.col("word").isNotNull()) \
-          .withColumn("answer", F.concat(F.col("word"), F.lit(": "), F.col("line")))
-    return A.synonym_table(qa, "word", "answer", ["conv_id", "turn"])
+        "conv_id", (F.col("turn") - 1).alias("turn"), F.split("text", "\n").alias("lines"))
+    line = F.get("lines", F.col("pos") % F.size("lines"))
+    qa = u.join(a, ["conv_id", "turn"]).withColumn("answer", F.concat(F.col("word"), F.lit(": "), line))
+    return A.synonym_table(qa, "word", "answer", ["conv_id", "turn", "pos"])
 
 
 _SYN_SEG = f"regexp_extract(answer, {S.q(':[' + P.WS + ']*([^' + chr(92) + 'n]*)')}, 1)"
 _SYN_SQL = f"""
-u AS (SELECT conv_id, turn, {_sql_words('text')}[1] AS word FROM conversations WHERE role = 'user'),
-a AS (SELECT conv_id, turn - 1 AS turn, split_part(text, chr(10), 1) AS line FROM conversations WHERE role = 'assistant'),
-qa AS (SELECT u.conv_id, u.turn, word, word || ': ' || line AS answer FROM u JOIN a USING (conv_id, turn)
-       WHERE word IS NOT NULL),
-qs AS (SELECT conv_id, turn, word, list_filter(list_transform(string_split({_SYN_SEG}, ','),
+u AS (SELECT conv_id, turn, unnest(range(len(ws))) AS pos, unnest(ws) AS word
+      FROM (SELECT conv_id, turn, {_sql_words('text')} AS ws FROM conversations WHERE role = 'user')),
+a AS (SELECT conv_id, turn - 1 AS turn, string_split(text, chr(10)) AS lines FROM conversations WHERE role = 'assistant'),
+qa AS (SELECT u.conv_id, u.turn, pos, word, word || ': ' || lines[pos % len(lines) + 1] AS answer FROM u JOIN a USING (conv_id, turn)),
+qs AS (SELECT conv_id, turn, pos, word, list_filter(list_transform(string_split({_SYN_SEG}, ','),
        lambda x: {S.py_strip('x')}), lambda x: x <> '') AS syns FROM qa),
-syn AS (SELECT word, syns FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY conv_id, turn) AS r
+syn AS (SELECT word, syns FROM (SELECT *, row_number() OVER (PARTITION BY word ORDER BY conv_id, turn, pos) AS r
         FROM qs WHERE len(syns) > 0) WHERE r = 1)
 """
 

@@ -62,22 +62,32 @@ DECORATIONS = (
 
 
 def decorated_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, text with a decoration, and a source text that is missing for some."""
+    """doc_id, the whole text with a decoration, an output that is short for some, and a source text that is missing for some."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     sides = [F.element_at(F.array(*[F.lit(x[k]) for x in DECORATIONS]), (F.col("doc_id") % len(DECORATIONS) + 1).cast("int")) for k in (0, 1)]
     short = F.when(F.col("doc_id") % 9 == 4, F.substring("text", 1, 8)).otherwise(F.col("text"))
     source = F.when(F.col("doc_id") % 10 == 5, "missing title").otherwise(F.col("text"))
-    return d.select("doc_id", F.concat(sides[0], short, sides[1]).alias("text"), short.alias("output"), source.alias("source_text"))
+    return d.select("doc_id", F.concat(sides[0], F.col("text"), sides[1]).alias("text"), short.alias("output"), source.alias("source_text"))
 
 
 DECORATED_DOCS_SQL = (
-    "SELECT doc_id, concat(before, short, after) AS text, short AS output, source_text FROM (SELECT doc_id, "
+    "SELECT doc_id, concat(before, text, after) AS text, short AS output, source_text FROM (SELECT doc_id, text, "
     + ", ".join(f"CASE doc_id % {len(DECORATIONS)} " + " ".join(f"WHEN {i} THEN {S.q(x[k])}" for i, x in enumerate(DECORATIONS)) + f" END AS {n}"
                 for k, n in ((0, "before"), (1, "after")))
     + ", CASE WHEN doc_id % 9 = 4 THEN substr(text, 1, 8) ELSE text END AS short"
     + ", CASE WHEN doc_id % 10 = 5 THEN 'missing title' ELSE text END AS source_text FROM documents)")
 
 
+def capital_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents in capitals (ASCII letters only), so that the profiles that take lower case for noise tell them
+    apart by their other characters."""
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", F.translate("text", LOWER, LOWER.upper()).alias("text"))
+
+
+LOWER = "abcdefghijklmnopqrstuvwxyz"
+CAPITAL_DOCS_SQL = f"SELECT doc_id, translate(text, '{LOWER}', '{LOWER.upper()}') AS text FROM documents"
+
 LANG_LABEL = "CASE lang WHEN 'en' THEN 0 WHEN 'fr' THEN 1 WHEN 'de' THEN 2 WHEN 'es' THEN 3 ELSE 4 END"
 
 

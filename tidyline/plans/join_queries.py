@@ -43,6 +43,17 @@ def recover_labels_docs(spark, sf_dir):
     return J.recover_labels(_base(spark, sf_dir), _upd(spark, sf_dir), "doc_id", "target").select("doc_id", "target")
 
 
+@register("recover_labels_duplicates_docs", f"""
+WITH b AS ({_BASE_SQL}), u AS ({_UPD_SQL}), u2 AS (SELECT * FROM u UNION ALL SELECT doc_id, CAST(7 AS INTEGER) FROM u WHERE doc_id % 3 = 0)
+SELECT b.doc_id, coalesce(u2.target, b.target) AS target FROM b LEFT JOIN u2 ON b.doc_id = u2.doc_id
+""")
+def recover_labels_duplicates_docs(spark, sf_dir):
+    """G2 where keys are updated twice: such rows fan out."""
+    u = _upd(spark, sf_dir)
+    twice = u.unionByName(u.filter(F.col("doc_id") % 3 == 0).select("doc_id", F.lit(7).alias("target")))
+    return J.recover_labels(_base(spark, sf_dir), twice, "doc_id", "target").select("doc_id", "target")
+
+
 @register("label_diff_docs", f"""
 WITH b AS ({_BASE_SQL}), u AS ({_UPD_SQL}),
 a AS (SELECT b.doc_id, b.text, CASE WHEN u.doc_id IS NOT NULL THEN u.target ELSE b.target END AS target

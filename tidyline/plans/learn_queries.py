@@ -48,6 +48,25 @@ def render_prompt_titles(spark, sf_dir):
     return PR.render_prompt(t, PR.templates(spark), "denoise", 1, "title").select("page_id", "prompt", "prompt_system")
 
 
+def _versions_sql() -> str:
+    bodies = " UNION ALL ".join(
+        f"SELECT {S.q(n)} AS name, {v} AS version, {S.q(b)} AS body, {S.q(m) if m else 'NULL::VARCHAR'} AS system" for n, v, b, m in PR.BUILTIN)
+    # placeholders in the order in which no filled-in text can be read as one: the test texts have no braces
+    filled = "replace(replace(replace(body, '{target}', CAST(target AS VARCHAR)), '{examples}', lang || chr(10)), '{text}', text)"
+    return f"""
+WITH t AS ({bodies}), d AS (SELECT doc_id, lang, text, {C.LANG_LABEL} AS target FROM documents)
+SELECT doc_id, name, version, sha256({filled}) AS prompt_sha256, length({filled}) AS n_chars, system FROM d, t"""
+
+
+@register("render_versions_docs", _versions_sql())
+def render_versions_docs(spark, sf_dir):
+    """Every template and version on whole documents, with text, target and examples filled in."""
+    d = C.table(spark, sf_dir, "documents").select("doc_id", "lang", "text", C.lang_label().alias("target"))
+    p = PR.render_versions(d, PR.templates(spark), {"{text}": F.col("text"), "{target}": F.col("target"), "{examples}": F.concat("lang", F.lit("\n"))})
+    return p.select("doc_id", "name", "version", F.sha2("prompt", 256).alias("prompt_sha256"), F.length("prompt").cast("bigint").alias("n_chars"),
+                    F.col("prompt_system").alias("system"))
+
+
 @register("unknown_template_titles", f"SELECT page_id, NULL::VARCHAR AS prompt FROM ({C.TITLES_SQL})")
 def unknown_template_titles(spark, sf_dir):
     """An unknown version renders NULL."""

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidyline.functions import text as T
 from tidyline.functions.draws import sql_hash32, sql_key
 from tidyline.operators import relabel as RL
 from tidyline.operators import report as R
@@ -185,4 +184,12 @@ def most_confident_unchanged(spark, sf_dir):
     return m.select("vec_id", "label", F.round("confidence", 6).alias("confidence"))
 
 
-del T
+@register("most_confident_20", _PROBS_SQL + """
+SELECT vec_id, label, round(prob[label + 1], 6) AS confidence FROM P WHERE pred = label
+ORDER BY prob[label + 1] DESC, vec_id LIMIT 20
+""")
+def most_confident_20(spark, sf_dir):
+    """H8 where the limit cuts."""
+    m = RL.most_confident_unchanged(probs(spark, sf_dir), "vec_id", "label", "prob", 20)
+    return m.select("vec_id", "label", F.round("confidence", 6).alias("confidence"))
+

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidyline.functions import profiles as P
+from tidyline.functions import text as T
 from tidyline.operators import report as R
+from tidyline.operators import split as SP
 from tidyline.plans import common as C
 from tidyline.plans import sqlfrag as S
 from tidyline.plans.registry import register
@@ -57,6 +59,18 @@ def bucket_rows_high_titles(spark, sf_dir):
     return R.bucket_rows(d, "text", "high", key="page_id").select("page_id", "text")
 
 
+@register("bucket_order_docs", f"""
+WITH b AS (SELECT doc_id, {S.count('text', 'special_latin')} AS c, length(text) AS n,
+  {S.bucket(S.count('text', 'special_latin'), S.length('text'), P.BUCKET_HIGH_LEGACY)} AS bucket FROM documents)
+SELECT doc_id, row_number() OVER (ORDER BY CASE WHEN n > 0 THEN c / n ELSE 0 END, doc_id) - 1 AS position FROM b WHERE bucket = 'norm'
+""")
+def bucket_order_docs(spark, sf_dir):
+    """D3 on whole documents: the rows of a bucket with their place in the order of the ratio."""
+    d = C.table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = R.bucket_rows(d, "text", "norm", cls="special_latin", key="doc_id").select("doc_id", "ratio")
+    return SP.with_position(rows, [F.col("ratio"), F.col("doc_id")]).select("doc_id", "position")
+
+
 @register("class_counts_lang", """
 SELECT lang, count(*) AS n, sum(count(*)) OVER () :: BIGINT AS total FROM documents GROUP BY lang
 """)
@@ -130,6 +144,16 @@ def labels_report_quality(spark, sf_dir):
     return R.class_counts(C.table(spark, sf_dir, "labels"), "quality")
 
 
+@register("ratio_threshold_docs", f"""
+SELECT doc_id, {S.count('text', 'upper_ko')} AS n FROM ({C.CAPITAL_DOCS_SQL}) WHERE {S.ratio_at_least(S.count('text', 'upper_ko'), 'length(text)', *P.RATIO_THRESHOLD)}
+""")
+def ratio_threshold_docs(spark, sf_dir):
+    """D6 on whole documents in capitals, of which some have many signs."""
+    from tidyline.operators.filters import ratio_threshold
+    d = C.capital_docs(spark, sf_dir)
+    return d.filter(ratio_threshold("text")).select("doc_id", T.class_count("text", "upper_ko").cast("bigint").alias("n"))
+
+
 @register("ratio_threshold_titles", f"""
 WITH d AS ({C.HANGUL_TITLES_SQL})
 SELECT page_id, text FROM d WHERE {S.ratio_at_least(S.count('text', 'upper_ko'), 'length(text)', *P.RATIO_THRESHOLD)}
@@ -159,6 +183,17 @@ def special_or_any_lower_titles(spark, sf_dir):
     return d.select("page_id", special_or_any_lower("text").cast("int").alias("is_noise"))
 
 
+@register("special_or_any_lower_docs", f"""
+WITH d AS ({C.CAPITAL_DOCS_SQL}), s AS (SELECT doc_id, {_sql_strip_tags_legacy('text')} AS t FROM d)
+SELECT doc_id, CAST(CASE WHEN {S.length('t')} - {S.length(S.remove_special('t', True))} <> 0
+  OR {S.count(S.remove_special('t', True), 'lower')} > 0 THEN 1 ELSE 0 END AS INTEGER) AS is_noise FROM s
+""")
+def special_or_any_lower_docs(spark, sf_dir):
+    """D8 on whole documents in capitals."""
+    from tidyline.operators.filters import special_or_any_lower
+    return C.capital_docs(spark, sf_dir).select("doc_id", special_or_any_lower("text").cast("int").alias("is_noise"))
+
+
 @register("bad_output_split_conversations", """
 SELECT conv_id, turn, CASE WHEN length(text) <= 8 OR coalesce(role = 'missing title', false) THEN 'bad' ELSE 'kept' END AS part
 FROM conversations

@@ -74,6 +74,37 @@ def head_n_docs(spark, sf_dir):
     return SP.head_n(C.table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id", 1602)
 
 
+@register("head_100_docs", "SELECT doc_id, lang FROM documents ORDER BY doc_id LIMIT 100")
+def head_100_docs(spark, sf_dir):
+    """I7 where the limit cuts."""
+    return SP.head_n(C.table(spark, sf_dir, "documents").select("doc_id", "lang"), "doc_id", 100)
+
+
+@register("sorted_by_id_docs", "SELECT doc_id, lang, row_number() OVER (ORDER BY doc_id DESC) - 1 AS position FROM documents")
+def sorted_by_id_docs(spark, sf_dir):
+    """I4: the place of each row in the order of the key (descending)."""
+    return SP.with_position(C.table(spark, sf_dir, "documents").select("doc_id", "lang"), [F.desc("doc_id")])
+
+
+@register("sorted_by_length_docs", """
+SELECT doc_id, length(text) AS n, row_number() OVER (ORDER BY length(text) DESC, doc_id) - 1 AS position FROM documents
+""")
+def sorted_by_length_docs(spark, sf_dir):
+    """The place of each row in the order of a measure."""
+    d = C.table(spark, sf_dir, "documents").select("doc_id", F.length("text").cast("bigint").alias("n"))
+    return SP.with_position(d, [F.desc("n"), F.asc("doc_id")])
+
+
+@register("shuffle_order_docs", f"""
+SELECT doc_id, row_number() OVER (ORDER BY {sql_hash32(sql_key('doc_id', '99'))}, doc_id) - 1 AS position FROM documents
+""")
+def shuffle_order_docs(spark, sf_dir):
+    """I8: the place of each row in a seeded shuffle."""
+    from tidyline.functions.draws import hash32
+    d = C.table(spark, sf_dir, "documents").select("doc_id", hash32("doc_id", 99).alias("_d"))
+    return SP.with_position(d, [F.col("_d"), F.col("doc_id")]).drop("_d")
+
+
 @register("docs_by_label", "SELECT doc_id, n_chars FROM documents WHERE lang = 'fr'")
 def docs_by_label(spark, sf_dir):
     """Rows of one label."""

@@ -31,17 +31,30 @@ def char_ratio_profiles(spark, sf_dir):
                                   [f"n_{p}" for p in _PROFILES] + ["n_chars", "removed_length", "n_words"]])
 
 
-@register("char_ratio_rounded_titles", f"""
-WITH d AS ({C.HANGUL_TITLES_SQL})
-SELECT page_id, round(CASE WHEN length(text) > 0 THEN {S.count('text', 'upper_ko')} / length(text) ELSE 0 END, 4)
+def _rounded_sql(source: str, key: str) -> str:
+    return f"""
+WITH d AS ({source})
+SELECT {key}, round(CASE WHEN length(text) > 0 THEN {S.count('text', 'upper_ko')} / length(text) ELSE 0 END, 4)
   AS upper_ratio, {S.rlike('text', P.PROFILES['hanja'])} AS has_hanja,
   array_to_string(regexp_extract_all(text, {S.q('(' + P.PROFILES['special_ko'] + ')')}, 1), '') AS specials
 FROM d
-""")
+"""
+
+
+@register("char_ratio_rounded_titles", _rounded_sql(C.HANGUL_TITLES_SQL, "page_id"))
 def char_ratio_rounded_titles(spark, sf_dir):
     """B1c rounded ratio, B9 contains-Hanja, B5 extracted specials."""
-    d = C.hangul_titles(spark, sf_dir)
-    return d.select("page_id", T.char_ratio("text", "upper_ko", 4).alias("upper_ratio"),
+    return _rounded(C.hangul_titles(spark, sf_dir), "page_id")
+
+
+@register("char_ratio_rounded_docs", _rounded_sql(C.HANGUL_DOCS_SQL, "doc_id"))
+def char_ratio_rounded_docs(spark, sf_dir):
+    """B1c, B9 and B5 on whole documents."""
+    return _rounded(C.hangul_docs(spark, sf_dir), "doc_id")
+
+
+def _rounded(d, key):
+    return d.select(key, T.char_ratio("text", "upper_ko", 4).alias("upper_ratio"),
                     T.has_class("text", "hanja").alias("has_hanja"),
                     T.extract_class("text", "special_ko").alias("specials"))
 
@@ -59,21 +72,35 @@ def _sql_tag(t: str) -> str:
 _SQL_TOKENS = f"list_transform({_sql_words('text')}, lambda w: regexp_extract_all(w, {S.q(P.TOKEN_RE)}, 1))"
 
 
-@register("script_tags_titles", f"""
-WITH d AS ({C.HANGUL_TITLES_SQL}),
-t AS (SELECT page_id, text, {_SQL_TOKENS} AS toks FROM d)
-SELECT page_id,
+def _tags_sql(source: str, key: str) -> str:
+    return f"""
+WITH d AS ({source}),
+t AS (SELECT {key}, text, {_SQL_TOKENS} AS toks FROM d)
+SELECT {key},
   array_to_string(list_transform(flatten(toks), lambda x: '<' || x || '>'), ' ') AS display,
   array_to_string(list_transform(flatten(toks), lambda x: {_sql_tag('x')}), ',') AS tags,
   {S.v1('text')} AS rule_v1, {S.v2('text')} AS rule_v2
 FROM t
-""")
+"""
+
+
+@register("script_tags_titles", _tags_sql(C.HANGUL_TITLES_SQL, "page_id"))
 def script_tags_titles(spark, sf_dir):
     """B10 display, B11 tags, B12/B13 on tag arrays (the oracle uses the
     regex forms, so this also checks that both forms agree)."""
-    d = C.hangul_titles(spark, sf_dir).withColumn("tags", T.tag_words(T.words("text")))
+    return _tags(C.hangul_titles(spark, sf_dir), "page_id")
+
+
+@register("script_tags_docs", _tags_sql(C.HANGUL_DOCS_SQL, "doc_id"))
+def script_tags_docs(spark, sf_dir):
+    """B10, B11, B12 and B13 on whole documents."""
+    return _tags(C.hangul_docs(spark, sf_dir), "doc_id")
+
+
+def _tags(d, key):
+    d = d.withColumn("tags", T.tag_words(T.words("text")))
     flat = F.flatten("tags")
-    return d.select("page_id",
+    return d.select(key,
                     T.token_display(F.transform(flat, lambda x: x["tok"])).alias("display"),
                     F.array_join(F.transform(flat, lambda x: x["tag"]), ",").alias("tags"),
                     T.tag_rule_v1("tags").alias("rule_v1"), T.tag_rule_v2("tags").alias("rule_v2"))
@@ -111,20 +138,31 @@ def clean_text_docs(spark, sf_dir):
     return d.select("doc_id", cleaned.alias("cleaned"), T.drop_newlines("text").alias("no_newlines"))
 
 
-@register("keep_only_noisy_titles", f"""
-WITH d AS ({C.HANGUL_TITLES_SQL}),
+def _keep_only_sql(source: str, key: str) -> str:
+    return f"""
+WITH d AS ({source}),
 fq AS ({S.frequent_chars_cte('d', 'text')}),
 f AS (SELECT d.*, translate({S.without_hanja('d.text')}, fq.chars, '') AS filtered_text FROM d, fq),
-s AS (SELECT page_id, text, {S.stage('text', 'filtered_text')} AS stage FROM f)
-SELECT page_id, CASE WHEN stage <> 'not_noise'
+s AS (SELECT {key}, text, {S.stage('text', 'filtered_text')} AS stage FROM f)
+SELECT {key}, CASE WHEN stage <> 'not_noise'
   THEN regexp_replace(text, {S.q(T.KEEP_ONLY_RE)}, '', 'g') ELSE text END AS text FROM s
-""")
+"""
+
+
+@register("keep_only_noisy_titles", _keep_only_sql(C.HANGUL_TITLES_SQL, "page_id"))
 def keep_only_noisy_titles(spark, sf_dir):
     """C3 on rows the cascade flags."""
     d = D.detect_noise(C.hangul_titles(spark, sf_dir), "text")
     return d.select("page_id", T.keep_only_flagged("text", "is_noise").alias("text"))
 
 
+@register("keep_only_noisy_docs", _keep_only_sql(C.HANGUL_DOCS_SQL, "doc_id"))
+def keep_only_noisy_docs(spark, sf_dir):
+    """C3 on whole documents that the cascade flags."""
+    d = D.detect_noise(C.hangul_docs(spark, sf_dir), "text")
+    return d.select("doc_id", T.keep_only_flagged("text", "is_noise").alias("text"))
+
+
 def _sql_annotate(e: str) -> str:
     for ch, reading, *_ in P.HANJA_READINGS:
         e = f"replace({e}, {S.q(ch)}, {S.q(ch + '(' + reading + ')')})"
