@@ -114,10 +114,15 @@ def _judged(counted: DataFrame, host: str, max_rate: float) -> DataFrame:
             .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("host_ok"), F.lit(True))))
 
 
+def nested(docs: DataFrame) -> DataFrame:
+    """The rows as one column, so that no name of theirs meets one that is added."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+
+
 def judge(docs: DataFrame, host: str = "source", text: str = "text", max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """``docs`` with the counts, base_failed, the host's rate and kept."""
     docs = docs.drop(*[c for c in ADDED if c not in (host, text)])
-    return _judged(count_rules(docs, text), host, max_rate)
+    return _judged(count_rules(nested(docs), f"_row.`{text}`"), f"_row.`{host}`", max_rate).select("_row.*", *ADDED)
 
 
 def verdicts(docs: DataFrame) -> DataFrame:
@@ -128,10 +133,12 @@ def verdicts(docs: DataFrame) -> DataFrame:
 
 
 def kept_rows(docs: DataFrame, host: str = "source", text: str = "text", max_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """The rows that pass, with the columns of ``docs`` only."""
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
-                        F.col(host).alias("_src"), F.col(text).alias("_txt"))
-    return judge(inner, "_src", "_txt", max_rate).filter("kept").select("_row.*")
+    """The rows that pass, with the columns of ``docs`` only.  The rules are counted once: rows are written with
+    their own verdict, from which the hosts' verdicts and the result are read."""
+    rows = written(count_rules(nested(docs), f"_row.`{text}`").select("_row", "base_failed"), "judged-rows")
+    hosts = written(host_verdicts(rows, f"_row.`{host}`", max_rate).filter(~F.col("host_ok")), "bad-hosts")
+    passed = rows.filter(~F.col("base_failed"))
+    return passed.join(hosts.select(F.col("host").alias("_host")), F.col(f"_row.`{host}`").eqNullSafe(F.col("_host")), "left_anti").select("_row.*")
 
 
 ORACLE = rf"""
