@@ -32,8 +32,8 @@ END = 1
 LINEAR, QUADRATIC = 1.0, 1.0 / CAPACITY
 #: A block is packed when it has so many tokens (a longer document is a block of its own).
 BLOCK_TOKENS = 4_000_000
-#: Segments that a worker remembers at most.
-MEMO = 600_000
+#: Segments that a worker remembers at most (some 20 MB; frequent ones are soon known again).
+MEMO = 100_000
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -56,14 +56,16 @@ class Ids:
         with open(public_tokenizers.path(vocabulary), "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encode = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.whole = Tokenizer.from_file(public_tokenizers.path(special))
-        self.marks = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        # texts with the string of a special token are rare; the tokenizer itself is only held from the first of them on
+        self.load = lambda: Tokenizer.from_file(public_tokenizers.path(special))
+        self.marks, self.whole = [t.content for t in self.load().get_added_tokens_decoder().values()], None
         self.odd = re.compile(r" (?:\s|\Z)")
         self.cut = re.compile(r" (?=\S)")
         self.memo: dict[str, bytes] = {}
 
     def __call__(self, text: str) -> bytes:
         if any(m in text for m in self.marks):  # special tokens in a text: the tokenizer itself decides
+            self.whole = self.whole or self.load()
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u2").tobytes()
         parts = self.cut.split(text) if self.odd.search(text) else text.split(" ")
         memo = self.memo
