@@ -13,6 +13,16 @@ from tidyline.llm import mixing, near_dedup, packing, quality_rules, secrets
 from tidyline.llm.common import read_documents, written
 
 
+#: Rows that an Arrow batch holds at most.  A worker holds the whole texts of a batch at once, beside the JVM's copy.
+BATCH_ROWS = 1000
+
+
+def bounded(docs: DataFrame) -> DataFrame:
+    """Bound the batches of this session's Python workers before a stage is planned."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return docs
+
+
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the rules, or whose host does, go."""
     return quality_rules.kept_rows(docs)
@@ -20,12 +30,12 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies (five-word shingles, similarity 0.8) the least doc_id stays."""
-    return near_dedup.kept_rows(docs)
+    return near_dedup.kept_rows(bounded(docs))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark; n_chars is counted anew."""
-    return secrets.redact(docs)
+    return secrets.redact(bounded(docs))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +45,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all sequences."""
-    return packing.pieces(docs)
+    return packing.pieces(bounded(docs))
 
 
 STAGES = [("quality_rules", rules), ("near_dedup", near_copies), ("secret_scan", secret_scan), ("mixing", mixture), ("packing", pack)]
