@@ -34,6 +34,31 @@ def plain_words(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
 
+def row_digest(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """128 bits of a row's doc_id and text: rows differ in it unless they are equal."""
+    key = F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col(text).cast("string"), F.lit("")))
+    return F.unhex(F.md5(key))
+
+
+def nested(docs: DataFrame) -> DataFrame:
+    """The rows as one column ``_row``, so that no name of theirs meets one that is added."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+
+
+#: A key is hot if it holds more than this part of all rows.
+HOT = 2000
+
+
+def join_counted(rows: DataFrame, table: DataFrame, on: list[str], total: int) -> DataFrame:
+    """``rows`` joined with ``table``, which has for each key, once, the number ``n`` of its rows (and is left without
+    it).  Keys that hold more than a ``HOT``-th of the ``total`` rows go to all tasks instead of meeting in one; there are
+    fewer than ``HOT`` of them whatever the input, so that side is bounded."""
+    bound = total // HOT
+    hot, cold = table.filter(F.col("n") > bound).drop("n"), table.filter(F.col("n") <= bound).drop("n")
+    rest = rows.join(F.broadcast(hot.select(*on)), on, "left_anti")
+    return rows.join(F.broadcast(hot), on).unionByName(rest.join(cold, on))
+
+
 def process_state(name: str, make):
     """A value that a Python worker process keeps between tasks (a tokenizer and
     its memo, for example); it holds nothing that results depend on."""
