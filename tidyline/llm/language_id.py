@@ -7,9 +7,11 @@ A Nystroem map on ``LANDMARKS`` training texts makes it linear, one-versus-rest
 ridge regression on the map gives a score for each language, and texts are
 scored in batches by two matrix products.
 
-The model is fitted on at most about ``SAMPLE`` texts of each language (the
-documented bound; drawn by a hash of doc_id); only their presences, one bit per
-place, reach the driver.  Prediction reads the text alone.
+The model is fitted on at most ``SAMPLE`` different rows of each language and
+``TOTAL`` in all, one of each language at least (the documented bounds); they are
+drawn by a digest of doc_id and text, and equal rows are one that weighs as many.
+Only their presences, one bit per place, reach the driver.  Prediction reads the
+text alone.
 
 Defined cases: a null text or one without letters is ``und`` with score 0;
 without any labelled text every text is ``und``; equal texts get equal results.
@@ -21,14 +23,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidyline.llm.common import process_state
+from tidyline.llm.common import process_state, row_digest, written
 
 DIMS = 8192
 LANDMARKS = 256
 SAMPLE = 800
+TOTAL = 6400
 RIDGE = 1e-2
 FOLDS = 5
 #: Texts scored in one matrix product.
@@ -68,9 +71,10 @@ def kernel(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return (x @ y.T) / nx[:, None] / ny[None, :]
 
 
-def fit_ridge(x: np.ndarray, lang: np.ndarray, seed: int = 7) -> tuple[list[str], np.ndarray, np.ndarray]:
+def fit_ridge(x: np.ndarray, lang: np.ndarray, n: np.ndarray, seed: int = 7) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Languages, landmark rows, and the weights of the landmark kernels (a row
-    more for the constant).  Landmarks: as many texts of each language."""
+    more for the constant).  Row i stands for ``n[i]`` texts.  Landmarks: as many texts of
+    each language."""
     langs = sorted(set(lang.tolist()))
     rng = np.random.default_rng(seed)
     marks = np.concatenate([rng.permutation(np.flatnonzero(lang == v))[: max(1, LANDMARKS // len(langs))] for v in langs])
@@ -81,8 +85,8 @@ def fit_ridge(x: np.ndarray, lang: np.ndarray, seed: int = 7) -> tuple[list[str]
     phi = np.hstack([kernel(x, land) @ root, np.ones((len(x), 1))])
     y = (lang[:, None] == np.array(langs)[None, :]).astype(np.float64)
     # each language weighs the same
-    w = (len(lang) / len(langs) / y.sum(0))[y.argmax(1)]
-    beta = np.linalg.solve((phi * w[:, None]).T @ phi + RIDGE * len(x) / len(langs) * np.eye(phi.shape[1]), (phi * w[:, None]).T @ y)
+    w = n * (n.sum() / len(langs) / (n[:, None] * y).sum(0))[y.argmax(1)]
+    beta = np.linalg.solve((phi * w[:, None]).T @ phi + RIDGE * n.sum() / len(langs) * np.eye(phi.shape[1]), (phi * w[:, None]).T @ y)
     return langs, land.astype(np.uint8), np.vstack([root @ beta[:-1], beta[-1:]]).astype(np.float32)
 
 
@@ -90,27 +94,40 @@ def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS))
 
 
-def fit(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray] | None:
-    train = docs.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != 0))
-    # one count for each language
-    counts = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
-        return None
-    share = F.element_at(F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, SAMPLE / n))]), F.col("lang"))
-    u = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("sample")), F.lit(1 << 20)) / (1 << 20)
+def training_rows(docs: DataFrame, sample: int = SAMPLE, total: int = TOTAL) -> list[tuple[str, bytes, int]]:
+    """(lang, presences as bits, how many rows it stands for) of the rows to learn from;
+    in the same order in every run."""
+    train = docs.select("text", "lang", "doc_id").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != 0)) \
+                .select("lang", "text", row_digest().alias("row"))
+    each = train.groupBy("lang", "row").agg(F.count("*").alias("n"))
+    langs = each.select("lang").distinct().count()
+    if not langs:
+        return []
+    # the least draws of each language: partitions keep no more than that before the shuffle
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("row", F.lit("sample")), "row"))
+    chosen = each.withColumn("_nth", nth).filter(F.col("_nth") <= max(1, min(sample, total // langs))).drop("_nth")
+    chosen = written(chosen, "language-sample")  # Spark sends it to all tasks while it is small
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, BATCH):
                 b = batch.slice(at, BATCH)
-                x = np.packbits(presences(b.column(1).to_pylist()).astype(bool), axis=1)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in x], pa.binary())], names=["lang", "x"])
+                x = np.packbits(presences(b.column(3).to_pylist()).astype(bool), axis=1)
+                yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array([r.tobytes() for r in x], pa.binary())], names=["lang", "row", "n", "x"])
+
+    rows = train.join(chosen, ["lang", "row"]).select("lang", "row", "n", "text").mapInArrow(bits, "lang string, row binary, n long, x binary")
+    alike = rows.groupBy("lang", "row").agg(F.first("n").alias("n"), F.first("x").alias("x"))
+    return sorted((r["lang"], bytes(r["x"]), r["n"]) for r in alike.collect())
 
-    rows = train.filter(u < share).select("lang", "text").mapInArrow(bits, "lang string, x binary").collect()
-    rows = sorted((r["lang"], bytes(r["x"])) for r in rows)  # the same order in every run
+
+def fit(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray] | None:
+    rows = training_rows(docs)
+    if not rows:
+        return None
     x = np.unpackbits(np.array([np.frombuffer(r[1], np.uint8) for r in rows]), axis=1).astype(np.float32)
     some = x.sum(1) > 0
-    return fit_ridge(x[some], np.array([r[0] for r in rows], dtype=object)[some].astype(str)) if some.any() else None
+    lang, n = np.array([r[0] for r in rows], dtype=object)[some].astype(str), np.array([r[2] for r in rows], dtype=np.float64)[some]
+    return fit_ridge(x[some], lang, n) if some.any() else None
 
 
 def predict(docs: DataFrame, model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

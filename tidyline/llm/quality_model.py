@@ -3,12 +3,14 @@
 Eight heuristic labellers vote good, bad or nothing on every text.  Expectation
 maximisation over the counts of all vote patterns (at most 3**8, over all
 documents) estimates how each labeller votes on good and on bad texts.  The
-posterior of a text's pattern is its label; on a bounded sample of labelled texts
-(``SAMPLE``, drawn by a hash of doc_id) a logistic scorer over hashed character
-shapes is fitted, which scores every text.
+posterior of a text's pattern is its label; on a bounded sample of labelled texts a
+logistic scorer over hashed character shapes is fitted, which scores every text.
+The sample holds ``SAMPLE`` different rows at most, drawn by a digest of doc_id and
+text; equal rows are one of them, which weighs as many.
 
 Defined cases: a null text, or one without words, has posterior and score 0 and
-is not kept; repeated rows count each; an empty table gives no rows.
+is not kept; repeated rows count each; doc_ids may be null or repeat; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidyline.llm.common import written
+from tidyline.llm.common import row_digest, written
 
 DIMS = 4096
 SAMPLE = 8000
@@ -83,7 +85,7 @@ def shapes(text: bytes, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def label(docs: DataFrame) -> DataFrame:
-    """doc_id, votes, and the hashed shapes of every text."""
+    """doc_id, row (a digest of doc_id and text), votes, and the hashed shapes of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -95,10 +97,11 @@ def label(docs: DataFrame) -> DataFrame:
                 i, v = shapes(b, c) if said[-1] is not None else (np.zeros(0, "<u2"), np.zeros(0, "<f4"))
                 at.append(i.tobytes())
                 value.append(v.tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(said, pa.string()), pa.array(at, pa.binary()), pa.array(value, pa.binary())],
-                                             names=["doc_id", "votes", "at", "value"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(said, pa.string()), pa.array(at, pa.binary()), pa.array(value, pa.binary())],
+                                             names=["doc_id", "row", "votes", "at", "value"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, votes string, at binary, value binary")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), row_digest().alias("row")).mapInArrow(
+        run, "doc_id long, row binary, votes string, at binary, value binary")
 
 
 def estimate(patterns: dict[str, int], steps: int = STEPS) -> tuple[dict[str, float], np.ndarray]:
@@ -122,12 +125,12 @@ def estimate(patterns: dict[str, int], steps: int = STEPS) -> tuple[dict[str, fl
     return dict(zip(keys, p.tolist(), strict=True)), theta
 
 
-def fit_scorer(x: np.ndarray, y: np.ndarray, decay: float = 1e-3, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels, by gradient steps with momentum; both
-    classes weigh the same."""
+def fit_scorer(x: np.ndarray, y: np.ndarray, n: np.ndarray, decay: float = 1e-3, steps: int = 300) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels of rows that stand for ``n`` each, by
+    gradient steps with momentum; both classes weigh the same."""
     w, b = np.zeros(x.shape[1], dtype=np.float32), 0.0
     vw, vb = np.zeros_like(w), 0.0
-    weight = (y / max(y.sum(), 1e-9) + (1 - y) / max((1 - y).sum(), 1e-9)) / 2
+    weight = n * (y / max((n * y).sum(), 1e-9) + (1 - y) / max((n * (1 - y)).sum(), 1e-9)) / 2
     for _ in range(steps):
         g = (1 / (1 + np.exp(-(x @ w + b))) - y) * weight
         vw = 0.9 * vw - 8.0 * (x.T @ g + decay * w).astype(np.float32)
@@ -136,27 +139,35 @@ def fit_scorer(x: np.ndarray, y: np.ndarray, decay: float = 1e-3, steps: int = 3
     return w, b
 
 
+def training_rows(labelled: DataFrame, size: int = SAMPLE) -> list[tuple[str, bytes, bytes, int]]:
+    """(votes, at, value, how many rows it stands for) of ``size`` different rows at
+    most, those of the least draws; in the same order in every run."""
+    each = labelled.filter("votes is not null").groupBy("row").agg(F.count("*").alias("n"))
+    chosen = each.orderBy(F.xxhash64("row", F.lit("scorer")), "row").limit(size)  # a bounded top-k
+    alike = labelled.join(F.broadcast(chosen), "row").groupBy("row").agg(*[F.first(c).alias(c) for c in ("votes", "at", "value", "n")])
+    return sorted((r["votes"], bytes(r["at"]), bytes(r["value"]), r["n"]) for r in alike.collect())
+
+
 def classify(docs: DataFrame, threshold: float = 0.5) -> DataFrame:
     """doc_id, votes, posterior, score and kept of every document."""
     labelled = written(label(docs), "weak-labels")
     counts = {r["votes"]: r["n"] for r in labelled.filter("votes is not null").groupBy("votes").agg(F.count("*").alias("n")).collect()}
     posterior, _ = estimate(counts)
-    total = max(1, sum(counts.values()))
-    u = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("scorer")), F.lit(1 << 20)) / (1 << 20)
-    rows = labelled.filter(F.col("votes").isNotNull() & (u < SAMPLE / total)).select("votes", "at", "value").collect()
-    rows = sorted((r["votes"], bytes(r["at"]), bytes(r["value"])) for r in rows)
+    rows = training_rows(labelled)
     x = np.zeros((len(rows), DIMS), dtype=np.float32)
-    for k, (_, at, value) in enumerate(rows):
+    for k, (_, at, value, _) in enumerate(rows):
         x[k, np.frombuffer(at, "<u2")] = np.frombuffer(value, "<f4")
-    w, b = fit_scorer(x, np.array([posterior[r[0]] for r in rows], dtype=np.float32)) if rows else (np.zeros(DIMS, np.float32), 0.0)
+    # without a text with words there is nothing to fit, and no text is scored
+    y, n = (np.array([f(r) for r in rows], dtype=np.float32) for f in (lambda r: posterior[r[0]], lambda r: r[3]))
+    w, b = fit_scorer(x, y, n) if rows else (np.zeros(DIMS, np.float32), 0.0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            said = batch.column(1).to_pylist()
+            said = batch.column(2).to_pylist()
             score = [1 / (1 + np.exp(-(float(w[np.frombuffer(i, "<u2")] @ np.frombuffer(v, "<f4")) + b))) if s is not None else 0.0
-                     for s, i, v in zip(said, batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+                     for s, i, v in zip(said, batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([posterior[s] if s is not None else 0.0 for s in said], pa.float64()),
+                [batch.column(0), batch.column(2), pa.array([posterior[s] if s is not None else 0.0 for s in said], pa.float64()),
                  pa.array(score, pa.float64()), pa.array([s >= threshold for s in score], pa.bool_())],
                 names=["doc_id", "votes", "posterior", "score", "kept"])
 
