@@ -12,10 +12,12 @@ slice of text (50 to 80 bytes).  So:
    it has two different slices.
 2. Of those anchors, every different slice goes, with its first holder, to its
    anchor's bucket.  There the suffixes at the window starts are sorted, common
-   prefixes of neighbours are measured, and the intervals of common prefix 50 or
-   more are found: the windows of an interval are equal.  Those of later documents
-   than the first are marked.  (An anchor with very many slices sends its windows
-   one by one, dealt by their own hash, so no bucket grows with one anchor.)
+   prefixes of neighbours are measured, and one scan with a stack gives the
+   intervals of common prefix 50 or more.  Those preceded by different bytes are
+   the maximal repeats among these slices, each with all its occurrences; the
+   occurrences in later documents than the first are marked at full length.  (An
+   anchor with very many slices, counted over all chunks, sends its windows one by
+   one, dealt by their own hash, so no bucket grows with one anchor.)
 3. Chunks cover the repeated slices and the marked windows.
 
 ``repeat_groups`` returns the maximal repeats of whole tables, each with all its
@@ -144,7 +146,8 @@ class Chunk:
 
     def sent(self, buckets: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(kind, bucket, values, places): the hashes of the distinct slices (kind 0),
-        and of the distinct anchors with at most two slices each (kind 1)."""
+        and of the distinct anchors with at most two slices each (kind 1); for these ``numbers``
+        has how many slices the chunk has, at the first of them."""
         fp = self.fp[self.some]  # ascending
         edge = np.searchsorted(fp, [(b << 64) // buckets for b in range(1, buckets)]) if buckets > 1 else []
         for b, (s, e) in enumerate(zip([0, *edge], [*edge, len(fp)], strict=True)):
@@ -160,12 +163,14 @@ class Chunk:
         two = nth < 2
         edge = np.searchsorted(bucket[two], np.arange(1, buckets)).tolist()
         values, places = pairs[order][two], group[two]
+        self.numbers = np.where(nth == 0, np.bincount(group, minlength=1)[group], 0)[two].astype("<u4") if len(key) else np.zeros(0, "<u4")
         self.anchor_group = np.empty(len(self.some), np.int64)
         self.anchor_group[order] = group
         self.anchor_groups = int(group[-1]) + 1 if len(group) else 0
         for b, (s, e) in enumerate(zip([0, *edge], [*edge, len(values)], strict=True)):
             if e > s:
                 yield 1, b, values[s:e], places[s:e]
+        self.edges = [0, *edge, len(values)]
 
     def learn(self, replies: pa.Table, buckets: int) -> None:
         """Take the answers on slices and anchors."""
@@ -271,9 +276,29 @@ def interval_tree(lcp: np.ndarray, least: int) -> Iterator[tuple[int, int, int]]
             stack.append((here, left))
 
 
-def roots(lcp: np.ndarray, least: int) -> np.ndarray:
-    """Number of the outermost interval of each suffix (one of its own if it is in none)."""
-    return np.cumsum(np.concatenate(([0], (lcp[1:] < least).astype(np.int64)))) if len(lcp) else np.zeros(0, np.int64)
+def _over(f: np.ufunc, values: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """``f`` over values[first:last + 1] of each interval."""
+    if not len(first):
+        return values[:0]
+    return f.reduceat(np.append(values, values[-1:]), np.column_stack([first, last + 1]).ravel())[::2]
+
+
+def maximal_repeats(lcp: np.ndarray, before: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(common prefix, first, last) of the intervals whose occurrences are preceded by different bytes
+    (``before``, -1 where the text or the slice begins), in the order of the suffixes.  Only runs of common
+    prefixes of ``least`` or more are scanned."""
+    inside = np.concatenate((lcp[1:] >= least, [False])) if len(lcp) else np.zeros(0, bool)
+    turn = np.flatnonzero(np.diff(np.concatenate(([False], inside, [False])).astype(np.int8))).reshape(-1, 2)
+    found = [np.zeros((0, 3), np.int64)]
+    two = turn[:, 1] - turn[:, 0] == 1  # pairs are intervals as they are
+    a = turn[two, 0]
+    found.append(np.column_stack([lcp[a + 1], a, a + 1]))
+    for a, b in turn[~two].tolist():
+        found.append(np.array([(n, x + a, y + a) for n, x, y in interval_tree(np.concatenate(([0], lcp[a + 1:b + 1])), least)]))
+    depth, first, last = np.concatenate(found).astype(np.int64).T
+    low, high = _over(np.minimum, before, first, last), _over(np.maximum, before, first, last)
+    diverse = (low < 0) | (low < high)
+    return depth[diverse], first[diverse], last[diverse]
 
 
 def left_diverse(before: np.ndarray) -> bool:
@@ -313,13 +338,17 @@ def _answers(chunks: DataFrame, buckets: int) -> DataFrame:
 
     def send(table: pa.Table) -> pa.Table:
         chunk = table.column("chunk")[0].as_py()
-        return _reply([(chunk, k, b, v.tobytes()) for k, b, v, _ in Chunk(table).sent(buckets)])
+        c = Chunk(table)
+        parts = list(c.sent(buckets))
+        numbers = lambda b: c.numbers[c.edges[b]:c.edges[b + 1]].tobytes()
+        return _reply([(chunk, k, b, v.tobytes() + (numbers(b) if k else b"")) for k, b, v, _ in parts])
 
     def answer(table: pa.Table) -> pa.Table:
         kind, bucket = table.column("kind")[0].as_py(), table.column("bucket")[0].as_py()
         chunk = table.column("chunk").to_numpy()
-        values = [np.frombuffer(v.as_py(), np.uint64) for v in table.column("bits")]
-        sizes = np.array([len(v) for v in values])
+        sent = [v.as_py() for v in table.column("bits")]
+        sizes = np.array([len(v) // (12 if kind else 8) for v in sent])
+        values = [np.frombuffer(v, np.uint64, n) for v, n in zip(sent, sizes, strict=True)]
         owner, x = np.repeat(chunk, sizes), np.concatenate(values)
         if kind == 0:
             order = np.lexsort((owner, x))
@@ -330,8 +359,9 @@ def _answers(chunks: DataFrame, buckets: int) -> DataFrame:
         else:
             u, back = np.unique(x, return_inverse=True)  # pairs of anchor and slice
             anchor, group, n = np.unique(u >> np.uint64(32), return_inverse=True, return_counts=True)
-            n = n[group][back]
-            bits = [n >= 2, n >= MANY]
+            numbers = np.concatenate([np.frombuffer(v, "<u4", n, 8 * n) for v, n in zip(sent, sizes, strict=True)])
+            every = np.bincount(group[back], numbers, minlength=len(n))  # slices of all chunks
+            bits = [n[group][back] >= 2, every[group][back] >= MANY]
         edges = np.concatenate(([0], np.cumsum(sizes)))
         return _reply([(int(c), kind, bucket, np.packbits(np.concatenate([b[s:e] for b in bits])).tobytes())
                        for c, s, e in zip(chunk, edges[:-1], edges[1:], strict=True)])
@@ -379,11 +409,18 @@ def _marks(slices: DataFrame) -> DataFrame:
     def mark(table: pa.Table) -> pa.Table:
         which, start, end, owner, data, chunk, n = _joined(table)
         order, lcp = suffix_array(data, start, end)
-        group = roots(lcp, WINDOW)
-        own = owner[which][order]
-        first = np.minimum.reduceat(own, np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))))
-        marked = np.empty(len(order), bool)
-        marked[order] = own > first[group]
+        begins = np.concatenate(([True], which[1:] != which[:-1])) if len(which) else np.zeros(0, bool)
+        before = np.where(begins, -1, data[start - 1].astype(np.int64))[order]
+        own, at = owner[which][order], start[order]
+        depth, first, last = maximal_repeats(lcp, before, WINDOW)
+        least = _over(np.minimum, own, first, last)
+        size = last - first + 1
+        each = np.repeat(first, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        later = own[each] > np.repeat(least, size)
+        step = np.zeros(len(data) + 1, np.int64)  # the windows of each later occurrence, at its full length
+        np.add.at(step, at[each][later], 1)
+        np.add.at(step, (at[each] + np.repeat(depth, size) - WINDOW + 1)[later], -1)
+        marked = np.cumsum(step)[start] > 0
         bucket = table.column("bucket")[0].as_py()
         edges = np.concatenate(([0], np.cumsum(n)))
         return _reply([(int(c), 2, bucket, np.packbits(marked[s:e]).tobytes()) for c, s, e in zip(chunk, edges[:-1], edges[1:], strict=True)])
