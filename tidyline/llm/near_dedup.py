@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidyline.llm.common import written
+from tidyline.llm.common import join_counted, nested, written
 from tidyline.llm.links import components
 
 ROWS, BANDS = 5, 32
@@ -262,13 +262,16 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILAR
     sig = written(signatures(docs, size), "signatures")
     named = sig.filter("doc_id is not null and n_shingles > 0")
     # equal sets: the least doc_id stands for all
-    classes = named.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep"))
-    member = written(named.select("doc_id", "n_shingles", "d1", "d2").join(classes, ["n_shingles", "d1", "d2"]).select("doc_id", "rep", "n_shingles"), "members")
+    classes = written(named.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "classes")
+    n_named = named.count()
+    member = written(join_counted(named.select("doc_id", "n_shingles", "d1", "d2"), classes, ["n_shingles", "d1", "d2"], n_named).select("doc_id", "rep", "n_shingles"), "members")
     reps = written(named.join(classes.select(F.col("rep").alias("doc_id"), "n_shingles", "d1", "d2"), ["doc_id", "n_shingles", "d1", "d2"])
                    .select(F.col("doc_id").alias("rep"), "n_shingles", "bands", "sketch").dropDuplicates(["rep", "n_shingles", "bands"]), "representatives")
     keyed = reps.select("rep", F.explode("bands").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("other")).filter("leader < other").select("key", "leader")
-    crowded = written(keyed.join(buckets, "key"), "buckets")
+    buckets = keyed.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("other"), F.count("*").alias("n")).filter("leader < other").select("key", "leader", "n")
+    buckets = written(buckets, "bucket-leaders")
+    crowded = written(join_counted(keyed, buckets, ["key"], keyed.count()), "buckets")
+    buckets = buckets.drop("n")
     sketches = reps.select(F.col("rep").alias("id"), "sketch", "n_shingles")
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string"))
     sets = written(full_sets(texts.join(crowded.select(F.col("rep").alias("id")).distinct(), "id"), size), "sets")
@@ -338,4 +341,4 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILAR
 def kept_rows(docs: DataFrame, size: int = SHINGLE, percent: int = SIMILARITY_PCT) -> DataFrame:
     """The rows of ``docs`` whose document stays."""
     gone = near_duplicates(docs, size, percent).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(written(gone, "gone").withColumnRenamed("doc_id", "_gone"), F.col("doc_id") == F.col("_gone"), "left_anti")
+    return nested(docs).join(written(gone, "gone").withColumnRenamed("doc_id", "_gone"), F.col("_row.doc_id") == F.col("_gone"), "left_anti").select("_row.*")
