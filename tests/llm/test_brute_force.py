@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidyline.llm import fingerprints, language_id, links, near_dedup, packing, quality_model, repeats, secrets
 from tidyline.llm import queries as Q
@@ -113,6 +114,31 @@ def test_repeats(spark, texts, chunk, many, monkeypatch):
         assert (r["n_bytes"], r["n_bytes"] - len(r["kept"]), len(r["spans"]), hashlib.sha256(r["kept"]).hexdigest()) == want[r["doc_id"]]
 
 
+def test_hot_anchor_is_dealt_by_windows(spark, monkeypatch):
+    """Very many short texts round one string of 20 bytes: its slices, counted over all chunks, go as single windows, so no
+    bucket holds most of the text, and the result is that of brute force."""
+    monkeypatch.setattr(repeats, "MANY", 100)
+    docs = {k: words(k, 7)[:30] + "the same twenty byte" + words(5000 + k % 40, 7)[:40] for k in range(400)}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    chunks, buckets = repeats._chunks(df, 2000, 500)
+    first = repeats._answers(chunks, buckets)
+    sizes = [len(r["data"]) for r in repeats._slices(chunks, first, buckets).groupBy("bucket").agg(F.expr("reduce(collect_list(data), cast('' as binary), (a, b) -> a || b)").alias("data")).collect()]
+    assert len(sizes) > buckets // 2 and max(sizes) < 0.3 * sum(sizes)
+    want = brute_repeats(docs)
+    for r in repeats.remove_repeats(df, chunk_bytes=2000, bucket_hashes=500).collect():
+        assert (r["n_bytes"], r["n_bytes"] - len(r["kept"]), len(r["spans"])) == want[r["doc_id"]][:3]
+
+
+def test_maximal_repeats():
+    """The scan of runs gives the intervals of the whole scan that are preceded by different bytes."""
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        n = int(rng.integers(1, 40))
+        lcp, before = np.concatenate(([0], rng.integers(40, 60, n - 1))), rng.integers(-1, 3, n)
+        want = sorted((d, a, b) for d, a, b in repeats.interval_tree(lcp, 50) if repeats.left_diverse(before[a:b + 1]))
+        assert sorted(zip(*(x.tolist() for x in repeats.maximal_repeats(lcp, before, 50)), strict=True)) == want
+
+
 PASSAGE = words(77, 60)
 
 

@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidyline.llm.common import WORD, written
+from tidyline.llm.common import WORD, nested, written
 
 SEED = 20
 MAX_EPOCHS = 2
@@ -65,11 +65,24 @@ def share_out(children: DataFrame, parent: list[str], child: str) -> DataFrame:
     return held.withColumn("budget", F.when(F.col("_full"), F.col("supply")).otherwise(F.least(F.col("supply"), F.floor(level).cast("double"))))
 
 
+def _checked(weights: DataFrame) -> DataFrame:
+    """The weights as one row a node."""
+    one = weights.groupBy("level", "name").agg(F.count("*").alias("_n"), F.first("weight").cast("double").alias("weight"))
+    sound = (F.col("_n") == 1) & F.coalesce(F.col("weight") > 0, F.lit(False)) & F.coalesce(F.col("level").isin(*LEVELS), F.lit(False)) & F.col("name").isNotNull()
+    bad = one.filter(~sound).first()
+    if bad:
+        raise ValueError(f"weights name a node twice, none of a level, or have no weight above 0: {bad['level']} {bad['name']}")
+    return one.select("level", "name", "weight")
+
+
 def allot(leaves: DataFrame, share: float = SHARE, max_epochs: int = MAX_EPOCHS, weights: DataFrame | None = None) -> DataFrame:
     """The allotment of each leaf.  ``leaves``: domain, lang, source, n_docs, n_tokens.
-    ``weights``: level (domain, lang or source), name and weight; nodes not named there weigh
-    the root of their tokens."""
+    ``weights``: level (domain, lang or source), name and weight.  A name stands for the nodes of that name
+    under every parent; a path such as ``web/en/web3`` stands for one node and goes before.  Nodes not named weigh the
+    root of their tokens.  A node named twice, a name or level that is not there, or a weight that is
+    not above 0 is an error."""
     spec = leaves.select(*LEVELS, "n_docs", "n_tokens")
+    weights = None if weights is None else _checked(weights)
     # the root's budget: one row of the total for all leaves (a table of leaves, not of documents)
     out = spec.join(F.broadcast(spec.agg(F.floor(F.sum("n_tokens") * F.lit(share)).cast("double").alias("budget"))))
     for k, level in enumerate(LEVELS):
@@ -77,8 +90,10 @@ def allot(leaves: DataFrame, share: float = SHARE, max_epochs: int = MAX_EPOCHS,
         at = out.groupBy(*node).agg(F.first("budget").alias("budget"), (F.sum("n_tokens") * F.lit(max_epochs)).cast("double").alias("supply"),
                                     F.greatest(F.sqrt(F.sum("n_tokens").cast("double")), F.lit(1.0)).alias("weight"))
         if weights is not None:
-            own = weights.filter(F.col("level") == level).select(F.col("name").alias(level), F.col("weight").alias("_own"))
-            at = at.join(own, level, "left").withColumn("weight", F.coalesce("_own", "weight")).drop("_own")
+            own = weights.filter(F.col("level") == level).select(F.col("name").alias("_name"), F.col("weight").alias("_own"))
+            by_path = own.select(F.col("_name").alias("_path"), F.col("_own").alias("_by_path"))
+            at = (at.join(own, F.col(level) == F.col("_name"), "left").join(by_path, F.concat_ws("/", *node) == F.col("_path"), "left")
+                  .withColumn("weight", F.coalesce("_by_path", "_own", "weight")).drop("_name", "_own", "_path", "_by_path"))
         at = share_out(at, parent or [F.lit(0)], level).select(*node, F.col("budget").alias("_b"))
         out = out.join(at, node).withColumn("budget", F.col("_b")).drop("_b")
     return out.withColumn("allotment", F.col("budget").cast("long")).drop("budget")
@@ -113,10 +128,10 @@ def mix(docs: DataFrame, **how) -> DataFrame:
     chosen = plan(docs, **how).groupBy("_key").agg(F.sum("copies").alias("_copies"), F.count("*").alias("_n")).filter("_copies > 0")
     # equal rows (doc_id and text) share their copies
     alike = Window.partitionBy("_key").orderBy(F.lit(0))
-    rows = docs.withColumn("_key", F.xxhash64("doc_id", "text")).withColumn("_i", F.row_number().over(alike))
+    rows = nested(docs).withColumn("_key", F.xxhash64("_row.doc_id", "_row.text")).withColumn("_i", F.row_number().over(alike))
     take = F.floor(F.col("_copies") / F.col("_n")) + (F.col("_i") <= F.col("_copies") % F.col("_n")).cast("int")
     both = rows.join(chosen, "_key").withColumn("_take", take.cast("int")).filter("_take > 0")
-    return both.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_take")))).select(*[f"`{c}`" for c in docs.columns])
+    return both.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("_take")))).select("_row.*")
 
 
 ORACLE = rf"""

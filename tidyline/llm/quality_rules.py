@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidyline.llm.common import SPACES, let, plain_words, written
+from tidyline.llm.common import SPACES, let, nested, plain_words, written
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
@@ -114,11 +114,6 @@ def _judged(counted: DataFrame, host: str, max_rate: float) -> DataFrame:
             .withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("host_ok"), F.lit(True))))
 
 
-def nested(docs: DataFrame) -> DataFrame:
-    """The rows as one column, so that no name of theirs meets one that is added."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
-
-
 def judge(docs: DataFrame, host: str = "source", text: str = "text", max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """``docs`` with the counts, base_failed, the host's rate and kept."""
     docs = docs.drop(*[c for c in ADDED if c not in (host, text)])
