@@ -16,7 +16,7 @@ from tidyline.functions import profiles as P
 from tidyline.functions import text as T
 from tidyline.functions.draws import hash32, hash32_of, key_string, position_draw
 from tidyline.operators.split import label_rank
-from tidyline.session import sized, materialize
+from tidyline.session import sized
 
 HANJA_LO, HANJA_HI = 0x4E00, 0x9FFF
 ASCII_LO, ASCII_HI = 33, 126
@@ -117,7 +117,7 @@ def mix_halves(df: DataFrame, key: str, text: str, label: str, n: int, seed: int
     prefix = prefix or ("augr" if reverse else "aug")
     # rank keys only (no text moves through the ranking shuffles)
     # kept: the draw sizes and the lookup both read it (keys only, no text)
-    ranked = materialize(label_rank(df.select(key, label), key, label, seed).select(
+    ranked = sized(label_rank(df.select(key, label), key, label, seed).select(
         label, F.col("_rank").alias("_rn"), "_n", F.col(key).alias("_k")))
     sizes = ranked.groupBy(label).agg(F.max("_n").alias("_n"))
     draws = (sizes.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
@@ -159,7 +159,7 @@ def few_shot(targets: DataFrame, pool: DataFrame, key: str, text: str, label: st
              k: int = 3, level: float = 0.5, ascii_ratio: float = 0.93) -> DataFrame:
     """For each target row, k distinct random pool rows of its label, each
     noised by J1 and rendered as an input / restored pair.  Adds ``examples``."""
-    numbered = materialize(label_rank(pool.select(key, label), key, label, seed))
+    numbered = sized(label_rank(pool.select(key, label), key, label, seed))
     sizes = numbered.groupBy(label).agg(F.max("_n").alias("_n"))
     t = targets.select(key, label).join(sized(sizes), label, "left")
     h = [hash32(key, j, seed, F.lit("shot")) for j in range(k)]

@@ -113,17 +113,24 @@ def overall_metrics(df: DataFrame, label: str, pred: str) -> DataFrame:
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
+def value_counts(df: DataFrame, value: str, by: str | None = None) -> DataFrame:
+    """(by, _v, _c, _b): how often each value occurs, NULL among them, in ranges of (label, value) with the number of the
+    range, so that a hot label is split; written, so that all that reads it reads the table ``df`` once."""
+    g = [by] if by else []
+    counts = df.select(*g, F.col(value).cast("double").alias("_v")).groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    return sized(counts.repartitionByRange(*g, "_v").withColumn("_b", F.spark_partition_id()))
+
+
 def quantiles(df: DataFrame, value: str, by: str | None = None, probs: dict[str, float] = QUARTILES) -> DataFrame:
-    """Exact quantiles by linear interpolation, one column per name.
+    """Exact quantiles by linear interpolation, one column per name."""
+    return _quantiles(value_counts(df, value, by), by, probs)
 
-    Equal values are counted first.  The counts are dealt by ranges of (label,
-    value), so a hot label is split, and written with the number of their
-    range; the sums of the ranges give each its offset, and only the values at
-    the sought ranks take part in the last aggregation."""
+
+def _quantiles(counts: DataFrame, by: str | None, probs: dict[str, float] = QUARTILES) -> DataFrame:
+    """The sums of the ranges give each range its offset; only the values at the sought ranks take part in the last
+    aggregation."""
     g = [by] if by else []
-    counts = (df.select(*g, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-                .groupBy(*g, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    d = sized(counts.repartitionByRange(*g, "_v").withColumn("_b", F.spark_partition_id()))
+    d = counts.filter(F.col("_v").isNotNull())
     per = d.groupBy(*g, "_b").agg(F.sum("_c").alias("_s"))
     w = Window.partitionBy(*g)  # one row per label and range
     offs = per.select(*[F.col(c).alias("_g") for c in g], F.col("_b").alias("_b2"),
@@ -145,18 +152,32 @@ def quantiles(df: DataFrame, value: str, by: str | None = None, probs: dict[str,
 
 
 def describe(df: DataFrame, value: str, by: str | None = None, exact: bool = True) -> DataFrame:
-    """Count, nulls, mean, std, min, quartiles, max (pandas ``describe``);
-    exact quartiles by linear interpolation, or approximate ones in one pass."""
+    """Count, nulls, mean, std, min, quartiles, max (pandas ``describe``); all from the counts of
+    values, so ``df`` is read once; or approximate quartiles in one aggregation."""
     v = F.col(value).cast("double")
-    qs = [] if exact else [F.percentile_approx(v, q, 10000).alias(n) for n, q in QUARTILES.items()]
-    aggs = [F.count(v).alias("count"), F.count_if(v.isNull()).alias("nulls"), F.avg(v).alias("mean"),
-            F.stddev_samp(v).alias("std"), F.min(v).alias("min"), *qs, F.max(v).alias("max")]
-    out = df.groupBy(by).agg(*aggs) if by else df.agg(*aggs)
-    if exact:
-        q = quantiles(df, value, by)
-        q = q.withColumnRenamed(by, "_g") if by else q
-        out = out.join(q, F.col(by).eqNullSafe(F.col("_g")), "left") if by else out.crossJoin(q)
-    return out.select(*([by] if by else []), "count", "nulls", "mean", "std", "min", *QUARTILES, "max")
+    g = [by] if by else []
+    names = ["count", "nulls", "mean", "std", "min", *QUARTILES, "max"]
+    if not exact:
+        qs = [F.percentile_approx(v, q, 10000).alias(n) for n, q in QUARTILES.items()]
+        return df.groupBy(*g).agg(F.count(v).alias("count"), F.count_if(v.isNull()).alias("nulls"), F.avg(v).alias("mean"),
+                                  F.stddev_samp(v).alias("std"), F.min(v).alias("min"), *qs, F.max(v).alias("max")).select(*g, *names)
+    d = value_counts(df, value, by)
+    some = F.col("_v").isNotNull()
+    n = F.coalesce(F.sum(F.when(some, F.col("_c"))), F.lit(0)).alias("count")
+    out = d.groupBy(*g).agg(n, F.coalesce(F.sum(F.when(~some, F.col("_c"))), F.lit(0)).alias("nulls"),
+                            (F.sum(F.col("_v") * F.col("_c")) / F.nullif(F.sum(F.when(some, F.col("_c"))), F.lit(0))).alias("mean"),
+                            F.min("_v").alias("min"), F.max("_v").alias("max"))
+    # squares about the mean, from the same table of counts
+    mean = out.select(*[F.col(c).alias("_g") for c in g], F.col("mean").alias("_m"))
+    near = d.join(mean, F.col(by).eqNullSafe(F.col("_g"))) if by else d.crossJoin(F.broadcast(mean))  # one row
+    far = near.groupBy(*g).agg(F.sum((F.col("_v") - F.col("_m")) * (F.col("_v") - F.col("_m")) * F.col("_c")).alias("_far"))
+    q = _quantiles(d, by)
+    if by:
+        far, q = far.withColumnRenamed(by, "_g1"), q.withColumnRenamed(by, "_g2")
+        out = out.join(far, F.col(by).eqNullSafe(F.col("_g1")), "left").join(q, F.col(by).eqNullSafe(F.col("_g2")), "left")
+    else:
+        out = out.crossJoin(far).crossJoin(q)
+    return out.withColumn("std", F.when(F.col("count") > 1, F.sqrt(F.col("_far") / (F.col("count") - 1)))).select(*g, *names)
 
 
 def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:

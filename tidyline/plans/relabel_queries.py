@@ -11,7 +11,7 @@ from tidyline.operators import report as R
 from tidyline.operators import split as SP
 from tidyline.plans import common as C
 from tidyline.plans.registry import register
-from tidyline.session import materialize
+from tidyline.session import sized, spread
 
 K_FOLDS, SEED = 3, 42
 
@@ -66,8 +66,8 @@ _ISSUES_SQL = _PROBS_SQL + ISSUES_TAIL_SQL
 
 def probs(spark, sf_dir):
     e = C.table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
-    f = materialize(SP.kfold(e, "vec_id", K_FOLDS, SEED, by="label"))
-    return materialize(RL.centroid_oof_probs(f, "vec_id", "embedding", "label", "fold", K_FOLDS))
+    f = spread(sized(SP.kfold(e, "vec_id", K_FOLDS, SEED, by="label")), "vec_id")
+    return spread(sized(RL.centroid_oof_probs(f, "vec_id", "embedding", "label", "fold", K_FOLDS)), "vec_id")
 
 
 @register("oof_centroid_probs", _PROBS_SQL + """

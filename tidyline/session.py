@@ -82,17 +82,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialize(df, how: str = "persist"):
-    """Keep a frame that several later steps read.  ``persist`` keeps blocks
-    (recomputed from lineage if an executor is lost); ``checkpoint`` writes
-    it to the shared ``spark.checkpoint.dir`` and cuts the lineage."""
-    from pyspark import StorageLevel
-    if how == "checkpoint":
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 def sized(df):
     """Write a small derived frame to the shared scratch folder and read it back:
     Spark then knows its bytes and broadcasts it below
