@@ -89,15 +89,20 @@ def count_rules(docs: DataFrame, text: str = "text") -> DataFrame:
 def host_verdicts(counted: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
     """One row per host: documents, failures, rate shrunk by the beta prior, verdict.
 
-    The prior comes from the moments of the host rates: mean m and variance v
-    give the weight m(1-m)/v - 1, held between 0 and ``MAX_PRIOR_WEIGHT``."""
+    The prior comes from the moments of the host rates, weighed by documents: m is
+    the share of all documents that fail, v the spread of the rates about it less
+    what chance alone gives (m(1-m)/n for a host of n documents).  They give the
+    weight m(1-m)/v - 1, held between 0 and ``MAX_PRIOR_WEIGHT``; without any spread
+    beyond chance it is the latter."""
     hosts = counted.groupBy(F.col(host).alias("host")).agg(
         F.count("*").alias("n_docs"), F.sum(F.col("base_failed").cast("long")).alias("n_failed"))
     rate = F.col("n_failed") / F.col("n_docs")
-    prior = hosts.agg(F.avg(rate).alias("m"), F.var_pop(rate).alias("v"))
+    mean = hosts.agg((F.sum("n_failed") / F.sum("n_docs")).alias("m"), F.sum("n_docs").alias("_docs"), F.count("*").alias("_hosts"))
+    # the mean and the prior are one row each
+    spread = hosts.join(F.broadcast(mean)).agg(F.first("m").alias("m"), (
+        (F.sum(F.col("n_docs") * (rate - F.col("m")) * (rate - F.col("m"))) - F.first("_hosts") * F.first("m") * (1 - F.first("m"))) / F.first("_docs")).alias("v"))
     weight = F.when(F.col("v") > 0, F.greatest(F.lit(0.0), F.least(F.lit(MAX_PRIOR_WEIGHT), F.col("m") * (1 - F.col("m")) / F.col("v") - 1))).otherwise(F.lit(MAX_PRIOR_WEIGHT))
-    prior = prior.select("m", weight.alias("weight"))
-    # the prior is one row
+    prior = spread.select("m", weight.alias("weight"))
     return (hosts.join(F.broadcast(prior))
             .withColumn("host_rate", (F.col("n_failed") + F.col("m") * F.col("weight")) / (F.col("n_docs") + F.col("weight")))
             .withColumn("host_ok", F.col("host_rate") <= max_rate)
@@ -147,8 +152,9 @@ c AS (SELECT doc_id, source, len(w)::BIGINT AS n_words, length(array_to_string(w
              coalesce(n_repeat, 0)::BIGINT AS n_repeat_words FROM t JOIN l USING (doc_id) LEFT JOIN p USING (doc_id)),
 f AS (SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words AS base_failed FROM c),
 h AS (SELECT source, count(*) AS n, count(*) FILTER (base_failed) AS k FROM f GROUP BY source),
-m AS (SELECT avg(k / n) AS m, var_pop(k / n) AS v FROM h),
-b AS (SELECT m, CASE WHEN v > 0 THEN greatest(0, least({MAX_PRIOR_WEIGHT}, m * (1 - m) / v - 1)) ELSE {MAX_PRIOR_WEIGHT} END AS s FROM m),
+m AS (SELECT sum(k) / sum(n) AS m, sum(n) AS docs, count(*) AS hosts FROM h),
+v AS (SELECT any_value(m) AS m, (sum(n * (k / n - m) * (k / n - m)) - any_value(hosts) * any_value(m) * (1 - any_value(m))) / any_value(docs) AS v FROM h, m),
+b AS (SELECT m, CASE WHEN v > 0 THEN greatest(0, least({MAX_PRIOR_WEIGHT}, m * (1 - m) / v - 1)) ELSE {MAX_PRIOR_WEIGHT} END AS s FROM v),
 r AS (SELECT source, (k + m * s) / (n + s) AS rate FROM h, b)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND rate <= {MAX_HOST_RATE} AS kept, round(rate, 6) AS host_rate
