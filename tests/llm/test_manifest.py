@@ -81,7 +81,7 @@ def test_sql():
     assert sorted((tuple(r) for r in cur.fetchall()), key=str) == brute(table(SF)) and [c[0] for c in cur.description] == list(COLUMNS)
 
 
-@pytest.mark.parametrize("sizes", [{"a": 1}, {"a": 64, None: 65, "é": 1, "z": 2}, {"a": 300, "b": 4097, "c": 127}, {f"g{k}": 1 + k % 3 for k in range(70)}])
+@pytest.mark.parametrize("sizes", [{"a": 64, None: 65, "é": 1, "z": 4097, "b": 127}, {f"g{k}": 1 + k % 3 for k in range(70)}, {"a": 1}])
 def test_tree_shapes(spark, sizes):
     """Single leaves, whole and broken blocks, several tiers, many groups."""
     rows = [(100 * k + 1_000_000 * i, f"t{k}", g, "s", k if k % 5 else None) for i, (g, n) in enumerate(sizes.items()) for k in range(n)]
@@ -89,8 +89,8 @@ def test_tree_shapes(spark, sizes):
     assert rows_of(M.tampered_proofs(df)) == brute(rows)
 
 
-@pytest.mark.parametrize("fanout", [3, 8])
-def test_other_fan_outs(spark, fanout):
+def test_other_fan_out(spark):
+    fanout = 3
     rows = [(k, f"t{k}", "ab"[k % 7 == 0], None, k) for k in range(600)]
     got = M.manifest(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), fanout=fanout).collect()
     want = {r[0]: r for r in brute(rows, fanout)}
