@@ -2,12 +2,15 @@
 
 Per-character draws over whole documents are the one place where a native
 higher-order function is slow: its lambda is interpreted per character.
-These kernels do the same arithmetic with numpy over each row's code points
-(row seeds still come from md5 in the JVM), and give the same output as
+These kernels do the same arithmetic with numpy over the joined code points of many rows,
+so that short texts do not cost a call each (row seeds still come from md5 in the
+JVM), and give the same output as
 :func:`tidyline.operators.augment.inject_noise` / ``drop_class``."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column
@@ -25,65 +28,68 @@ def _mix32(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(16))
 
 
-def _draws(seed: int, n: int) -> np.ndarray:
-    i = np.arange(n, dtype=np.uint64)
-    return _mix32((np.uint64(seed) + i * np.uint64(GOLDEN)) % np.uint64(M32))
+#: Code points that one numpy pass takes at most (a longer text is a pass of its own).
+PASS = 1 << 20
+
+
+def _passes(texts: list) -> Iterator[list[int]]:
+    """The places of the texts that are neither null nor empty, in runs of bounded size."""
+    run, size = [], 0
+    for i, t in enumerate(texts):
+        if t:
+            if run and size + len(t) > PASS:
+                yield run
+                run, size = [], 0
+            run.append(i)
+            size += len(t)
+    if run:
+        yield run
+
 
+class _Joined:
+    """The code points of several texts, with the row and the place of each."""
 
-def _codes(s: str) -> np.ndarray:
-    return np.frombuffer(s.encode("utf-32-le"), dtype=np.uint32)
+    def __init__(self, texts: list[str]):
+        self.codes = np.frombuffer("".join(texts).encode("utf-32-le"), dtype=np.uint32)
+        self.sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        self.row = np.repeat(np.arange(len(texts)), self.sizes)
+        self.place = np.arange(len(self.codes)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
 
+    def draws(self, seeds: np.ndarray) -> np.ndarray:
+        return _mix32((seeds.astype(np.uint64)[self.row] + self.place.astype(np.uint64) * np.uint64(GOLDEN)) % np.uint64(M32))
 
-def _text(c: np.ndarray) -> str:
-    return c.astype(np.uint32).tobytes().decode("utf-32-le")
+    def texts(self, codes: np.ndarray, sizes: np.ndarray) -> list[str]:
+        whole, ends = codes.astype(np.uint32).tobytes().decode("utf-32-le"), np.cumsum(sizes).tolist()
+        return [whole[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
-def _noise_one(s, s0, s1, s2, t_level, t_ascii):
-    if s is None or s == "":
-        return s
-    c = _codes(s)
-    n = len(c)
-    h0, h1, h2 = _draws(s0, n), _draws(s1, n), _draws(s2, n)
-    asc = ASCII_LO + (h2 % np.uint64(ASCII_SPAN))
-    han = HANJA_LO + (h2 % np.uint64(HANJA_SPAN))
-    rep = np.where(h1 < np.uint64(t_ascii), asc, han)
-    return _text(np.where(h0 < np.uint64(t_level), rep, c.astype(np.uint64)))
+def _by_passes(t: pd.Series, change: Callable[[_Joined, np.ndarray], list[str]]) -> pd.Series:
+    """Texts changed in passes; null and empty ones stay.  ``change`` takes the joined texts and their places."""
+    texts = t.tolist()
+    for run in _passes(texts):
+        for i, s in zip(run, change(_Joined([texts[i] for i in run]), np.array(run)), strict=True):
+            texts[i] = s
+    return pd.Series(texts, dtype=object)
 
 
 def inject_noise_vectorized(text, key, seed: int, level: float = 0.5, ascii_ratio: float = 0.93) -> Column:
     """J1 with a numpy kernel; same result as ``augment.inject_noise``."""
     from tidyline.operators.augment import row_seed, threshold
-    tl, ta = threshold(level), threshold(ascii_ratio)
+    tl, ta = np.uint64(threshold(level)), np.uint64(threshold(ascii_ratio))
 
     @F.pandas_udf("string")
     def kernel(t: pd.Series, a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
-        return pd.Series([_noise_one(s, x, y, z, tl, ta) for s, x, y, z in zip(t, a, b, c)], dtype=object)
+        seeds = [x.to_numpy() for x in (a, b, c)]
 
-    t = F.col(text) if isinstance(text, str) else text
-    return kernel(t, row_seed(key, seed, 0), row_seed(key, seed, 1), row_seed(key, seed, 2))
+        def change(j: _Joined, at: np.ndarray) -> list[str]:
+            h0, h1, h2 = (j.draws(x[at]) for x in seeds)
+            new = np.where(h1 < ta, ASCII_LO + h2 % np.uint64(ASCII_SPAN), HANJA_LO + h2 % np.uint64(HANJA_SPAN))
+            return j.texts(np.where(h0 < tl, new, j.codes), j.sizes)
 
+        return _by_passes(t, change)
 
-def _drop_one(s, seed, ranges, num, den, pool):
-    if s is None:
-        return s
-    c = _codes(s)
-    mask = np.zeros(len(c), dtype=bool)
-    for lo, hi in ranges:
-        mask |= (c >= lo) & (c <= hi)
-    idx = np.nonzero(mask)[0]
-    if len(idx) == 0:
-        return s
-    h = _draws(seed, len(c))
-    m = max(1, len(idx) * num // den)
-    order = np.lexsort((idx, h[idx]))
-    chosen = idx[order[:m]]
-    if pool is None:
-        keep = np.ones(len(c), dtype=bool)
-        keep[chosen] = False
-        return _text(c[keep])
-    out = c.astype(np.uint64).copy()
-    out[chosen] = pool[(h[chosen] % np.uint64(len(pool))).astype(np.int64)]
-    return _text(out)
+    t = F.col(text) if isinstance(text, str) else text
+    return kernel(t, row_seed(key, seed, 0), row_seed(key, seed, 1), row_seed(key, seed, 2))
 
 
 def drop_class_vectorized(text, key, seed: int, ranges=((0xAC00, 0xD7A3),), frac=(2, 10),
@@ -91,12 +97,28 @@ def drop_class_vectorized(text, key, seed: int, ranges=((0xAC00, 0xD7A3),), frac
     """J2 with a numpy kernel for a class given as code-point ranges (the
     default is Hangul syllables); same result as ``augment.drop_class``."""
     from tidyline.operators.augment import replacement_chars, row_seed
-    pool = None if mode == "drop" else np.array([ord(ch) for ch in replacement_chars()], dtype=np.uint64)
+    pool = None if mode == "drop" else np.array([ord(ch) for ch in replacement_chars()], dtype=np.uint32)
     rng = tuple(ranges)
 
     @F.pandas_udf("string")
     def kernel(t: pd.Series, sd: pd.Series) -> pd.Series:
-        return pd.Series([_drop_one(s, x, rng, frac[0], frac[1], pool) for s, x in zip(t, sd)], dtype=object)
+        seeds = sd.to_numpy()
+
+        def change(j: _Joined, at: np.ndarray) -> list[str]:
+            hits = np.flatnonzero(np.logical_or.reduce([(j.codes >= lo) & (j.codes <= hi) for lo, hi in rng]))
+            h, row = j.draws(seeds[at])[hits], j.row[hits]
+            n = np.bincount(row, minlength=len(at))
+            # of each row the least draws, ties by place
+            order = np.lexsort((hits, h, row))
+            nth = np.arange(len(hits)) - np.repeat(np.cumsum(n) - n, n)
+            chosen = np.sort(hits[order[nth < np.maximum(1, n * frac[0] // frac[1])[row[order]]]])
+            if pool is not None:
+                codes = j.codes.copy()
+                codes[chosen] = pool[(j.draws(seeds[at])[chosen] % np.uint64(len(pool))).astype(np.int64)]
+                return j.texts(codes, j.sizes)
+            return j.texts(np.delete(j.codes, chosen), j.sizes - np.bincount(j.row[chosen], minlength=len(at)))
+
+        return _by_passes(t, change)
 
     t = F.col(text) if isinstance(text, str) else text
     return kernel(t, row_seed(key, seed, 0))
