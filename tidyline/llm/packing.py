@@ -32,8 +32,8 @@ END = 1
 LINEAR, QUADRATIC = 1.0, 1.0 / CAPACITY
 #: A block is packed when it has so many tokens (a longer document is a block of its own).
 BLOCK_TOKENS = 4_000_000
-#: Segments that a worker remembers at most (some 20 MB; frequent ones are soon known again).
-MEMO = 100_000
+#: A worker remembers so many segments, and as many that it met before these (some 50 MB in all).
+MEMO = 150_000
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 
@@ -62,6 +62,7 @@ class Ids:
         self.odd = re.compile(r" (?:\s|\Z)")
         self.cut = re.compile(r" (?=\S)")
         self.memo: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
     def __call__(self, text: str) -> bytes:
         if any(m in text for m in self.marks):  # special tokens in a text: the tokenizer itself decides
@@ -78,10 +79,11 @@ class Ids:
             return head + b"".join(map(memo.__getitem__, parts))
         except KeyError:
             if len(memo) > MEMO:
-                memo.clear()
+                self.before, self.memo = memo, {}
+                memo = self.memo
             for p in parts:
                 if p not in memo:
-                    memo[p] = np.array(self.encode(" " + p), dtype="<u2").tobytes()
+                    memo[p] = self.before.get(p) or np.array(self.encode(" " + p), dtype="<u2").tobytes()
             return head + b"".join(map(memo.__getitem__, parts))
 
 
