@@ -99,13 +99,17 @@ def training_rows(docs: DataFrame, sample: int = SAMPLE, total: int = TOTAL) ->
     in the same order in every run."""
     train = docs.select("text", "lang", "doc_id").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold(F.col("doc_id")) != 0)) \
                 .select("lang", "text", row_digest().alias("row"))
-    each = train.groupBy("lang", "row").agg(F.count("*").alias("n"))
-    langs = each.select("lang").distinct().count()
+    each = written(train.groupBy("lang", "row").agg(F.count("*").alias("n")).withColumn("_draw", F.xxhash64("row", F.lit("sample"))), "language-rows")
+    counts = written(each.groupBy("lang").agg(F.count("*").alias("_rows")), "language-counts")  # a row a language
+    langs = counts.count()
     if not langs:
         return []
-    # the least draws of each language: partitions keep no more than that before the shuffle
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("row", F.lit("sample")), "row"))
-    chosen = each.withColumn("_nth", nth).filter(F.col("_nth") <= max(1, min(sample, total // langs))).drop("_nth")
+    # the least draws of each language; those beyond some eight times the wanted share cannot be among them
+    size = max(1, min(sample, total // langs))
+    bound = F.lit(-(2.0 ** 63)) + F.lit(2.0 ** 64) * F.lit(8.0 * max(size, 8)) / F.col("_rows")
+    few = each.join(counts, "lang").filter(F.col("_draw").cast("double") <= bound).drop("_rows")
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("_draw", "row"))
+    chosen = few.withColumn("_nth", nth).filter(F.col("_nth") <= size).drop("_nth", "_draw")
     chosen = written(chosen, "language-sample")  # Spark sends it to all tasks while it is small
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
