@@ -3,6 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tidyline.functions import text as T
+from tidyline.operators import filters as FI
 from tidyline.operators import infer, joins, prompts, relabel, split
 
 
@@ -56,3 +58,11 @@ def test_duplicate_old_keys_fail(spark):
     new, old = spark.createDataFrame([(1, 2)], "id int, target int"), spark.createDataFrame([(1, 2), (1, 3)], "id int, target int")
     with pytest.raises(Exception, match="duplicate key"):
         joins.compare_labels(new, old, "id").collect()
+
+
+def test_ratios_of_long_texts(spark):
+    """Counts of long texts times the denominator are beyond 32 bits."""
+    df = spark.createDataFrame([(1, "A" * 300_000), (2, "%" * 300_000)], "id long, text string")
+    assert [r["id"] for r in df.filter(FI.ratio_threshold("text")).collect()] == [2]
+    n = F.lit(1 << 30).cast("int")
+    assert df.limit(1).select(T.ratio_at_least(n, n, 9, 100).alias("x"), T.noise_bucket(n, n).alias("b")).first() == (True, "high")

@@ -48,8 +48,8 @@ def char_ratio(c, cls: str, digits: int | None = None) -> Column:
 
 
 def ratio_at_least(count: Column, length: Column, num: int, den: int) -> Column:
-    """count/length >= num/den, exactly, in integers; empty text has ratio 0."""
-    return (length > 0) & (count * F.lit(den) >= length * F.lit(num))
+    """count/length >= num/den, exactly, in 64-bit integers (a text of 214,749 characters overflows 32 bits); empty text has ratio 0."""
+    return (length > 0) & (count.cast("bigint") * F.lit(den) >= length.cast("bigint") * F.lit(num))
 
 
 def noise_bucket(count, length, high_from: tuple[int, int] = P.BUCKET_NORM) -> Column:
@@ -59,7 +59,7 @@ def noise_bucket(count, length, high_from: tuple[int, int] = P.BUCKET_NORM) -> C
     then rows between .2 and .3 are in no bucket, reported as "none").
     """
     count, length = col(count), col(length)
-    c, n = F.coalesce(count, F.lit(0)), F.coalesce(length, F.lit(0))
+    c, n = (F.coalesce(x, F.lit(0)).cast("bigint") for x in (count, length))
     hn, hd = high_from
     return (F.when(c * P.BUCKET_LOW[1] <= n * P.BUCKET_LOW[0], "low")
              .when(c * P.BUCKET_NORM[1] <= n * P.BUCKET_NORM[0], "norm")
