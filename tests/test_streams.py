@@ -43,6 +43,16 @@ def test_micro_batches_by_bytes(spark, tmp_path):
         assert low <= len(epochs(out)) <= high
 
 
+def test_glob_names_a_folder(spark, tmp_path):
+    """A table may be a folder of part files with names of their own; its neighbours are not read."""
+    rows = spark.createDataFrame([(i, f"t{i}") for i in range(20)], "id long, t string").repartition(4, "id")
+    rows.write.parquet(str(tmp_path / "src" / "docs.parquet"))
+    rows.withColumn("t", F.lit("other")).write.parquet(str(tmp_path / "src" / "pages.parquet"))
+    for _ in range(2):  # the second run finds all done
+        out = resumable_generate(spark, str(tmp_path / "src"), str(tmp_path / "out"), "id", "t", model(), glob="docs.parquet")
+        assert sorted(r["generated"] for r in out.collect()) == sorted(f"T{i}" for i in range(20))
+
+
 def test_versions_equal_batch_sets(spark, tmp_path):
     src, sets, out = (str(tmp_path / n) for n in ("src", "sets", "out"))
     parts = [[(1, "가…가…·나", 0)], [(2, "…·다·", 1), (3, None, 1)], [(4, "plain", 2), (5, "％·…％", 2)]]

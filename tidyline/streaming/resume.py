@@ -36,7 +36,7 @@ def resumable_generate(spark: SparkSession, src: str, out: str, key: str, prompt
                        files_per_trigger: int | None = None, bytes_per_trigger: int = BATCH_BYTES,
                        batch_size: int = 32, prepare=None, glob: str | None = None, max_batches: int | None = None) -> DataFrame:
     """Run the hook over every row of the Parquet files in folder ``src``
-    (optionally only files matching ``glob``) that has not been done yet;
+    (optionally only files, or else folders, matching ``glob``) that has not been done yet;
     returns the full result read back from ``out``.  A micro-batch holds
     ``files_per_trigger`` files, or else files of ``bytes_per_trigger`` bytes.  On a
     restart, rows that failed are redone first (into ``epoch=-1``, ``-2``, ...) and
@@ -44,7 +44,14 @@ def resumable_generate(spark: SparkSession, src: str, out: str, key: str, prompt
     ends the run after so many micro-batches with the next one begun, as the loss
     of the driver would; a restart goes on there."""
     r = spark.read.option("pathGlobFilter", glob) if glob else spark.read
-    schema = r.parquet(src).schema
+    try:
+        schema = r.parquet(src).schema
+    except AnalysisException:
+        if not glob:
+            raise
+        # ``glob`` names folders (tables of many files), whose files have other names
+        src, glob, r = os.path.join(src, glob), None, spark.read
+        schema = r.parquet(src).schema
     rs = spark.readStream.schema(schema)
     rs = rs.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else rs.option("maxBytesPerTrigger", bytes_per_trigger)
     if glob:
