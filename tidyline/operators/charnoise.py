@@ -1,4 +1,4 @@
-"""Vectorised per-character noise (J1, J2) as Arrow-batched pandas UDFs.
+"""Vectorised per-character noise (J1, J2) as Arrow UDFs.
 
 Per-character draws over whole documents are the one place where a native
 higher-order function is slow: its lambda is interpreted per character.
@@ -9,13 +9,14 @@ JVM), and give the same output as
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidyline.functions.bigrams import slices
 from tidyline.functions.draws import GOLDEN, M32, MIX
 
 HANJA_LO, HANJA_SPAN = 0x4E00, 0x9FFF - 0x4E00 + 1
@@ -28,24 +29,6 @@ def _mix32(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(16))
 
 
-#: Code points that one numpy pass takes at most (a longer text is a pass of its own).
-PASS = 1 << 20
-
-
-def _passes(texts: list) -> Iterator[list[int]]:
-    """The places of the texts that are neither null nor empty, in runs of bounded size."""
-    run, size = [], 0
-    for i, t in enumerate(texts):
-        if t:
-            if run and size + len(t) > PASS:
-                yield run
-                run, size = [], 0
-            run.append(i)
-            size += len(t)
-    if run:
-        yield run
-
-
 class _Joined:
     """The code points of several texts, with the row and the place of each."""
 
@@ -63,13 +46,19 @@ class _Joined:
         return [whole[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
-def _by_passes(t: pd.Series, change: Callable[[_Joined, np.ndarray], list[str]]) -> pd.Series:
-    """Texts changed in passes; null and empty ones stay.  ``change`` takes the joined texts and their places."""
-    texts = t.tolist()
-    for run in _passes(texts):
-        for i, s in zip(run, change(_Joined([texts[i] for i in run]), np.array(run)), strict=True):
-            texts[i] = s
-    return pd.Series(texts, dtype=object)
+def _by_passes(t: pa.Array, change: Callable[[_Joined, np.ndarray], list[str]]) -> pa.Array:
+    """Texts changed in passes; null and empty ones stay.  ``change`` takes the joined texts and their places.  Only the
+    texts of one pass are Python strings at a time."""
+    made, start = [], 0
+    for part in slices(t):
+        texts = part.to_pylist()
+        run = [i for i, x in enumerate(texts) if x]
+        if run:
+            for i, s in zip(run, change(_Joined([texts[i] for i in run]), np.array(run) + start), strict=True):
+                texts[i] = s
+        made.append(pa.array(texts, pa.string()))
+        start += len(part)
+    return pa.concat_arrays(made) if made else pa.array([], pa.string())
 
 
 def inject_noise_vectorized(text, key, seed: int, level: float = 0.5, ascii_ratio: float = 0.93) -> Column:
@@ -77,9 +66,9 @@ def inject_noise_vectorized(text, key, seed: int, level: float = 0.5, ascii_rati
     from tidyline.operators.augment import row_seed, threshold
     tl, ta = np.uint64(threshold(level)), np.uint64(threshold(ascii_ratio))
 
-    @F.pandas_udf("string")
-    def kernel(t: pd.Series, a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
-        seeds = [x.to_numpy() for x in (a, b, c)]
+    @F.arrow_udf("string")
+    def kernel(t: pa.Array, a: pa.Array, b: pa.Array, c: pa.Array) -> pa.Array:
+        seeds = [x.to_numpy(zero_copy_only=False) for x in (a, b, c)]
 
         def change(j: _Joined, at: np.ndarray) -> list[str]:
             h0, h1, h2 = (j.draws(x[at]) for x in seeds)
@@ -100,9 +89,9 @@ def drop_class_vectorized(text, key, seed: int, ranges=((0xAC00, 0xD7A3),), frac
     pool = None if mode == "drop" else np.array([ord(ch) for ch in replacement_chars()], dtype=np.uint32)
     rng = tuple(ranges)
 
-    @F.pandas_udf("string")
-    def kernel(t: pd.Series, sd: pd.Series) -> pd.Series:
-        seeds = sd.to_numpy()
+    @F.arrow_udf("string")
+    def kernel(t: pa.Array, sd: pa.Array) -> pa.Array:
+        seeds = sd.to_numpy(zero_copy_only=False)
 
         def change(j: _Joined, at: np.ndarray) -> list[str]:
             hits = np.flatnonzero(np.logical_or.reduce([(j.codes >= lo) & (j.codes <= hi) for lo, hi in rng]))
