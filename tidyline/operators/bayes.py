@@ -14,8 +14,9 @@ is the length of the row times one number.
 
 Labels are integers from 0.  The table of logarithms has a row per distinct bigram (and
 fold), an array by label; Spark sends it to all tasks while it is below the broadcast
-threshold and shuffles otherwise.  A row's sums are one per label, added up before
-the shuffle.
+threshold and shuffles otherwise.  A text's bigrams are counted within the text, so what
+is counted and joined is a row per distinct bigram of a text; a row's sums are one per
+label, added up before the shuffle.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidyline.functions.bigrams import counted_bigrams
 from tidyline.operators import detect as D
 from tidyline.operators import joins as J
 from tidyline.operators import relabel as RL
@@ -35,12 +37,6 @@ from tidyline.session import sized, spread
 DIGITS = 9
 
 
-def bigrams(text: Column) -> Column:
-    """Pairs of neighbouring code points of a text (null: none)."""
-    chars = F.split(F.coalesce(text, F.lit("")), "")
-    return F.filter(F.zip_with(chars, F.slice(chars, 2, F.greatest(F.size(chars) - 1, F.lit(0))), lambda a, b: F.concat(a, b)), lambda g: g.isNotNull())
-
-
 def log_of(n: Column) -> Column:
     """The logarithm in billionths."""
     return (F.round(F.ln(n.cast("double")), DIGITS).cast(f"decimal(18,{DIGITS})") * 10 ** DIGITS).cast("long")
@@ -63,7 +59,8 @@ def fit(df: DataFrame, text: str, label: str, fold: str | None = None, folds: in
     def by_fold(counts: DataFrame, group: list[str], n: str, own: str) -> DataFrame:
         return counts.groupBy(*group).agg(F.sum("n").cast("long").alias(n), F.map_from_entries(F.collect_list(F.struct("fold", "n"))).alias(own))
 
-    pairs = rows.select("label", "fold", F.explode(bigrams(F.col(text))).alias("g")).groupBy("label", "fold", "g").agg(F.count("*").alias("n"))
+    pairs = rows.select("label", "fold", counted_bigrams(F.col(text)).alias("_c")).select(
+        "label", "fold", F.inline("_c")).groupBy("label", "fold", "g").agg(F.sum("n").alias("n"))
     docs = rows.groupBy("label", "fold").agg(F.count("*").alias("n"))
     return Bayes(sized(by_fold(pairs, ["label", "g"], "n", "own")), sized(by_fold(docs, ["label"], "docs", "own_docs")), folds if fold else 1)
 
@@ -98,8 +95,8 @@ def predict(model: Bayes, df: DataFrame, text: str, key: str, fold: str | None =
     w, base = logarithms(model, top)
     f = (F.col(fold) if fold else F.lit(0)).cast("int")
     rows = df.select(key, f.alias("fold"), F.col(text).alias("_text"))
-    hits = rows.select(key, "fold", F.explode(bigrams(F.col("_text"))).alias("g")).join(w, ["fold", "g"])
-    sums = hits.groupBy(key).agg(*[F.sum(F.get("w", F.lit(c))).alias(f"_s{c}") for c in range(top + 1)])
+    hits = rows.select(key, "fold", counted_bigrams(F.col("_text")).alias("_c")).select(key, "fold", F.inline("_c")).join(w, ["fold", "g"])
+    sums = hits.groupBy(key).agg(*[F.sum(F.get("w", F.lit(c)) * F.col("n")).alias(f"_s{c}") for c in range(top + 1)])
     sums = sums.select(key, F.array(*[f"_s{c}" for c in range(top + 1)]).alias("_sums"))
     length = F.greatest(F.length(F.coalesce("_text", F.lit(""))) - 1, F.lit(0)).cast("long")
     joined = (rows.select(key, "fold", length.alias("_len")).join(sums, key, "left").join(base, "fold")
