@@ -51,3 +51,9 @@ def test_models_go_to_tasks_after_an_observation(spark):
     df = spark.createDataFrame([(k, ("qxz#" if k % 4 == 0 else "aeiou") * 3, int(k % 4 == 0)) for k in range(40)], "id long, text string, is_noise int")
     out = L.crossfit_noise(df, "id", "text", "is_noise", 3)
     assert [r["model_hit"] for r in out.collect()] == [0] * 40
+
+
+def test_a_text_is_counted_once(spark):
+    df = spark.createDataFrame([(1, "abc")], "id long, text string")
+    out = df.select("id", B.counted_bigrams(F.col("text")).alias("c")).select("id", F.inline("c"))
+    assert out._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1 and out.count() == 2

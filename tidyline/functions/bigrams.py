@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 POINT_BITS = 21
@@ -56,7 +56,21 @@ def counted_bigrams(text: Column) -> Column:
         made = [count([x or "" for x in part.to_pylist()]) for part in parts(t)]
         return pa.concat_arrays(made) if made else pa.array([], kind)
 
-    return kernel(text.cast("string"))
+    # deterministic calls below an ``inline`` would run twice, the first time for a filter on empty arrays
+    return kernel.asNondeterministic()(text.cast("string"))
+
+
+def counted_chars(df: DataFrame, text: str) -> DataFrame:
+    """(ch, n): the characters of each slice of texts with their counts, to be added up (null: none)."""
+    parts = slices
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (p for b in batches for p in parts(b.column(0))):
+            joined = "".join(x or "" for x in part.to_pylist())
+            codes, n = np.unique(np.frombuffer(joined.encode("utf-32-le"), dtype=np.uint32), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(list(map(chr, codes.tolist())), pa.string()), pa.array(n, pa.int64())], ["ch", "n"])
+
+    return df.select(F.col(text).cast("string").alias("t")).mapInArrow(run, "ch string, n long")
 
 
 def murmur3(data: bytes, seed: int = 42) -> int:

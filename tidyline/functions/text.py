@@ -82,6 +82,8 @@ def word_count(c) -> Column:
     return F.coalesce(F.regexp_count(col(c), F.lit(f"[^{P.WS}]+")), F.lit(0))
 
 
+_SYLLABLES = P.range_chars([(0xAC00, 0xD7A3)])
+_SANDWICH_OTHERS = [(0x41, 0x5A), (0x30, 0x39), (0x318D, 0x318D), (0x3E, 0x3E), (0x3C, 0x3C), (0x223C, 0x223C), (0x2190, 0x2194), *P.WS_RANGES]
 SANDWICH_RE = f"[{P.HANGUL}][^{P.SANDWICH_ALLOWED}{P.WS}]+[{P.HANGUL}]"
 
 
@@ -92,8 +94,12 @@ def has_sandwich(word_array) -> Column:
 
 def has_sandwich_text(c) -> Column:
     """B7 on the whole text.  Whitespace is excluded from the middle run, so
-    this equals the per-word test without splitting."""
-    return col(c).rlike(SANDWICH_RE)
+    this equals the per-word test without splitting.  Hangul becomes U+0001 and the other allowed characters U+0002,
+    so that the regex tests single characters, not a class of many ranges."""
+    others = P.range_chars(_SANDWICH_OTHERS)
+    # an original U+0001 or U+0002 (not allowed) becomes U+0003 first
+    mask = F.translate(col(c), "\x01\x02" + _SYLLABLES + others, "\x03\x03" + "\x01" * len(_SYLLABLES) + "\x02" * len(others))
+    return mask.rlike("\x01[^\x01\x02]+\x01")
 
 
 def mask_allowed(c, ranges) -> Column:
@@ -210,7 +216,7 @@ def tag_rule_v1_text(c, folded: Column | None = None) -> Column:
     f = fold_scripts(c) if folded is None else folded
     two_alpha = f.rlike("[A-Za-z][^A-Za-z ]+[A-Za-z]")
     two_punct = f.rlike(f"{_FOLD_PU}[A-Za-z0-9\x01]+{_FOLD_PU}")
-    three = F.exists(F.split(f, " "), lambda w: w.rlike(_A) & w.rlike(_N) & w.rlike(_FOLD_PU))
+    three = f.rlike(f"(?:\\A| )(?=[^ ]*{_A})(?=[^ ]*{_N})(?=[^ ]*{_FOLD_PU})")
     return two_alpha | two_punct | (f.rlike(_N) & three)
 
 
@@ -222,8 +228,9 @@ def tag_run_count(c, folded: Column | None = None) -> Column:
 
 
 def tag_rule_v2_text(c, n: int = P.V2_MIN_TOKENS, folded: Column | None = None) -> Column:
-    """B13 without building tag arrays."""
-    return tag_run_count(c, folded) >= n
+    """B13 without building tag arrays: the scan ends at the n-th run (same result as ``tag_run_count(c) >= n``)."""
+    f = fold_scripts(c) if folded is None else folded
+    return f.rlike(f"\\A(?:[\x01 ]*+(?:[A-Za-z]++|[0-9]++|{_FOLD_PU}++)){{{n}}}")
 
 
 def softmax(z) -> Column:

@@ -3,25 +3,26 @@
 The reference trains a subword model on clean text with character coverage
 0.9995 and round-trips noisy text through it; the visible effect is that
 characters outside the covered set become `` ⁇ `` and whitespace is
-normalised.  Here: character counts over the clean rows (partially
-aggregated map-side), a cumulative share over the small distinct-character
-table, and one regex replace of every character outside the kept set."""
+normalised.  Here: character counts over the clean rows (counted within the
+tasks), a cumulative share over the small distinct-character table, and one
+pass that replaces every character outside the kept set."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import partial
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidyline.functions.bigrams import counted_chars
 from tidyline.functions import text as T
 
 UNKNOWN = " ⁇ "
-CLASS_SPECIALS = "\\[]^-&"
 
 
 def char_counts(df: DataFrame, text: str) -> DataFrame:
     """(ch, n) over every character of ``text``."""
-    return (df.select(F.explode(F.split(F.col(text), "")).alias("ch")).filter(F.col("ch") != "")
-              .groupBy("ch").agg(F.count(F.lit(1)).alias("n")))
+    return counted_chars(df, text).groupBy("ch").agg(F.sum("n").cast("long").alias("n"))
 
 
 def covered_chars(df: DataFrame, text: str, coverage: tuple[int, int] = (9995, 10000)) -> DataFrame:
@@ -34,11 +35,21 @@ def covered_chars(df: DataFrame, text: str, coverage: tuple[int, int] = (9995, 1
     return c.withColumn("keep", before * coverage[1] < total * coverage[0])
 
 
-def kept_class(covered: DataFrame) -> DataFrame:
-    """One row ``_cls``: a regex class matching every character *not* kept."""
-    esc = F.when(F.col("ch").isin(*list(CLASS_SPECIALS)), F.concat(F.lit("\\"), F.col("ch"))).otherwise(F.col("ch"))
-    return covered.filter("keep").agg(
-        F.concat(F.lit("[^"), F.array_join(F.array_sort(F.collect_list(esc)), ""), F.lit("]")).alias("_cls"))
+def kept_chars(covered: DataFrame) -> DataFrame:
+    """One row ``_kept``: the kept characters as one string."""
+    return covered.filter("keep").agg(F.array_join(F.array_sort(F.collect_list("ch")), "").alias("_kept"))
+
+
+def mark_rare(text: Column, kept: Column) -> Column:
+    """Characters of ``text`` outside ``kept`` -> `` ⁇ ``.  A row's rare characters all become its first one, which is
+    then replaced, so no regex class of the kept set is tested at each character; ``translate`` cannot write U+0000,
+    which goes last."""
+    translate = partial(F.call_function, "translate")
+    rare = translate(text, F.concat(kept, F.lit("\0")), F.lit(""))
+    first = F.substring(rare, 1, 1)
+    one = F.replace(translate(text, rare, F.call_function("repeat", first, F.length(rare))), first, F.lit(UNKNOWN))
+    marked = F.when(F.length(rare) == 0, text).otherwise(one)
+    return F.when(F.instr(kept, "\0") > 0, marked).otherwise(F.replace(marked, F.lit("\0"), F.lit(UNKNOWN)))
 
 
 def rare_char_denoise(df: DataFrame, text: str, clean: DataFrame, clean_text: str | None = None,
@@ -46,7 +57,6 @@ def rare_char_denoise(df: DataFrame, text: str, clean: DataFrame, clean_text: st
     """Characters not covered by the clean rows -> `` ⁇ ``, then
     whitespace normalised.  The kept-set row is broadcast (bounded by the
     number of distinct characters)."""
-    cls = kept_class(covered_chars(clean, clean_text or text, coverage))
-    j = df.crossJoin(F.broadcast(cls))
-    rep = F.call_function("regexp_replace", F.col(text), F.col("_cls"), F.lit(UNKNOWN))
-    return j.withColumn(text, T.collapse_ws(F.when(F.col("_cls") == "[^]", F.col(text)).otherwise(rep))).drop("_cls")
+    j = df.crossJoin(F.broadcast(kept_chars(covered_chars(clean, clean_text or text, coverage))))
+    marked = mark_rare(F.col(text), F.col("_kept"))
+    return j.withColumn(text, T.collapse_ws(F.when(F.col("_kept") == "", F.col(text)).otherwise(marked))).drop("_kept")
