@@ -11,6 +11,7 @@ from tidyline.operators import report as R
 from tidyline.plans import common as C
 from tidyline.plans import sqlfrag as S
 from tidyline.plans.registry import register
+from tidyline.session import sized
 
 _PROFILES = ("special_ko", "special_ko_hanja", "upper_ko", "special_syllable", "lower", "letter")
 
@@ -271,7 +272,8 @@ FROM d, cls WHERE NOT ({_LOW})
 def rare_char_denoise_docs(spark, sf_dir):
     """C15 + I11: coverage set from low-noise documents, applied to the rest."""
     from tidyline.operators.clean import rare_char_denoise
-    d = R.with_bucket(C.hangul_docs(spark, sf_dir), "text", "special_ko")
+    # written once: a filter on the bucket would map and count the text again in each of its branches
+    d = sized(R.with_bucket(C.hangul_docs(spark, sf_dir), "text", "special_ko").select("doc_id", "text", "bucket"))
     clean = d.filter(F.col("bucket") == "low")
     noisy = d.filter(F.col("bucket") != "low").select("doc_id", "text")
     return rare_char_denoise(noisy, "text", clean)
