@@ -74,7 +74,7 @@ def extract_class(c, cls: str) -> Column:
 
 def words(c) -> Column:
     """Python ``str.split()``: split on whitespace runs, no empty items."""
-    return F.filter(F.split(col(c), f"[{P.WS}]+"), lambda w: w != "")
+    return F.array_remove(F.split(col(c), f"[{P.WS}]+"), "")
 
 
 def word_count(c) -> Column:
@@ -421,6 +421,11 @@ def parse_synonyms(c) -> Column:
         F.array().cast("array<string>"))
 
 
+def has_synonyms(c) -> Column:
+    """Whether ``parse_synonyms`` gives any item, by two scans (its lambdas are interpreted)."""
+    return F.regexp_extract(col(c), f":[{P.WS}]*([^\\n]*)", 1).rlike(f"[^,{P.WS}]")
+
+
 def hangulise(c) -> Column:
     """Test mapping only: 20 Latin letters -> Hangul syllables."""
     return F.translate(col(c), P.HANGULISE_FROM, P.HANGULISE_TO)

@@ -16,6 +16,7 @@ from tidyline.functions import profiles as P
 from tidyline.functions import text as T
 from tidyline.functions.draws import hash32, hash32_of, key_string, position_draw
 from tidyline.operators.split import label_rank
+from tidyline.operators.wordswap import swapped_words
 from tidyline.session import sized
 
 HANJA_LO, HANJA_HI = 0x4E00, 0x9FFF
@@ -183,9 +184,8 @@ def few_shot(targets: DataFrame, pool: DataFrame, key: str, text: str, label: st
 def synonym_table(answers: DataFrame, word: str, answer: str, order: list[str]) -> DataFrame:
     """(word, synonyms) from model answers parsed by C14; one row per word
     (the first answer in ``order`` wins)."""
-    a = answers.select(word, T.parse_synonyms(answer).alias("synonyms"), *order)
-    a = a.filter(F.size("synonyms") > 0)
-    return a.groupBy(word).agg(F.min_by("synonyms", F.struct(*order)).alias("synonyms"))
+    a = answers.filter(T.has_synonyms(answer)).groupBy(word).agg(F.min_by(answer, F.struct(*order)).alias("_answer"))
+    return a.select(word, T.parse_synonyms("_answer").alias("synonyms"))
 
 
 def replace_synonyms(df: DataFrame, key: str, text: str, synonyms: DataFrame, seed: int,
@@ -193,32 +193,25 @@ def replace_synonyms(df: DataFrame, key: str, text: str, synonyms: DataFrame, se
     """Each word with probability ``ratio`` is replaced by one of its
     synonyms (drawn), if it has any; returns the changed text in ``text``.
 
-    Words are drawn within the row, and only the drawn ones are exploded and
-    looked up; the replacements come back as one sorted array per key."""
-    drawn = let(row_seed(key, seed, 0), lambda s0: F.filter(
-        F.transform(T.words(text), lambda x, i: F.struct(i.alias("_pos"), x.alias("_word"))),
-        lambda p: position_draw(s0, p["_pos"]) < threshold(ratio)))
-    cand = df.select(key, row_seed(key, seed, 1).alias("_s1"), F.explode(drawn).alias("_d")).select(
-        key, "_s1", "_d._pos", "_d._word")
+    Words are rows while they are drawn and looked up (a lambda over a row's words
+    would be interpreted); only the drawn ones are shuffled, with the row's second
+    seed and the place in one long.  Replacements come back as one array per key,
+    and a kernel puts the texts together."""
+    split = df.filter(F.col(key).isNotNull()).select(
+        key, row_seed(key, seed, 0).alias("_s0"), row_seed(key, seed, 1).alias("_s1"), T.words(text).alias("_w"))
+    # outer: else Spark would add a filter that splits each text twice more; the draw drops the null places
+    cand = (split.select(key, "_s0", "_s1", F.posexplode_outer("_w").alias("_pos", "_word"))
+                 .filter(position_draw(F.col("_s0"), F.col("_pos")) < threshold(ratio))
+                 .select(key, F.shiftleft("_s1", 32).bitwiseOR(F.col("_pos").cast("bigint")).alias("_at"), "_word"))
     syn = synonyms.select(F.col("word").alias("_word"), F.col("synonyms").alias("_syn"))
     # candidates are keyed by word, and frequent words are hot keys: broadcast
     # the synonym table when its checked size allows, so no word is shuffled
     # (beyond the limit the planner shuffles, and AQE splits skewed partitions)
-    rep = (cand.join(sized(syn), "_word")
-               .withColumn("_new", F.element_at("_syn", (position_draw(F.col("_s1"), F.col("_pos"))
-                                                          % F.size("_syn") + 1).cast("int"))))
-    found = rep.groupBy(key).agg(F.array_sort(F.collect_set(F.struct("_pos", "_new"))).alias("_r"))
-
-    def swapped(x):
-        # the words between two replacements are one slice, so time grows with the text's length
-        w, r = x["w"], x["r"]
-        piece = lambda s, i: let(F.coalesce(F.get(r, i - 1)["_pos"], F.lit(-1)), lambda at: F.concat(
-            F.slice(w, at + 2, s["_pos"] - at - 1), F.array(s["_new"])))
-        last = F.get(r, F.size(r) - 1)["_pos"]
-        return F.when(r.isNull(), w).otherwise(F.concat(F.flatten(F.transform(r, piece)), F.slice(w, last + 2, F.size(w) - last - 1)))
-
-    both = F.struct(T.words(text).alias("w"), F.col("_r").alias("r"))
-    return df.join(found, key, "left").withColumn(text, F.array_join(let(both, swapped), " ")).drop("_r")
+    pos = F.col("_at").bitwiseAND(F.lit(0xFFFFFFFF))
+    new = F.element_at("_syn", (position_draw(F.shiftrightunsigned("_at", 32), pos) % F.size("_syn") + 1).cast("int"))
+    rep = cand.join(sized(syn), "_word").select(key, pos.cast("int").alias("_pos"), new.alias("_new"))
+    found = rep.repartition(key).groupBy(key).agg(F.collect_list(F.struct("_pos", "_new")).alias("_r"))
+    return df.join(found, key, "left").withColumn(text, swapped_words(text, "_r")).drop("_r")
 
 
 def with_augmented(df: DataFrame, key: str, text: str, synonyms: DataFrame, seed: int,

@@ -180,11 +180,12 @@ def synonyms_from_conversations(spark, sf_dir):
     """(word, synonyms): every word of a user turn, answered by a line of the
     next assistant turn (its lines in turn) read as "word: a, b, c" (C14)."""
     c = C.table(spark, sf_dir, "conversations")
-    u = c.filter(F.col("role") == "user").select("conv_id", "turn", F.posexplode(T.words("text")).alias("pos", "word"))
+    u = c.filter(F.col("role") == "user").select("conv_id", "turn", T.words("text").alias("words"))
     a = c.filter(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.split("text", "\n").alias("lines"))
     line = F.get("lines", F.col("pos") % F.size("lines"))
-    qa = u.join(a, ["conv_id", "turn"]).withColumn("answer", F.concat(F.col("word"), F.lit(": "), line))
+    qa = u.join(a, ["conv_id", "turn"]).select("conv_id", "turn", "lines", F.posexplode("words").alias("pos", "word"))
+    qa = qa.select("conv_id", "turn", "pos", "word", F.concat("word", F.lit(": "), line).alias("answer"))
     return A.synonym_table(qa, "word", "answer", ["conv_id", "turn", "pos"])
 
 
